@@ -1,0 +1,43 @@
+"""Bars, ticks and messages derived from the sample order and event tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def quantised(price: Column) -> Column:
+    """Price on a 1/64 grid, so that sums are exact whatever their order."""
+    return F.floor(price * 64).cast("double") / 64
+
+
+def bars_from_lineitem(
+    spark: SparkSession, folder: str, smooth: bool = False, company: bool = False
+) -> DataFrame:
+    """Daily bars: one instrument per supplier, one bar per ship date."""
+    raw = F.col("l_extendedprice")
+    price = F.lit(1024.0) + quantised(raw / 1000) if smooth else quantised(raw)
+    rank = F.struct("l_orderkey", "l_linenumber", "l_extendedprice")
+    bars = (
+        table(spark, folder, "lineitem")
+        .groupBy("l_suppkey", F.col("l_shipdate").alias("time"))
+        .agg(
+            F.min_by(price, rank).alias("Open"),
+            F.max(price).alias("High"),
+            F.min(price).alias("Low"),
+            F.max_by(price, rank).alias("Close"),
+            F.sum("l_quantity").alias("Volume"),
+        )
+    )
+    prices = ["time", "Open", "High", "Low", "Close", "Volume"]
+    ticker = F.col("l_suppkey").cast("string").alias("ticker")
+    if not company:
+        return bars.select(ticker, *prices)
+    supplier = table(spark, folder, "supplier")
+    return bars.join(supplier, bars["l_suppkey"] == supplier["s_suppkey"]).select(
+        ticker, F.col("s_name").alias("company"), *prices
+    )
