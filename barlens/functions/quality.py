@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +30,12 @@ def as_map(value: Column) -> Column:
     return F.from_json(value.cast("string"), "map<string,string>")
 
 
+def _with_fields(value: Column, build: Callable[[Column], Column]) -> Column:
+    """``build`` applied to the decoded map. The map is a lambda variable, so that the payload
+    is parsed once however often ``build`` refers to it."""
+    return F.transform(F.array(as_map(value)), build)[0]
+
+
 def parse_time(text: Column, pattern: str = TIME_PATTERN_WITH_OFFSET) -> Column:
     """Text with an offset pattern, else any ISO form; null if neither fits."""
     return F.coalesce(F.try_to_timestamp(text, F.lit(pattern)), F.try_to_timestamp(text))
@@ -67,14 +73,18 @@ def complete_rows(df: DataFrame, required: Sequence[str] | None = None) -> DataF
     return df.dropna(how="any", subset=list(required) if required else None)
 
 
-def missing_fields(value: Column, required: Sequence[str] = REQUIRED_FIELDS) -> Column:
+def missing_fields(value: Column | str, required: Sequence[str] = REQUIRED_FIELDS) -> Column:
     """Required fields whose key is absent. A present null counts as there.
 
     A payload that is no JSON object lacks all of them.
     """
-    names, fields = F.array(*[F.lit(n) for n in required]), as_map(value)
-    absent = F.filter(names, lambda n: ~F.map_contains_key(fields, n))
-    return F.when(fields.isNull(), names).otherwise(absent)
+    names = F.array(*[F.lit(n) for n in required])
+
+    def absent(fields: Column) -> Column:
+        unknown = F.filter(names, lambda n: ~F.map_contains_key(fields, n))
+        return F.when(fields.isNull(), names).otherwise(unknown)
+
+    return _with_fields(F.col(value) if isinstance(value, str) else value, absent)
 
 
 def with_validity(messages: DataFrame, value: str = "value") -> DataFrame:
@@ -98,32 +108,31 @@ def standardise(
     the first trouble (``bad_json`` or the field whose number cannot be read) and is null on
     good rows. A present null stays null in text and is a problem in a number.
     """
-    fields = F.col("_fields")
-
-    def text(name: str, default: str | None) -> Column:
-        return F.when(F.map_contains_key(fields, name), fields[name]).otherwise(F.lit(default))
-
-    def number(name: str, default: str | None) -> Column:
-        raw = text(name, default)
-        return _whole_number(raw) if name == "Volume" else raw.try_cast("double")
-
-    numeric = [c for c in PRICE_FIELDS]
-    out = {
-        "ticker": text("ticker", ""),
-        "company": text("company", None),
-        "time": text("time", ""),
-        **{c: number(c, "0") for c in numeric},
-        "Adj Close": number("Adj Close", None),
-    }
-    unreadable = [
-        F.when(F.map_contains_key(fields, c) & out[c].isNull(), F.lit(c))
-        for c in [*numeric, "Adj Close"]
-    ]
-    problem = F.when(fields.isNull(), F.lit("bad_json")).otherwise(F.coalesce(*unreadable))
-    decoded = messages.withColumn("_fields", as_map(F.col(value)))
-    return decoded.select(
-        *keep, *[out[f.name].alias(f.name) for f in BAR_SCHEMA], problem.alias("problem")
-    )
+
+    def build(fields: Column) -> Column:
+        def text(name: str, default: str | None) -> Column:
+            return F.when(F.map_contains_key(fields, name), fields[name]).otherwise(F.lit(default))
+
+        def number(name: str, default: str | None) -> Column:
+            raw = text(name, default)
+            return _whole_number(raw) if name == "Volume" else raw.try_cast("double")
+
+        out = {
+            "ticker": text("ticker", ""),
+            "company": text("company", None),
+            "time": text("time", ""),
+            **{c: number(c, "0") for c in PRICE_FIELDS},
+            "Adj Close": number("Adj Close", None),
+        }
+        unreadable = [
+            F.when(F.map_contains_key(fields, c) & out[c].isNull(), F.lit(c))
+            for c in [*PRICE_FIELDS, "Adj Close"]
+        ]
+        problem = F.when(fields.isNull(), F.lit("bad_json")).otherwise(F.coalesce(*unreadable))
+        return F.struct(*[out[f.name].alias(f.name) for f in BAR_SCHEMA], problem.alias("problem"))
+
+    decoded = messages.select(*keep, _with_fields(F.col(value), build).alias("_bar"))
+    return decoded.select(*keep, "_bar.*")
 
 
 def archive_date(time: Column) -> Column:

@@ -55,6 +55,7 @@ class Layout:
 
     spec: BarSpec
     blocked: bool
+    null_key: bool = False
 
     def rows_so_far(self):
         """Window over one instrument in time order (or over one block of it)."""
@@ -79,21 +80,28 @@ class Layout:
         """Drop lead-in rows once all ordered windows are computed."""
         if not self.blocked:
             return rows
-        return rows.where(~F.col(LEAD_IN)).drop(BLOCK, PLACE, LEAD_IN, TOP_BEFORE, FIRST_CLOSE)
+        return rows.where(~F.col(LEAD_IN)).drop(PLACE, LEAD_IN, TOP_BEFORE, FIRST_CLOSE)
 
     def whole_group(self, rows: DataFrame, by: list[str], value: Column, name: str) -> DataFrame:
-        """Repeat an aggregate of each ``by`` group on all its rows; null keys form a group.
+        """Repeat an aggregate of each ``by`` group on all rows; ``by`` begins with the key.
 
-        Blocked rows use a partial aggregate and a join, because the group may be huge. Its
-        result has one row per group and is broadcast only if Spark finds it small.
+        A blocked group may be huge, so its aggregate is combined before the shuffle and comes
+        back through a join on the block as well: the rows keep the partitioning by (key,
+        block) they already have, and no task sees more of the group than a block.
         """
         if not self.blocked:
             return rows.withColumn(name, value.over(Window.partitionBy(*by)))
         totals = rows.groupBy(*by).agg(value.alias(name))
-        totals = totals.select(*[F.col(c).alias(f"_g_{c}") for c in by], name)
-        same = [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in by]
-        joined = rows.join(totals, same, "left")
-        return joined.drop(*[f"_g_{c}" for c in by])
+        found_in = rows.select(*by, BLOCK).distinct()
+        lookup = self._join(found_in, totals, by)
+        return self._join(rows, lookup, [*by, BLOCK])
+
+    def _join(self, rows: DataFrame, lookup: DataFrame, by: list[str]) -> DataFrame:
+        renamed = lookup.withColumnsRenamed({c: f"_g_{c}" for c in by})
+        same = [F.col(c) == F.col(f"_g_{c}") for c in by]
+        if self.null_key:
+            same[0] = F.col(by[0]).eqNullSafe(F.col(f"_g_{by[0]}"))
+        return rows.join(renamed, same, "left").drop(*[f"_g_{c}" for c in by])
 
 
 def hot_keys(rows: DataFrame, key: str, policy: HeatPolicy = DEFAULT_HEAT) -> dict:
@@ -113,7 +121,7 @@ def hot_keys(rows: DataFrame, key: str, policy: HeatPolicy = DEFAULT_HEAT) -> di
     return {row[0]: row[1] for row in found}
 
 
-def _is_hot(key: str, hot: dict) -> Column:
+def is_hot(key: str, hot: dict) -> Column:
     listed = F.col(key).isin([k for k in hot if k is not None])
     return listed | F.col(key).isNull() if None in hot else F.coalesce(listed, F.lit(False))
 
@@ -242,7 +250,8 @@ def per_instrument(
     hot = hot_keys(bars, spec.key, policy) if policy.known is None else policy.known
     if not hot:
         return build(bars, Layout(spec, blocked=False))
-    is_hot = _is_hot(spec.key, hot)
-    ordinary = build(bars.where(~is_hot), Layout(spec, blocked=False))
-    blocks = _blocked(bars.where(is_hot), spec, policy, hot, lookback)
-    return ordinary.unionByName(build(blocks, Layout(spec, blocked=True)))
+    chosen = is_hot(spec.key, hot)
+    ordinary = build(bars.where(~chosen), Layout(spec, blocked=False))
+    blocks = _blocked(bars.where(chosen), spec, policy, hot, lookback)
+    in_blocks = build(blocks, Layout(spec, blocked=True, null_key=None in hot)).drop(BLOCK)
+    return ordinary.unionByName(in_blocks)
