@@ -95,8 +95,9 @@ def with_validity(messages: DataFrame, value: str = "value") -> DataFrame:
 
 
 def _whole_number(text: Column) -> Column:
-    """Truncate toward zero. Exact integers do not pass through a double."""
-    return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
+    """Truncate toward zero. Integers do not pass through a double, which could round them."""
+    integer = F.when(text.rlike(r"^\s*[+-]?\d+\s*$"), text.try_cast("bigint"))
+    return F.coalesce(integer, text.try_cast("double").try_cast("bigint"))
 
 
 def standardise(
@@ -110,29 +111,29 @@ def standardise(
     """
 
     def build(fields: Column) -> Column:
-        def text(name: str, default: str | None) -> Column:
+        def text(name: str, default: str) -> Column:
             return F.when(F.map_contains_key(fields, name), fields[name]).otherwise(F.lit(default))
 
-        def number(name: str, default: str | None) -> Column:
-            raw = text(name, default)
-            return _whole_number(raw) if name == "Volume" else raw.try_cast("double")
-
         out = {
             "ticker": text("ticker", ""),
-            "company": text("company", None),
+            "company": fields["company"],
             "time": text("time", ""),
-            **{c: number(c, "0") for c in PRICE_FIELDS},
-            "Adj Close": number("Adj Close", None),
+            **{c: text(c, "0").try_cast("double") for c in PRICE_FIELDS},
+            "Volume": _whole_number(text("Volume", "0")),
+            "Adj Close": fields["Adj Close"].try_cast("double"),
         }
-        unreadable = [
-            F.when(F.map_contains_key(fields, c) & out[c].isNull(), F.lit(c))
-            for c in [*PRICE_FIELDS, "Adj Close"]
-        ]
-        problem = F.when(fields.isNull(), F.lit("bad_json")).otherwise(F.coalesce(*unreadable))
-        return F.struct(*[out[f.name].alias(f.name) for f in BAR_SCHEMA], problem.alias("problem"))
-
-    decoded = messages.select(*keep, _with_fields(F.col(value), build).alias("_bar"))
-    return decoded.select(*keep, "_bar.*")
+        return F.struct(
+            *[out[f.name].alias(f.name) for f in BAR_SCHEMA],
+            F.map_contains_key(fields, "Adj Close").alias("_adjusted"),
+            fields.isNull().alias("_broken"),
+        )
+
+    bars = messages.select(*keep, _with_fields(F.col(value), build).alias("_bar")).select(*keep, "_bar.*")
+    problem = F.when(F.col("_broken"), F.lit("bad_json"))
+    for name in PRICE_FIELDS:
+        problem = problem.when(F.col(name).isNull(), F.lit(name))
+    problem = problem.when(F.col("_adjusted") & F.col("Adj Close").isNull(), F.lit("Adj Close"))
+    return bars.withColumn("problem", problem).drop("_adjusted", "_broken")
 
 
 def archive_date(time: Column) -> Column:

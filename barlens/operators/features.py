@@ -63,22 +63,17 @@ def volume_steps(layout: Layout, sizes: dict[str, int], method: str) -> Steps:
     )
 
 
-def add_worst_drawdown(rows: DataFrame, layout: Layout) -> DataFrame:
-    return layout.whole_group(rows, [layout.spec.key], F.min("drawdown"), "max_drawdown")
+WORST_DRAWDOWN = {"max_drawdown": (F.min, "drawdown")}
 
 
-def add_volume(rows: DataFrame, layout: Layout, sizes: dict[str, int], method: str) -> DataFrame:
-    volume = layout.spec.volume
-    rows = moving_averages(rows, volume, sizes, layout.rows_so_far(), method)
-    (average,) = sizes
-    return rows.withColumn("volume_ratio", F.try_divide(F.col(volume), F.col(average)))
+def add_group_values(rows: DataFrame, layout: Layout, month: str) -> DataFrame:
+    """Worst drawdown and monthly volatility of rows that carry drawdown and daily return.
 
-
-def add_monthly_volatility(rows: DataFrame, layout: Layout, month: str) -> DataFrame:
-    """Needs ``daily_return``. Rows without key or month get null, as in a join."""
-    by = [layout.spec.key, month]
-    rows = layout.whole_group(rows, by, F.stddev_samp("daily_return"), "_deviation")
-    known = F.col(by[0]).isNotNull() & F.col(month).isNotNull()
+    Rows without key or month get no volatility, as in a join.
+    """
+    deviation = {"_deviation": F.stddev_samp("daily_return")}
+    rows = layout.group_values(rows, WORST_DRAWDOWN, month, deviation)
+    known = F.col(layout.spec.key).isNotNull() & F.col(month).isNotNull()
     return rows.withColumn("monthly_volatility", F.when(known, F.col("_deviation"))).drop("_deviation")
 
 
@@ -126,7 +121,7 @@ def drawdown_features(
 
     def build(rows: DataFrame, layout: Layout) -> DataFrame:
         rows = layout.settle(apply_steps(rows, drawdown_steps(layout)))
-        return add_worst_drawdown(rows, layout)
+        return layout.group_values(rows, WORST_DRAWDOWN)
 
     return per_instrument(bars, spec, 0, build, heat)
 

@@ -82,26 +82,60 @@ class Layout:
             return rows
         return rows.where(~F.col(LEAD_IN)).drop(PLACE, LEAD_IN, TOP_BEFORE, FIRST_CLOSE)
 
-    def whole_group(self, rows: DataFrame, by: list[str], value: Column, name: str) -> DataFrame:
-        """Repeat an aggregate of each ``by`` group on all rows; ``by`` begins with the key.
-
-        A blocked group may be huge, so its aggregate is combined before the shuffle and comes
-        back through a join on the block as well: the rows keep the partitioning by (key,
-        block) they already have, and no task sees more of the group than a block.
+    def group_values(
+        self,
+        rows: DataFrame,
+        whole: dict[str, tuple[Callable[[str], Column], str]],
+        month: str | None = None,
+        monthly: dict[str, Column] | None = None,
+    ) -> DataFrame:
+        """Repeat aggregates of an instrument, and of its months, on all its rows.
+
+        ``whole`` maps an output name to a function that can be applied to partial results
+        (min, max) and its column; ``monthly`` maps names to aggregates per ``month``.
+
+        A blocked instrument may be huge, so its aggregates are combined before the shuffle.
+        What a block needs of them is gathered into one row per block, which joins back by
+        (key, block): the partitioning the rows already have.
         """
+        key, monthly = self.spec.key, monthly or {}
         if not self.blocked:
-            return rows.withColumn(name, value.over(Window.partitionBy(*by)))
-        totals = rows.groupBy(*by).agg(value.alias(name))
-        found_in = rows.select(*by, BLOCK).distinct()
-        lookup = self._join(found_in, totals, by)
-        return self._join(rows, lookup, [*by, BLOCK])
-
-    def _join(self, rows: DataFrame, lookup: DataFrame, by: list[str]) -> DataFrame:
-        renamed = lookup.withColumnsRenamed({c: f"_g_{c}" for c in by})
-        same = [F.col(c) == F.col(f"_g_{c}") for c in by]
+            over_key = Window.partitionBy(key)
+            rows = rows.withColumns({n: f(c).over(over_key) for n, (f, c) in whole.items()})
+            if not monthly:
+                return rows
+            over_month = Window.partitionBy(key, month)
+            return rows.withColumns({n: v.over(over_month) for n, v in monthly.items()})
+
+        by = [key, month] if month else [key]
+        totals = rows.groupBy(*by).agg(
+            *[f(c).alias(n) for n, (f, c) in whole.items()],
+            *[v.alias(n) for n, v in monthly.items()],
+        )
+        over_key = Window.partitionBy(key)
+        totals = totals.withColumns({n: f(n).over(over_key) for n, (f, _) in whole.items()})
+        members = rows.select(*by, BLOCK).distinct()
+        found = _join_null_safe(members, totals, by)
+        gathered = [F.any_value(n).alias(n) for n in whole]
+        if monthly:
+            entry = F.struct(F.col(month), F.struct(*monthly))
+            entries = F.collect_list(F.when(F.col(month).isNotNull(), entry))
+            gathered.append(F.map_from_entries(entries).alias("_months"))
+        per_block = found.groupBy(key, BLOCK).agg(*gathered)
         if self.null_key:
-            same[0] = F.col(by[0]).eqNullSafe(F.col(f"_g_{by[0]}"))
-        return rows.join(renamed, same, "left").drop(*[f"_g_{c}" for c in by])
+            joined = _join_null_safe(rows, per_block, [key, BLOCK])
+        else:
+            joined = rows.join(per_block, [key, BLOCK], "left")
+        if not monthly:
+            return joined
+        values = F.col("_months")[F.col(month)]
+        return joined.withColumns({n: values[n] for n in monthly}).drop("_months")
+
+
+def _join_null_safe(rows: DataFrame, lookup: DataFrame, by: list[str]) -> DataFrame:
+    renamed = lookup.withColumnsRenamed({c: f"_g_{c}" for c in by})
+    same = [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in by]
+    return rows.join(renamed, same, "left").drop(*[f"_g_{c}" for c in by])
 
 
 def hot_keys(rows: DataFrame, key: str, policy: HeatPolicy = DEFAULT_HEAT) -> dict:
@@ -130,15 +164,16 @@ def ordered_rows(rows: DataFrame, order: list[str], parts: int | None = None) ->
     """Range-partition and sort so that no partition is large, whatever the key distribution.
 
     Rows that agree in all order columns, copies included, would stick together in a range
-    partition. A row id splits them. It is taken after sorting each partition by all columns:
-    a retried task then hands out the same ids up to identical rows, so nothing can be lost
-    or doubled. Spark sorts before a round-robin repartition for the same reason.
+    partition. A row id splits them. It is taken after sorting each partition by all columns
+    (a hash of them first, which is cheap to compare): a retried task then hands out the same
+    ids up to identical rows, so nothing can be lost or doubled. Spark sorts before a
+    round-robin repartition for the same reason.
     """
-    everything = order + [c for c in rows.columns if c not in order]
-    numbered = rows.sortWithinPartitions(*_quoted(everything)).withColumn(
+    everything = _quoted(order + [c for c in rows.columns if c not in order])
+    numbered = rows.sortWithinPartitions(F.xxhash64(*everything), *everything).withColumn(
         PLACE, F.monotonically_increasing_id()
     )
-    total_order = _quoted(everything) + [PLACE]
+    total_order = [*everything, PLACE]
     spread = (
         numbered.repartitionByRange(parts, *total_order)
         if parts

@@ -42,8 +42,7 @@ def feature_table(
             + ops.trend_steps(layout, ops.TREND_SIZES, method)
         )
         rows = layout.settle(apply_steps(rows, steps))
-        rows = ops.add_worst_drawdown(rows, layout)
-        rows = ops.add_monthly_volatility(rows, layout, _MONTH_NO)
+        rows = ops.add_group_values(rows, layout, _MONTH_NO)
         return ops.market_regime(rows, limits=limits)
 
     time = F.col(spec.time)

@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 from barlens.functions import quality
 from barlens.functions.rules import month_of
 from barlens.operators import features
-from barlens.operators.heat import HeatPolicy, Layout, hot_keys
+from barlens.operators.heat import HeatPolicy, hot_keys
 from barlens.operators.lookup import attach
 from barlens.operators.merge import archive_merge, merge_stats, new_records, slice_stats, slices_present
-from barlens.operators.steps import apply_steps
 from barlens.operators.windows import bar_windows, move_alerts, window_metrics
 from barlens.plans.archive import archive_batch
 from barlens.plans.feature_table import feature_documents, feature_table
@@ -126,13 +125,8 @@ def volatility_join(spark, folder):
 @query
 def volatility_window(spark, folder):
     bars = inputs.bars_from_lineitem(spark, folder).select("ticker", "time", "Close")
-    bars = bars.withColumn("month", month_of(F.col("time")))
-    layout = Layout(BarSpec(), blocked=False)
-    daily = apply_steps(bars, features.return_steps(layout, {"daily_return": 1}))
-    out = features.add_monthly_volatility(daily, layout, "month")
-    return out.select(
-        "ticker", "month", "time", "Close", F.round("monthly_volatility", 9).alias("monthly_volatility")
-    )
+    out = feature_table(bars.withColumn("Volume", F.lit(0.0)), heat=known_heat(spark, folder))
+    return _rounded(out.select("ticker", "month", "time", "Close", "monthly_volatility"))
 
 
 @query
