@@ -223,6 +223,8 @@ def _lead_in_rows(blocks: DataFrame, summary: DataFrame, spec: BarSpec, lookback
 
     A short block may need rows from several earlier ones, so each block lists the later
     blocks that begin within ``lookback`` rows of its end. There are at most that many.
+    Lead-in rows only feed windows over close and volume and are dropped afterwards, so their
+    other columns stay empty and are not read.
     """
     by_end = Window.partitionBy("_k").orderBy("_end")
     reach = (
@@ -247,11 +249,18 @@ def _lead_in_rows(blocks: DataFrame, summary: DataFrame, spec: BarSpec, lookback
         & (F.col(PLACE) > F.col("_to") - lookback),
     )
     position = F.col("_start") + F.col(PLACE) - F.col("_from")
+    read = {spec.key, spec.close, spec.volume, BLOCK, PLACE}
+
+    def or_empty(field) -> Column:
+        if field.name in read:
+            return F.col(f"`{field.name}`")
+        return F.lit(None).cast(field.dataType).alias(field.name)
+
     return (
         tails.withColumn("_feed", F.explode("_feeds"))
         .where(position >= F.col("_feed.start") - lookback)
         .withColumn(BLOCK, F.col("_feed.block"))
-        .select(*blocks.columns)
+        .select(*[or_empty(field) for field in blocks.schema])
     )
 
 

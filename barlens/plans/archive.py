@@ -18,7 +18,7 @@ from barlens.operators.merge import (
 )
 from barlens.schema import BAR_SCHEMA
 from barlens.session import stage
-from barlens.sinks.tables import read_if_there, replace_partitions
+from barlens.sinks.tables import read_if_there, write_partitions
 from barlens.sources.bars import range_filter, tickers_in
 
 ARCHIVE_SCHEMA = StructType([*BAR_SCHEMA.fields]).add("date", DateType())
@@ -40,12 +40,14 @@ def archive_batch(
     fmt: str = "parquet",
     dedup_within_batch: bool = False,
     rewrite_unchanged: bool = False,
+    append: bool = False,
     quarantine: str | None = None,
 ) -> DataFrame:
     """Merge decoded bars into the archive at ``path`` and return the run's statistics.
 
     Only partitions in the batch are read, and only those that gain rows are rewritten, unless
-    ``rewrite_unchanged`` is set. The first partition column is ``date``, ``month`` or
+    ``rewrite_unchanged`` is set. With ``append`` nothing stored is rewritten: new rows become
+    further files, each in order by itself, which suits frequent small batches. The first partition column is ``date``, ``month`` or
     ``year``; inside a partition rows are in (date, instrument, time) order. Adding
     ``ticker`` as a second one gives a folder per slice, for few instruments. Running a batch
     twice adds nothing.
@@ -61,10 +63,10 @@ def archive_batch(
     touched = only_partitions(stored, incoming, period)
     fresh = stage(new_records(incoming, touched, ARCHIVE_KEY, dedup_within_batch), "archive-new")
     stats = stage(merge_stats(slice_stats(incoming, touched, fresh)), "archive-stats")
-    changed = incoming if rewrite_unchanged else fresh
+    changed = incoming if rewrite_unchanged and not append else fresh
     if not changed.isEmpty():
-        merged = only_partitions(touched, changed, period).unionByName(fresh)
-        replace_partitions(merged, path, partition_by, ARCHIVE_KEY, fmt)
+        rows = fresh if append else only_partitions(touched, changed, period).unionByName(fresh)
+        write_partitions(rows, path, partition_by, ARCHIVE_KEY, fmt, append=append)
     return stats
 
 

@@ -15,6 +15,7 @@ from barlens.operators import features as ops
 from barlens.operators.heat import DEFAULT_HEAT, HeatPolicy, Layout, per_instrument
 from barlens.operators.steps import apply_steps
 from barlens.schema import BarSpec
+from barlens.sinks.tables import upsert_by_key, write_table
 
 _MONTH_NO = "_month_no"
 
@@ -68,3 +69,23 @@ def feature_documents(
     return complete_rows(table, required).withColumn(
         "doc_id", doc_id(F.col(spec.key), F.col(spec.time), TO_THE_SECOND)
     )
+
+
+def publish_features(
+    bars: DataFrame,
+    table_path: str,
+    documents_path: str,
+    spec: BarSpec = BarSpec(),
+    fmt: str = "parquet",
+    **options,
+) -> None:
+    """The daily job: write the feature table, then upsert its complete rows as documents.
+
+    The features are computed once; documents come from the table as written. They are
+    partitioned by month, which follows from the time in their id.
+    """
+    table = feature_table(bars, spec, **options)
+    write_table(table, table_path, fmt)
+    written = bars.sparkSession.read.schema(table.schema).format(fmt).load(table_path)
+    documents = feature_documents(written, spec)
+    upsert_by_key(documents, documents_path, partition="month")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +35,12 @@ ALERT_WINDOW = "1 hour"
 
 
 def query(build: Query) -> Query:
-    QUERIES[build.__name__] = build
+    @wraps(build)
+    def in_utc(spark: SparkSession, folder: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return build(spark, folder)
+
+    QUERIES[build.__name__] = in_utc
     return build
 
 
@@ -278,8 +285,6 @@ def quarantine(spark, folder):
 
 @query
 def envelope_range(spark, folder):
-    from datetime import datetime
-
     messages = local_times(sample_messages(spark, folder))
     chosen = bar_sources.envelope_range(messages, datetime(1997, 1, 1), datetime(1998, 1, 1))
     return _named(chosen.select("key", "bar_time", "timestamp"))

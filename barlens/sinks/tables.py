@@ -1,4 +1,4 @@
-"""Batch sinks: plain tables, partition-wise replacement, keyed upsert, search index."""
+"""Batch sinks: plain tables, partition-wise writes, keyed upsert, search index."""
 
 from __future__ import annotations
 
@@ -37,15 +37,16 @@ def read_if_there(
         return spark.createDataFrame([], schema)
 
 
-def replace_partitions(
+def write_partitions(
     df: DataFrame,
     path: str,
     partition_by: Sequence[str],
     sort_by: Sequence[str],
     fmt: str = "parquet",
     parts: int | None = None,
+    append: bool = False,
 ) -> None:
-    """Replace exactly the partitions that ``df`` holds; the others stay.
+    """Replace exactly the partitions that ``df`` holds, or add files to them.
 
     Rows are spread by range over (partition, sort columns), so a partition with a large
     share of the rows becomes several files in order instead of one task's work, and small
@@ -54,7 +55,7 @@ def replace_partitions(
     order = [*partition_by, *[c for c in sort_by if c not in partition_by]]
     (
         ordered_rows(df, order, parts)
-        .write.mode("overwrite")
+        .write.mode("append" if append else "overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .format(fmt)
@@ -79,7 +80,7 @@ def upsert_by_key(
     stored = read_if_there(df.sparkSession, path, changed.schema, fmt)
     touched = only_partitions(stored, changed, partition)
     merged = replace_by_key(touched, changed, [key], latest)
-    replace_partitions(merged, path, [partition], [key], fmt)
+    write_partitions(merged, path, [partition], [key], fmt)
 
 
 def index_options(

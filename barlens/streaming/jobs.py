@@ -31,7 +31,9 @@ PREVIEW_COLUMNS = (
     "ticker", "window_start", "open_1m", "close_1m", "return_pct_1m", "range_pct_1m",
     "alert_reason", "direction", "alert_score",
 )
+# Rows of a preview, and how often the metric job runs a batch.
 PREVIEW_ROWS = 10
+METRICS_TRIGGER = {"processingTime": "30 seconds"}
 
 
 def metrics_stream(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from barlens.functions.rules import RegimeLimits, regime_label
 from barlens.operators import features
-from barlens.plans.feature_table import feature_documents, feature_table
+from barlens.plans.feature_table import feature_documents, feature_table, publish_features
 
 
 def close_to(values, expected):
@@ -162,3 +162,13 @@ def test_documents_are_complete_rows_with_ids(series):
     assert column(docs, "doc_id")[0] == "A_20240331000000"
     assert docs.count() == 10
     assert feature_documents(feature_table(series(closes)), required=["Close"]).count() == 100
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "json"])
+def test_publish_writes_table_and_documents(spark, series, tmp_path, fmt):
+    data = series([100.0 + (i * 7) % 13 for i in range(100)])
+    table, docs = str(tmp_path / "table"), str(tmp_path / "docs")
+    for _ in range(2):
+        publish_features(data, table, docs, fmt=fmt)
+    assert spark.read.format(fmt).load(table).count() == 100
+    assert spark.read.parquet(docs).count() == 10
