@@ -4,8 +4,8 @@
 for ordinary instruments and is used for them. Instruments above a row limit ("hot") are cut
 into blocks of consecutive bars, each small enough for a task:
 
-1. The hot rows are range-partitioned by (key, time, ...) and written once. The partition a
-   row landed in is its block; a running row id gives its place in the order.
+1. The hot rows are range-partitioned by (key, time, tie-break, row number) and written. The
+   partition a row landed in is its block; a running row id gives its place in the order.
 2. A small table with one row per (key, block) holds the place of the block in the history
    of its instrument and what later blocks need from it: first close and running maximum.
 3. Every block gets the last ``lookback`` rows in front of it as extra "lead-in" rows, so
@@ -187,7 +187,15 @@ def _quoted(names: list[str]) -> list[str]:
 
 
 def _written_blocks(rows: DataFrame, spec: BarSpec, parts: int) -> DataFrame:
-    ordered = ordered_rows(rows, [spec.key, *spec.order], parts)
+    """Hot rows in order, with their block and place.
+
+    Written as they come first: a scan of files numbers its rows the same way in every
+    attempt, so the number may serve as the last sort key and splits ties and copies. It
+    also keeps the sampling of the range partitioning from computing the rows twice.
+    """
+    numbered = stage(rows, "hot-rows").withColumn(PLACE, F.monotonically_increasing_id())
+    order = [*_quoted([spec.key, *spec.order]), PLACE]
+    ordered = numbered.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     placed = ordered.withColumns(
         {BLOCK: F.spark_partition_id(), PLACE: F.monotonically_increasing_id()}
     )

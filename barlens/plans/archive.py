@@ -17,7 +17,7 @@ from barlens.operators.merge import (
     slice_stats,
 )
 from barlens.schema import BAR_SCHEMA
-from barlens.session import stage
+from barlens.session import Staging
 from barlens.sinks.tables import read_if_there, write_partitions
 from barlens.sources.bars import range_filter, tickers_in
 
@@ -52,22 +52,25 @@ def archive_batch(
     ``ticker`` as a second one gives a folder per slice, for few instruments. Running a batch
     twice adds nothing.
     """
+    spark = records.sparkSession
     good, bad = archivable(records)
     if quarantine:
         bad.write.mode("append").json(quarantine)
     period = partition_by[0]
     if period in PERIODS:
         good = good.withColumn(period, F.date_format("date", PERIODS[period]))
-    incoming = stage(good, "archive-in")
-    stored = read_if_there(records.sparkSession, path, incoming.schema, fmt)
-    touched = only_partitions(stored, incoming, period)
-    fresh = stage(new_records(incoming, touched, ARCHIVE_KEY, dedup_within_batch), "archive-new")
-    stats = stage(merge_stats(slice_stats(incoming, touched, fresh)), "archive-stats")
-    changed = incoming if rewrite_unchanged and not append else fresh
-    if not changed.isEmpty():
-        rows = fresh if append else only_partitions(touched, changed, period).unionByName(fresh)
-        write_partitions(rows, path, partition_by, ARCHIVE_KEY, fmt, append=append)
-    return stats
+    with Staging(spark, "archive") as staging:
+        incoming = staging.hold(good, "incoming")
+        stored = read_if_there(spark, path, incoming.schema, fmt)
+        touched = only_partitions(stored, incoming, period)
+        fresh = staging.hold(new_records(incoming, touched, ARCHIVE_KEY, dedup_within_batch), "fresh")
+        stats = merge_stats(slice_stats(incoming, touched, fresh))
+        run = spark.createDataFrame(stats.collect(), stats.schema)
+        changed = incoming if rewrite_unchanged and not append else fresh
+        if not changed.isEmpty():
+            rows = fresh if append else only_partitions(touched, changed, period).unionByName(fresh)
+            write_partitions(rows, path, partition_by, ARCHIVE_KEY, fmt, append=append)
+    return run
 
 
 def backfill(

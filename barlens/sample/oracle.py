@@ -132,6 +132,12 @@ ARCHIVE_RESULT = """
     UNION ALL SELECT date, ticker, "time", "Close", "Volume" FROM fresh
     UNION ALL SELECT date, ticker, "time", "Close", "Volume" FROM fresh WHERE d % 5 = 0"""
 
+COMPLETE_DOCUMENTS = """
+    SELECT ticker || '_' || strftime("time", '%Y%m%d%H%M%S') AS doc_id, ticker, company, month, "time",
+           return_90d, market_regime
+    FROM features WHERE return_90d IS NOT NULL AND return_30d IS NOT NULL AND vol IS NOT NULL
+         AND volume_ratio IS NOT NULL AND trend_strength IS NOT NULL"""
+
 TREND = 'SELECT ticker, "time", ma50, ma100, ma200 FROM features'
 VOLATILITY_PER_BAR = 'SELECT ticker, month, "time", "Close", monthly_volatility FROM features'
 
@@ -163,11 +169,8 @@ ORACLE = {
         {_features('"time", l_orderkey, l_linenumber, l_extendedprice, l_partkey')}
         SELECT ticker, month, "time", "Close", "Volume", l_orderkey, l_linenumber, l_extendedprice,
                l_partkey, {FEATURE_COLUMNS} FROM features""",
-    "feature_documents_complete": f"""WITH {FEATURES}
-        SELECT ticker || '_' || strftime("time", '%Y%m%d%H%M%S') AS doc_id, ticker, company, month, "time",
-               return_90d, market_regime
-        FROM features WHERE return_90d IS NOT NULL AND return_30d IS NOT NULL AND vol IS NOT NULL
-             AND volume_ratio IS NOT NULL AND trend_strength IS NOT NULL""",
+    "feature_documents_complete": f"WITH {FEATURES} {COMPLETE_DOCUMENTS}",
+    "feature_documents_published": f"WITH {FEATURES} {COMPLETE_DOCUMENTS}",
     "cast_to_float": f"""WITH {BARS}
         SELECT ticker, "time", CAST(CAST("Open" AS FLOAT) AS DOUBLE) AS "Open",
                CAST(CAST("High" AS FLOAT) AS DOUBLE) AS "High", CAST(CAST("Low" AS FLOAT) AS DOUBLE) AS "Low",
@@ -261,6 +264,11 @@ ORACLE = {
                  + (SELECT count(*) FROM days WHERE d % 3 = 2) AS total_records""",
     "archive_slices_present": f"WITH {ARCHIVE} SELECT date, ticker FROM days WHERE d % 3 = 2",
     "archive_written": f"WITH {ARCHIVE} {ARCHIVE_RESULT}",
+    "backfill_stats": f"""WITH {ARCHIVE}, chosen AS (
+          SELECT * FROM days WHERE CAST(ticker AS BIGINT) BETWEEN 1 AND 50
+                 AND date >= '1996-01-01' AND date < '2000-07-01')
+        SELECT count(*) FILTER (d % 3 = 0) AS slices_written, count(*) FILTER (d % 3 <> 0) AS slices_skipped,
+               count(*) FILTER (d % 3 = 0) AS new_records, count(*) AS total_records FROM chosen""",
     "archive_stream": f"""WITH {MESSAGES}
         SELECT strftime(bar_time, '%Y-%m-%d') AS date, ticker, stamp AS "time",
                CASE WHEN kind <> 5 THEN "Close" END AS "Close",

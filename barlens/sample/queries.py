@@ -16,8 +16,8 @@ from barlens.operators.heat import HeatPolicy, hot_keys
 from barlens.operators.lookup import attach
 from barlens.operators.merge import archive_merge, merge_stats, new_records, slice_stats, slices_present
 from barlens.operators.windows import bar_windows, move_alerts, window_metrics
-from barlens.plans.archive import archive_batch
-from barlens.plans.feature_table import feature_documents, feature_table
+from barlens.plans.archive import archive_batch, backfill
+from barlens.plans.feature_table import feature_documents, feature_table, publish_features
 from barlens.sample import inputs
 from barlens.schema import BAR_SCHEMA, ENVELOPE_SCHEMA, BarSpec
 from barlens.session import stage, work_folder
@@ -174,6 +174,17 @@ def feature_documents_complete(spark, folder):
     return out.select("doc_id", "ticker", "company", "month", "time", "return_90d", "market_regime")
 
 
+@query
+def feature_documents_published(spark, folder):
+    """The daily job: feature table and documents written, documents read back."""
+    bars = inputs.bars_from_lineitem(spark, folder, company=True)
+    table, documents = work_folder(spark, "features"), work_folder(spark, "feature-documents")
+    publish_features(bars, table, documents, heat=known_heat(spark, folder))
+    return spark.read.parquet(documents).select(
+        "doc_id", "ticker", "company", "month", "time", "return_90d", "market_regime"
+    )
+
+
 @query
 def cast_to_float(spark, folder):
     bars = quality.cast_prices(inputs.bars_from_lineitem(spark, folder), "float")
@@ -465,6 +476,19 @@ def archive_written(spark, folder):
     return _dated(spark.read.parquet(path).select(*ARCHIVED))
 
 
+@query
+def backfill_stats(spark, folder):
+    """Statistics of a backfill over an archive that already holds a third of the bars."""
+    path = work_folder(spark, "backfill")
+    stored, _ = archive_sides(spark, folder)
+    archive_batch(_as_bars(stored), path, partition_by=("year",))
+    bars = inputs.bars_from_lineitem(spark, folder)
+    text = F.date_format("time", "yyyy-MM-dd HH:mm:ss")
+    history = _as_bars(bars.withColumn("time", text)).withColumn("source_time", F.to_timestamp("time"))
+    tickers = [str(n) for n in range(1, 51)]
+    return backfill(history, path, tickers, start="1996-01-01", end="2000-07-01", partition_by=("year",))
+
+
 @query
 def archive_stream(spark, folder):
     """Messages archived by a bounded stream; damaged ones stay out."""

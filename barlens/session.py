@@ -53,6 +53,27 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
     Cuts the lineage and fixes values that a retried task could produce differently.
     """
-    path = work_folder(df.sparkSession, label)
+    return _write_and_read(df, work_folder(df.sparkSession, label))
+
+
+def _write_and_read(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Staging:
+    """Staged tables that one job needs only until it returns; removed on leaving the block."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        self._spark = spark
+        self._folder = work_folder(spark, label)
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, *_) -> None:
+        folder = self._spark._jvm.org.apache.hadoop.fs.Path(self._folder)
+        folder.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+    def hold(self, df: DataFrame, name: str) -> DataFrame:
+        return _write_and_read(df, f"{self._folder}/{name}")

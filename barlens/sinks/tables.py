@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from barlens.operators.heat import ordered_rows
 from barlens.operators.merge import only_partitions, replace_by_key
-from barlens.session import stage
+from barlens.session import Staging
 
 
 def write_table(
@@ -75,12 +75,15 @@ def upsert_by_key(
 
     The key must imply the partition. Only partitions with new documents are read and
     rewritten. Writing the same documents again changes nothing, which makes replays safe.
+    A frame the caller has persisted is used as it is, any other is staged first.
     """
-    changed = stage(df, "upsert")
-    stored = read_if_there(df.sparkSession, path, changed.schema, fmt)
-    touched = only_partitions(stored, changed, partition)
-    merged = replace_by_key(touched, changed, [key], latest)
-    write_partitions(merged, path, [partition], [key], fmt)
+    spark = df.sparkSession
+    with Staging(spark, "upsert") as staging:
+        changed = df if df.is_cached else staging.hold(df, "changed")
+        stored = read_if_there(spark, path, changed.schema, fmt)
+        touched = only_partitions(stored, changed, partition)
+        merged = replace_by_key(touched, changed, [key], latest)
+        write_partitions(merged, path, [partition], [key], fmt)
 
 
 def index_options(

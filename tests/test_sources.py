@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from barlens.operators.merge import listed_values, only_partitions
 from barlens.schema import BarSpec
-from barlens.session import work_folder
+from barlens.session import Staging, work_folder
 from barlens.sinks.tables import index_options
 from barlens.sources import bars as src
 from barlens.sources.streams import kafka_options
@@ -75,3 +75,11 @@ def test_work_folder_follows_the_session(spark):
     assert folder != work_folder(spark, "x")
     if root:
         assert folder.startswith(root.rstrip("/"))
+
+
+def test_staging_removes_its_tables(spark, tmp_path):
+    with Staging(spark, "t") as staging:
+        staging._folder = str(tmp_path / "stage")
+        assert staging.hold(spark.range(3).toDF("x"), "one").count() == 3
+        assert (tmp_path / "stage" / "one").exists()
+    assert not (tmp_path / "stage").exists()
