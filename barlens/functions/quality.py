@@ -37,8 +37,13 @@ def _with_fields(value: Column, build: Callable[[Column], Column]) -> Column:
 
 
 def parse_time(text: Column, pattern: str = TIME_PATTERN_WITH_OFFSET) -> Column:
-    """Text with an offset pattern, else any ISO form; null if neither fits."""
-    return F.coalesce(F.try_to_timestamp(text, F.lit(pattern)), F.try_to_timestamp(text))
+    """Text in the given pattern, else in any ISO form; null if neither fits.
+
+    The default pattern is an ISO form itself, so the order does not matter for it, and the
+    ISO parser, which fails cheaply, goes first.
+    """
+    patterned, iso = F.try_to_timestamp(text, F.lit(pattern)), F.try_to_timestamp(text)
+    return F.coalesce(iso, patterned) if pattern == TIME_PATTERN_WITH_OFFSET else F.coalesce(patterned, iso)
 
 
 def parse_bound(text: Column) -> Column:

@@ -33,6 +33,10 @@ TOP_BEFORE, FIRST_CLOSE = "_top_before", "_first_close"
 # reaches the driver. The rest keep the ordinary window, whatever their size.
 MAX_HOT_KEYS = 4096
 
+# The per-block table has at most one row per block and one per hot key. Up to this many rows
+# (some tens of MB) it is broadcast; beyond, Spark joins it by (key, block).
+MAX_BROADCAST_BLOCKS = 500_000
+
 
 @dataclass(frozen=True)
 class HeatPolicy:
@@ -226,7 +230,9 @@ def _block_summary(blocks: DataFrame, spec: BarSpec) -> DataFrame:
     )
 
 
-def _lead_in_rows(blocks: DataFrame, summary: DataFrame, spec: BarSpec, lookback: int) -> DataFrame:
+def _lead_in_rows(
+    blocks: DataFrame, summary: DataFrame, spec: BarSpec, lookback: int, small: bool, null_key: bool
+) -> DataFrame:
     """The last ``lookback`` rows in front of each block, tagged with that block.
 
     A short block may need rows from several earlier ones, so each block lists the later
@@ -250,12 +256,9 @@ def _lead_in_rows(blocks: DataFrame, summary: DataFrame, spec: BarSpec, lookback
         .where(F.size("_feeds") > 0)
         .drop("_here", "_next", "_end")
     )
-    tails = blocks.join(
-        reach,
-        F.col(spec.key).eqNullSafe(F.col("_k"))
-        & (F.col(BLOCK) == F.col("_b"))
-        & (F.col(PLACE) > F.col("_to") - lookback),
-    )
+    at_the_end = F.col(PLACE) > F.col("_to") - lookback
+    here = _same_block(spec, null_key)
+    tails = blocks.join(F.broadcast(reach) if small else reach, here & at_the_end)
     position = F.col("_start") + F.col(PLACE) - F.col("_from")
     read = {spec.key, spec.close, spec.volume, BLOCK, PLACE}
 
@@ -272,19 +275,28 @@ def _lead_in_rows(blocks: DataFrame, summary: DataFrame, spec: BarSpec, lookback
     )
 
 
+def _same_block(spec: BarSpec, null_key: bool) -> Column:
+    """Join condition with a per-block table. A plain equality where possible, because that
+    is what a shuffle by (key, block) serves."""
+    key = F.col(spec.key)
+    same_key = key.eqNullSafe(F.col("_k")) if null_key else key == F.col("_k")
+    return same_key & (F.col(BLOCK) == F.col("_b"))
+
+
 def _blocked(rows: DataFrame, spec: BarSpec, policy: HeatPolicy, hot: dict, lookback: int) -> DataFrame:
-    total = sum(hot.values())
-    blocks = _written_blocks(rows, spec, max(1, ceil(total / policy.block_rows)))
+    parts = max(1, ceil(sum(hot.values()) / policy.block_rows))
+    small, null_key = parts + len(hot) <= MAX_BROADCAST_BLOCKS, None in hot
+    blocks = _written_blocks(rows, spec, parts)
     summary = stage(_block_summary(blocks, spec), "hot-blocks")
     tagged = blocks.withColumn(LEAD_IN, F.lit(False))
     if lookback > 0:
-        lead_in = _lead_in_rows(blocks, summary, spec, lookback)
+        lead_in = _lead_in_rows(blocks, summary, spec, lookback, small, null_key)
         tagged = tagged.unionByName(lead_in.withColumn(LEAD_IN, F.lit(True)))
     carried = summary.select(
         F.col(spec.key).alias("_k"), F.col(BLOCK).alias("_b"), TOP_BEFORE, FIRST_CLOSE
     )
-    here = F.col(spec.key).eqNullSafe(F.col("_k")) & (F.col(BLOCK) == F.col("_b"))
-    return tagged.join(carried, here, "left").drop("_k", "_b")
+    carried = F.broadcast(carried) if small else carried
+    return tagged.join(carried, _same_block(spec, null_key), "left").drop("_k", "_b")
 
 
 def per_instrument(

@@ -28,8 +28,10 @@ def only_partitions(stored: DataFrame, changed: DataFrame, column: str) -> DataF
     """Stored rows in the partitions that ``changed`` touches, read without the others."""
     values = listed_values(changed, column)
     if values is None:
-        return stored.join(changed.select(column).distinct(), column, "left_semi")
-    return stored.where(F.col(column).isin(values))
+        touched = changed.select(F.col(column).alias("_touched")).distinct()
+        return stored.join(touched, F.col(column).eqNullSafe(F.col("_touched")), "left_semi")
+    listed = F.col(column).isin([v for v in values if v is not None])
+    return stored.where(listed | F.col(column).isNull() if None in values else listed)
 
 
 def one_per_key(rows: DataFrame, key: Sequence[str], latest: Column | None = None) -> DataFrame:

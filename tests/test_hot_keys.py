@@ -41,8 +41,10 @@ def assert_same(left, right):
     assert right.exceptAll(left).count() == 0
 
 
-@pytest.mark.parametrize("seed, block", [(1, 37), (2, 150), (3, 450), (4, 5000)])
-def test_feature_table_in_blocks(spark, seed, block):
+@pytest.mark.parametrize("seed, block, broadcast", [(1, 37, True), (2, 150, False), (3, 450, True), (4, 5000, True)])
+def test_feature_table_in_blocks(spark, monkeypatch, seed, block, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(heat, "MAX_BROADCAST_BLOCKS", 0)
     data = skewed(spark, seed).cache()
     heat_policy = HeatPolicy(max_rows_per_key=200, block_rows=block)
     assert set(hot_keys(data, "ticker", heat_policy)) == {"HOT", "WARM", "N"}
