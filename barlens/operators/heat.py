@@ -17,14 +17,14 @@ Results are the same rows with the same values either way; only the plan differs
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from barlens.schema import BarSpec
-from barlens.session import stage
+from barlens.session import ROWS_PER_TASK, stage, tasks_for
 
 BLOCK, PLACE, LEAD_IN = "_block", "_place", "_lead_in"
 TOP_BEFORE, FIRST_CLOSE = "_top_before", "_first_close"
@@ -42,12 +42,14 @@ MAX_BROADCAST_BLOCKS = 500_000
 class HeatPolicy:
     """When an instrument counts as hot, and how large its blocks are.
 
-    ``known`` skips the counting pass: a mapping from key to its (approximate) row count.
+    ``known`` skips the counting pass: a mapping from hot keys to their (approximate) row
+    counts. ``rows`` then says how many rows there are in all, to size the shuffle.
     """
 
     max_rows_per_key: int = 2_000_000
-    block_rows: int = 1_000_000
+    block_rows: int = ROWS_PER_TASK
     known: dict | None = None
+    rows: int | None = None
 
 
 DEFAULT_HEAT = HeatPolicy()
@@ -142,21 +144,31 @@ def _join_null_safe(rows: DataFrame, lookup: DataFrame, by: list[str]) -> DataFr
     return rows.join(renamed, same, "left").drop(*[f"_g_{c}" for c in by])
 
 
-def hot_keys(rows: DataFrame, key: str, policy: HeatPolicy = DEFAULT_HEAT) -> dict:
-    """Instruments with more rows than the policy allows in one task, with their counts.
+def with_counts(rows: DataFrame, key: str, policy: HeatPolicy = DEFAULT_HEAT) -> HeatPolicy:
+    """The policy with hot keys and total filled in, by one count per key.
 
     ``rows`` may be any frame that has at least as many rows per key as the bars themselves,
-    such as the raw table the bars are built from. Counting is combined before the shuffle.
+    such as the raw table the bars are built from. Counting is combined before the shuffle,
+    and the total is observed on the way.
     """
+    if policy.known is not None:
+        return policy
+    seen = Observation()
     found = (
         rows.groupBy(key)
         .count()
+        .observe(seen, F.sum("count").alias("rows"))
         .where(F.col("count") > policy.max_rows_per_key)
         .orderBy(F.desc("count"))
         .limit(MAX_HOT_KEYS)
         .collect()
     )
-    return {row[0]: row[1] for row in found}
+    return replace(policy, known={row[0]: row[1] for row in found}, rows=seen.get["rows"] or 0)
+
+
+def hot_keys(rows: DataFrame, key: str, policy: HeatPolicy = DEFAULT_HEAT) -> dict:
+    """Instruments with more rows than the policy allows in one task, with their counts."""
+    return with_counts(rows, key, policy).known
 
 
 def is_hot(key: str, hot: dict) -> Column:
@@ -164,24 +176,25 @@ def is_hot(key: str, hot: dict) -> Column:
     return listed | F.col(key).isNull() if None in hot else F.coalesce(listed, F.lit(False))
 
 
-def ordered_rows(rows: DataFrame, order: list[str], parts: int | None = None) -> DataFrame:
+def ordered_rows(
+    rows: DataFrame, order: list[str], parts: int | None = None, copies: bool = True
+) -> DataFrame:
     """Range-partition and sort so that no partition is large, whatever the key distribution.
 
     Rows that agree in all order columns, copies included, would stick together in a range
-    partition. A row id splits them. It is taken after sorting each partition by all columns
-    (a hash of them first, which is cheap to compare): a retried task then hands out the same
-    ids up to identical rows, so nothing can be lost or doubled. Spark sorts before a
-    round-robin repartition for the same reason.
+    partition. Where ``copies`` may be many, a row id splits them. It is taken after sorting
+    each partition by all columns (a hash of them first, which is cheap to compare): a retried
+    task then hands out the same ids up to identical rows, so nothing can be lost or doubled.
+    Spark sorts before a round-robin repartition for the same reason.
     """
-    everything = _quoted(order + [c for c in rows.columns if c not in order])
-    numbered = rows.sortWithinPartitions(F.xxhash64(*everything), *everything).withColumn(
-        PLACE, F.monotonically_increasing_id()
-    )
-    total_order = [*everything, PLACE]
+    total_order = _quoted(order)
+    if copies:
+        everything = _quoted(order + [c for c in rows.columns if c not in order])
+        rows = rows.sortWithinPartitions(F.xxhash64(*everything), *everything)
+        rows = rows.withColumn(PLACE, F.monotonically_increasing_id())
+        total_order = [*everything, PLACE]
     spread = (
-        numbered.repartitionByRange(parts, *total_order)
-        if parts
-        else numbered.repartitionByRange(*total_order)
+        rows.repartitionByRange(parts, *total_order) if parts else rows.repartitionByRange(*total_order)
     )
     return spread.sortWithinPartitions(*total_order).drop(PLACE)
 
@@ -299,6 +312,12 @@ def _blocked(rows: DataFrame, spec: BarSpec, policy: HeatPolicy, hot: dict, look
     return tagged.join(carried, _same_block(spec, null_key), "left").drop("_k", "_b")
 
 
+def _spread(bars: DataFrame, key: str, policy: HeatPolicy) -> DataFrame:
+    """Shuffle by instrument into enough partitions; the windows find their rows in place."""
+    parts = tasks_for(bars.sparkSession, (policy.rows or 0) - sum(policy.known.values()), policy.block_rows)
+    return bars.repartition(parts, key) if parts else bars
+
+
 def per_instrument(
     bars: DataFrame,
     spec: BarSpec,
@@ -311,11 +330,13 @@ def per_instrument(
     ``build`` declares its windows through the layout it is given and looks back no further
     than ``lookback`` rows other than through the layout's own running aggregates.
     """
-    hot = hot_keys(bars, spec.key, policy) if policy.known is None else policy.known
+    policy = with_counts(bars, spec.key, policy)
+    hot = policy.known
+    plain = Layout(spec, blocked=False)
     if not hot:
-        return build(bars, Layout(spec, blocked=False))
+        return build(_spread(bars, spec.key, policy), plain)
     chosen = is_hot(spec.key, hot)
-    ordinary = build(bars.where(~chosen), Layout(spec, blocked=False))
+    ordinary = build(_spread(bars.where(~chosen), spec.key, policy), plain)
     blocks = _blocked(bars.where(chosen), spec, policy, hot, lookback)
     in_blocks = build(blocks, Layout(spec, blocked=True, null_key=None in hot)).drop(BLOCK)
     return ordinary.unionByName(in_blocks)

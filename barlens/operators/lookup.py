@@ -24,8 +24,8 @@ def attach(
     which a retried task gets again.
     """
     by = list(by)
-    hot = hot_keys(rows, by[0], policy) if policy.known is None else policy.known
-    hot = {key: count for key, count in hot.items() if key is not None}
+    counted = hot_keys(rows, by[0], policy)
+    hot = {key: count for key, count in counted.items() if key is not None}
     if not hot:
         return rows.join(lookup, by, "left")
     salts = rows.sparkSession.createDataFrame(

@@ -11,13 +11,14 @@ from pyspark.sql.types import DateType, StructType
 from barlens.functions.quality import archive_date, split_valid, with_problem
 from barlens.operators.merge import (
     ARCHIVE_KEY,
+    crowded_keys,
     merge_stats,
     new_records,
     only_partitions,
     slice_stats,
 )
 from barlens.schema import BAR_SCHEMA
-from barlens.session import Staging
+from barlens.session import Staging, tasks_for
 from barlens.sinks.tables import read_if_there, write_partitions
 from barlens.sources.bars import range_filter, tickers_in
 
@@ -69,7 +70,9 @@ def archive_batch(
         changed = incoming if rewrite_unchanged and not append else fresh
         if not changed.isEmpty():
             rows = fresh if append else only_partitions(touched, changed, period).unionByName(fresh)
-            write_partitions(rows, path, partition_by, ARCHIVE_KEY, fmt, append=append)
+            parts = tasks_for(spark, rows.count())
+            copies = crowded_keys(rows, ARCHIVE_KEY) is not None
+            write_partitions(rows, path, partition_by, ARCHIVE_KEY, fmt, parts, append, copies)
     return run
 
 

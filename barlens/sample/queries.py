@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 from functools import wraps
 
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from barlens.functions import quality
 from barlens.functions.rules import month_of
 from barlens.operators import features
-from barlens.operators.heat import HeatPolicy, hot_keys
+from barlens.operators.heat import HeatPolicy, with_counts
 from barlens.operators.lookup import attach
 from barlens.operators.merge import archive_merge, merge_stats, new_records, slice_stats, slices_present
 from barlens.operators.windows import bar_windows, move_alerts, window_metrics
@@ -46,9 +47,8 @@ def query(build: Query) -> Query:
 
 def known_heat(spark: SparkSession, folder: str) -> HeatPolicy:
     """Hot instruments, judged from the raw lines: one narrow column, before any bar is built."""
-    lines = inputs.table(spark, folder, "lineitem")
-    found = hot_keys(lines, "l_suppkey")
-    return HeatPolicy(known={str(key): count for key, count in found.items()})
+    counted = with_counts(inputs.table(spark, folder, "lineitem"), "l_suppkey")
+    return replace(counted, known={str(key): count for key, count in counted.known.items()})
 
 
 def local_times(df: DataFrame) -> DataFrame:

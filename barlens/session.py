@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,6 +62,20 @@ def _write_and_read(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Rows a task can hold and sort with ease.
+ROWS_PER_TASK = 1_000_000
+
+
+def tasks_for(spark: SparkSession, rows: int, rows_per_task: int = ROWS_PER_TASK) -> int | None:
+    """Partitions for a shuffle of ``rows``, or None if the session's setting is enough.
+
+    Up to that setting adaptive execution merges partitions by their size; it does not split
+    them, so larger inputs state the number they need.
+    """
+    needed = ceil(rows / rows_per_task)
+    return needed if needed > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+
+
 class Staging:
     """Staged tables that one job needs only until it returns; removed on leaving the block."""
 

@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from barlens.operators.heat import ordered_rows
 from barlens.operators.merge import only_partitions, replace_by_key
-from barlens.session import Staging
+from barlens.session import Staging, tasks_for
 
 
 def write_table(
@@ -45,16 +45,18 @@ def write_partitions(
     fmt: str = "parquet",
     parts: int | None = None,
     append: bool = False,
+    copies: bool = True,
 ) -> None:
     """Replace exactly the partitions that ``df`` holds, or add files to them.
 
     Rows are spread by range over (partition, sort columns), so a partition with a large
     share of the rows becomes several files in order instead of one task's work, and small
-    partitions share a task. One writer per table at a time.
+    partitions share a task. ``copies`` says that many rows may agree in all of these
+    columns. One writer per table at a time.
     """
     order = [*partition_by, *[c for c in sort_by if c not in partition_by]]
     (
-        ordered_rows(df, order, parts)
+        ordered_rows(df, order, parts, copies)
         .write.mode("append" if append else "overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
@@ -83,7 +85,8 @@ def upsert_by_key(
         stored = read_if_there(spark, path, changed.schema, fmt)
         touched = only_partitions(stored, changed, partition)
         merged = replace_by_key(touched, changed, [key], latest)
-        write_partitions(merged, path, [partition], [key], fmt)
+        parts = tasks_for(spark, touched.count() + changed.count())
+        write_partitions(merged, path, [partition], [key], fmt, parts, copies=False)
 
 
 def index_options(

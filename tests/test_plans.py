@@ -3,9 +3,10 @@
 import pytest
 
 from barlens.operators.features import return_features
-from barlens.operators.heat import HeatPolicy
+from barlens.operators.heat import HeatPolicy, with_counts
 from barlens.operators.windows import window_metrics
 from barlens.plans.feature_table import feature_table
+from barlens.session import tasks_for
 from barlens.sources.bars import latest_per_key, range_filter, tickers_in
 from barlens.sources.streams import EVENT, stamp_clock
 
@@ -58,3 +59,20 @@ def test_window_metrics_are_combined_before_the_shuffle(stored, spark):
     text = plan(window_metrics(stamp_clock(rows, EVENT)))
     assert text.count("Exchange hashpartitioning") == 1 and "partial_sum" in text
     assert "SortAggregate" not in text
+
+
+def test_large_inputs_state_their_partitions(stored):
+    text = plan(feature_table(stored, heat=HeatPolicy(known={}, rows=70_000_000)))
+    assert "Exchange hashpartitioning(ticker" in text and ", 70)" in text
+    assert text.count("Exchange") == 1
+
+
+def test_counting_fills_in_the_policy(stored):
+    counted = with_counts(stored, "ticker", HeatPolicy(max_rows_per_key=30))
+    assert (counted.known, counted.rows) == ({"A": 40}, 40)
+    assert with_counts(stored.limit(0), "ticker").rows == 0
+
+
+def test_tasks_follow_the_rows(spark):
+    assert tasks_for(spark, 1000) is None
+    assert tasks_for(spark, 1000, 10) == 100
