@@ -31,9 +31,9 @@ def as_map(value: Column) -> Column:
 
 
 def _with_fields(value: Column, build: Callable[[Column], Column]) -> Column:
-    """``build`` applied to the decoded map. The map is a lambda variable, so that the payload
-    is parsed once however often ``build`` refers to it."""
-    return F.transform(F.array(as_map(value)), build)[0]
+    """One-element array of ``build`` applied to the decoded map. The map is a lambda variable,
+    so that the payload is parsed once however often ``build`` refers to it."""
+    return F.transform(F.array(as_map(value)), build)
 
 
 def parse_time(text: Column, pattern: str = TIME_PATTERN_WITH_OFFSET) -> Column:
@@ -89,7 +89,7 @@ def missing_fields(value: Column | str, required: Sequence[str] = REQUIRED_FIELD
         unknown = F.filter(names, lambda n: ~F.map_contains_key(fields, n))
         return F.when(fields.isNull(), names).otherwise(unknown)
 
-    return _with_fields(F.col(value) if isinstance(value, str) else value, absent)
+    return _with_fields(F.col(value) if isinstance(value, str) else value, absent)[0]
 
 
 def with_validity(messages: DataFrame, value: str = "value") -> DataFrame:
@@ -133,7 +133,8 @@ def standardise(
             fields.isNull().alias("_broken"),
         )
 
-    bars = messages.select(*keep, _with_fields(F.col(value), build).alias("_bar")).select(*keep, "_bar.*")
+    # A generator, unlike a projection, is not repeated inside filters on its output.
+    bars = messages.select(*keep, F.inline(_with_fields(F.col(value), build)))
     problem = F.when(F.col("_broken"), F.lit("bad_json"))
     for name in PRICE_FIELDS:
         problem = problem.when(F.col(name).isNull(), F.lit(name))

@@ -11,6 +11,7 @@ from pyspark.sql.types import DateType, StructType
 from barlens.functions.quality import archive_date, split_valid, with_problem
 from barlens.operators.merge import (
     ARCHIVE_KEY,
+    MAX_COPIES,
     crowded_keys,
     merge_stats,
     new_records,
@@ -43,12 +44,14 @@ def archive_batch(
     rewrite_unchanged: bool = False,
     append: bool = False,
     quarantine: str | None = None,
+    max_copies: int = MAX_COPIES,
 ) -> DataFrame:
     """Merge decoded bars into the archive at ``path`` and return the run's statistics.
 
     Only partitions in the batch are read, and only those that gain rows are rewritten, unless
     ``rewrite_unchanged`` is set. With ``append`` nothing stored is rewritten: new rows become
-    further files, each in order by itself, which suits frequent small batches. The first partition column is ``date``, ``month`` or
+    further files, each in order by itself, which suits frequent small batches. Bars that come
+    more than ``max_copies`` times are kept from meeting in one task. The first partition column is ``date``, ``month`` or
     ``year``; inside a partition rows are in (date, instrument, time) order. Adding
     ``ticker`` as a second one gives a folder per slice, for few instruments. Running a batch
     twice adds nothing.
@@ -64,14 +67,15 @@ def archive_batch(
         incoming = staging.hold(good, "incoming")
         stored = read_if_there(spark, path, incoming.schema, fmt)
         touched = only_partitions(stored, incoming, period)
-        fresh = staging.hold(new_records(incoming, touched, ARCHIVE_KEY, dedup_within_batch), "fresh")
+        new = new_records(incoming, touched, ARCHIVE_KEY, dedup_within_batch, max_copies)
+        fresh = staging.hold(new, "fresh")
         stats = merge_stats(slice_stats(incoming, touched, fresh))
         run = spark.createDataFrame(stats.collect(), stats.schema)
         changed = incoming if rewrite_unchanged and not append else fresh
         if not changed.isEmpty():
             rows = fresh if append else only_partitions(touched, changed, period).unionByName(fresh)
             parts = tasks_for(spark, rows.count())
-            copies = crowded_keys(rows, ARCHIVE_KEY) is not None
+            copies = crowded_keys(rows, ARCHIVE_KEY, max_copies) is not None
             write_partitions(rows, path, partition_by, ARCHIVE_KEY, fmt, parts, append, copies)
     return run
 

@@ -203,6 +203,7 @@ def latest_bar(spark, folder):
 
 @query
 def range_and_tickers(spark, folder):
+    """An allow-list of instruments and two years up to a date: the selection is the feature."""
     bars = inputs.bars_from_lineitem(spark, folder)
     chosen = bar_sources.tickers_in(bars, "1, 2 ,3,5,8")
     return bar_sources.range_filter(chosen, end="1999-01-01", days=730)

@@ -62,6 +62,17 @@ def _write_and_read(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _located(spark: SparkSession, path: str):
+    """A path and the file system it lies in."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    folder, files = _located(spark, path)
+    return files.exists(folder)
+
+
 # Rows a task can hold and sort with ease.
 ROWS_PER_TASK = 1_000_000
 
@@ -87,8 +98,8 @@ class Staging:
         return self
 
     def __exit__(self, *_) -> None:
-        folder = self._spark._jvm.org.apache.hadoop.fs.Path(self._folder)
-        folder.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(folder, True)
+        folder, files = _located(self._spark, self._folder)
+        files.delete(folder, True)
 
     def hold(self, df: DataFrame, name: str) -> DataFrame:
         return _write_and_read(df, f"{self._folder}/{name}")

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from barlens.operators.heat import ordered_rows
 from barlens.operators.merge import only_partitions, replace_by_key
-from barlens.session import Staging, tasks_for
+from barlens.session import Staging, path_exists, tasks_for
 
 
 def write_table(
@@ -29,12 +28,9 @@ def read_if_there(
     spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet"
 ) -> DataFrame:
     """The table at ``path``, or no rows if nothing has been written there yet."""
-    try:
-        return spark.read.schema(schema).format(fmt).load(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).format(fmt).load(path)
 
 
 def write_partitions(

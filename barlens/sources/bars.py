@@ -40,7 +40,7 @@ def read_bars(
 
 
 def read_messages(spark: SparkSession, fmt: str, schema: StructType | None = None, **options: str) -> DataFrame:
-    """Bounded read of a queue: ``kafka`` by default usage, any batch format in tests."""
+    """Bounded read of a queue (``kafka`` with ``kafka_range_options``) or of any other format."""
     reader = spark.read.format(fmt).options(**options)
     return (reader.schema(schema) if schema else reader).load()
 
@@ -73,10 +73,14 @@ def time_bounds(
     """Resolve ``start`` or ``days`` (exactly one) and ``end`` (default: now)."""
     if (start is None) == (days is None):
         raise ValueError("give either start or days")
-    upper = _moment(end) if end is not None else (now or datetime.now())
+    upper = _moment(end) if end is not None else (now or _utc_now())
     return (upper - timedelta(days=days) if days is not None else _moment(start)), upper
 
 
+def _utc_now() -> datetime:
+    return datetime.now(timezone.utc).replace(tzinfo=None)
+
+
 def _moment(value: str | date) -> datetime:
     if isinstance(value, datetime):
         return value

@@ -171,3 +171,19 @@ def test_rewrite_unchanged_slices_on_request(spark, records, tmp_path):
     archive_batch(batch, path, rewrite_unchanged=True)
     assert {p.name for p in folder.glob("*.parquet")} != before
     assert times(read(spark, path)) == [(T.format(1), 1.0)]
+
+
+def test_very_many_copies_are_spread_over_files(spark, records, tmp_path):
+    path = str(tmp_path / "a")
+    one = records(("A", T.format(1), 1.0), ("B", T.format(2), 2.0))
+    copies = F.when(F.col("ticker") == "A", 6000).otherwise(1)
+    batch = one.withColumn("n", F.explode(F.sequence(F.lit(1), copies))).drop("n").repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert archive_batch(batch, path, max_copies=100).first().new_records == 6001
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    per_file = [r[1] for r in read(spark, path).groupBy(F.input_file_name()).count().collect()]
+    assert sum(per_file) == 6001 and max(per_file) < 4000
+    assert archive_batch(batch, path, max_copies=100).first().new_records == 0
+    assert read(spark, path).count() == 6001
