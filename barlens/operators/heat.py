@@ -11,7 +11,8 @@ into blocks of consecutive bars, each small enough for a task:
 3. Every block gets the last ``lookback`` rows in front of it as extra "lead-in" rows, so
    that bounded frames and lags see their full past. Windows then run per (key, block).
 
-Results are the same rows with the same values either way; only the plan differs.
+Rows and values are the same either way; only a deviation may differ in its last bits, since its
+partial sums combine in another order.
 """
 
 from __future__ import annotations
