@@ -2,6 +2,124 @@
 
 from __future__ import annotations
 
-_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-ORACLE: dict[str, str] = {}
+
+def _ascii_lower(text: str) -> str:
+    return f"translate({text}, '{_UPPER}', '{_LOWER}')"
+
+
+def _words(text: str) -> str:
+    return rf"regexp_extract_all(coalesce({text}, ''), '[^\x20\x09-\x0D]+')"
+
+
+QUALITY = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t, {_words("text")} AS w
+  FROM documents),
+windows AS (
+  SELECT rid, i, md5(array_to_string(w[i:i + 7], ' ')) AS g
+  FROM (SELECT rid, w, unnest(range(1, len(w) - 6)) AS i FROM d)),
+repeated AS (
+  SELECT rid, i FROM (SELECT *, count(*) OVER (PARTITION BY rid, g) AS n FROM windows) WHERE n > 1),
+repeat_words AS (
+  SELECT rid, count(DISTINCT i + k) AS n FROM repeated, (SELECT unnest(range(8)) AS k) GROUP BY rid),
+lines AS (
+  SELECT rid, count(*) - count(DISTINCT l) AS n
+  FROM (SELECT rid, unnest(string_split(t, chr(10))) AS l FROM d)
+  WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY rid),
+m AS (
+  SELECT doc_id, source, len(w)::BIGINT AS n_words,
+    coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+    (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+    coalesce(l.n, 0)::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words
+  FROM d LEFT JOIN lines l USING (rid) LEFT JOIN repeat_words r USING (rid)),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m),
+hosts AS (
+  SELECT source, count(*) AS n, sum((base_failed OR n_symbols > 0.1 * word_chars
+    OR coalesce(word_chars / nullif(n_words, 0) NOT BETWEEN 2.0 AND 15.0, false))::INT) AS f
+  FROM b WHERE source IS NOT NULL GROUP BY source),
+spread AS (SELECT avg(f / n) AS mean, coalesce(var_samp(f / n), 0) AS v FROM hosts),
+prior AS (
+  SELECT mean, coalesce(least(greatest(CASE WHEN v > 0 THEN mean * (1 - mean) / v - 1 END, 1.0),
+    10000.0), 10000.0) AS s FROM spread),
+refused AS (SELECT source FROM hosts, prior WHERE (f + mean * s) / (n + s) >= 0.8)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND (source IS NULL OR source NOT IN (SELECT source FROM refused)) AS kept
+FROM b
+"""
+
+SUBSTRINGS = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_words("text")} AS w FROM documents),
+windows AS (
+  SELECT rid, doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS g
+  FROM (SELECT rid, doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d)),
+owners AS (SELECT g, min(doc_id) AS owner FROM windows GROUP BY g HAVING min(doc_id) < max(doc_id)),
+hit AS (
+  SELECT DISTINCT rid, i + k AS i
+  FROM (SELECT rid, i FROM windows JOIN owners USING (g) WHERE owner < doc_id),
+    (SELECT unnest(range(50)) AS k)),
+lists AS (SELECT rid, list(i) AS removed FROM hit GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(removed), 0)::BIGINT AS n_removed,
+  sha256(CASE WHEN removed IS NULL THEN array_to_string(w, ' ') ELSE array_to_string(
+    list_filter(w, lambda x, i: NOT list_contains(removed, i)), ' ') END) AS kept_sha256
+FROM d LEFT JOIN lists USING (rid)
+"""
+
+LINES = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls
+  FROM documents),
+l AS (
+  SELECT rid, doc_id, line, pos, {_ascii_lower(f"trim(line, {_SPACE})")} AS key
+  FROM (SELECT rid, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM d)),
+repeated AS (
+  SELECT key, max(doc_id) AS keeper FROM l WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+judged AS (
+  SELECT rid, l.doc_id, line, pos, keeper IS NOT NULL AND keeper <> l.doc_id AS dropped
+  FROM l LEFT JOIN repeated USING (key))
+SELECT doc_id, count(*) AS n_lines, sum(dropped::INT)::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY rid, doc_id
+"""
+
+
+def _index_words(text: str) -> str:
+    return (
+        rf"regexp_extract_all({_ascii_lower(f'coalesce({text}, chr(32))')},"
+        r" '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    )
+
+
+CONTAMINATION = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_index_words("text")} AS w FROM documents),
+b AS (SELECT item_id, {_index_words("text")} AS w FROM benchmark),
+items AS (SELECT item_id, w, least(13, len(w)) AS width FROM b WHERE len(w) > 0),
+parts AS (
+  SELECT DISTINCT item_id, width, md5(array_to_string(w[i:i + width - 1], ' ')) AS g
+  FROM (SELECT *, unnest(range(1, len(w) - width + 2)) AS i FROM items)),
+widths AS (SELECT DISTINCT width FROM items),
+windows AS (
+  SELECT rid, width, i, md5(array_to_string(w[i:i + width - 1], ' ')) AS g
+  FROM (SELECT rid, w, width, unnest(range(1, len(w) - width + 2)) AS i FROM d, widths)),
+found AS (SELECT rid, width, i, item_id FROM windows JOIN parts USING (width, g)),
+hit AS (
+  SELECT rid, count(DISTINCT i + k) AS n
+  FROM (SELECT DISTINCT rid, i, unnest(range(width)) AS k FROM found) GROUP BY rid),
+owned AS (
+  SELECT rid, count(*) AS n, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS s
+  FROM (SELECT DISTINCT rid, item_id FROM found) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit,
+  coalesce(o.n, 0)::BIGINT AS n_items, sha256(coalesce(s, '')) AS items_sha256,
+  coalesce(h.n, 0) > 0 AND 20 * coalesce(h.n, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit h USING (rid) LEFT JOIN owned o USING (rid)
+"""
+
+ORACLE: dict[str, str] = {
+    "op2_quality_rules": QUALITY,
+    "op3_substring_dedup": SUBSTRINGS,
+    "op4_line_dedup": LINES,
+    "op8_benchmark_decontamination": CONTAMINATION,
+}

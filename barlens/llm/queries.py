@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlens.llm import contamination, line_dedup, packing, quality_rules
+from barlens.llm import contamination, line_dedup, packing, quality_rules, substring_dedup
 from barlens.session import stage
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -37,6 +37,10 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, folder, "documents")).drop("spans")
+
+
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(docs).select(
@@ -58,6 +62,6 @@ def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_best_fit_packing, op2_quality_rules, op4_line_dedup, op8_benchmark_decontamination,
+        op1_best_fit_packing, op2_quality_rules, op3_substring_dedup, op4_line_dedup, op8_benchmark_decontamination,
     )
 }
