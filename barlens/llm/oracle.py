@@ -117,9 +117,39 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN hit h USING (rid) LEFT JOIN owned o USING (rid)
 """
 
+NEAR_DUPLICATES = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, {_words("text")} AS w FROM documents),
+keyed AS (
+  SELECT rid, doc_id, w, CASE WHEN len(w) > 0 THEN array_to_string(w, ' ')
+    ELSE 'row ' || rid END AS k FROM d),
+classes AS (
+  SELECT k, min(doc_id) AS node, count(*) AS n_copies, any_value(w) AS w FROM keyed GROUP BY k),
+grams AS (
+  SELECT DISTINCT node, md5(array_to_string(w[i:i + size - 1], ' ')) AS g
+  FROM (SELECT node, w, least(5, len(w)) AS size, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS i
+    FROM classes WHERE len(w) > 0)),
+sizes AS (SELECT node, count(*) AS n FROM grams GROUP BY node),
+common AS (
+  SELECT a.node AS a, b.node AS b, count(*) AS n
+  FROM grams a JOIN grams b ON a.g = b.g AND a.node <> b.node GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common c JOIN sizes x ON x.node = a JOIN sizes y ON y.node = b
+  WHERE 5 * c.n >= 4 * (x.n + y.n - c.n)),
+reach AS (
+  SELECT node, node AS root FROM classes
+  UNION SELECT links.a AS node, reach.root FROM reach JOIN links ON links.b = reach.node),
+roots AS (SELECT node, min(root) AS root FROM reach GROUP BY node),
+degrees AS (SELECT a AS node, count(*) AS n FROM links GROUP BY a)
+SELECT doc_id, root AS class_id, coalesce(n, 0)::BIGINT AS n_links, n_copies,
+  doc_id = root AS is_first
+FROM keyed JOIN classes USING (k) JOIN roots USING (node) LEFT JOIN degrees USING (node)
+"""
+
 ORACLE: dict[str, str] = {
     "op2_quality_rules": QUALITY,
     "op3_substring_dedup": SUBSTRINGS,
     "op4_line_dedup": LINES,
     "op8_benchmark_decontamination": CONTAMINATION,
+    "op10_ngram_jaccard_join": NEAR_DUPLICATES,
 }

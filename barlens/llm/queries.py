@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlens.llm import contamination, line_dedup, packing, quality_rules, substring_dedup
+from barlens.llm import (
+    contamination, line_dedup, near_duplicates, packing, quality_rules, substring_dedup,
+)
 from barlens.session import stage
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -59,9 +61,14 @@ def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     )
 
 
+def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_best_fit_packing, op2_quality_rules, op3_substring_dedup, op4_line_dedup, op8_benchmark_decontamination,
+        op10_ngram_jaccard_join,
     )
 }
