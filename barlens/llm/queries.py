@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlens.llm import (
-    contamination, line_dedup, near_duplicates, packing, quality_rules, substring_dedup,
+    contamination, html_text, line_dedup, near_duplicates, packing, quality_rules, secret_scan,
+    substring_dedup, url_rules, warc,
 )
-from barlens.session import stage
+from barlens.session import stage, work_folder
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -50,6 +51,34 @@ def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = secret_scan.scan_versions(docs, work_folder(spark, "ledger"))
+    kinds = [rule.kind for rule in secret_scan.BASE_RULES]
+    base = F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    def number(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id", *[number(kind).alias(f"n_{kind}") for kind in kinds],
+        F.sha2(secret_scan.spans_text(base), 256).alias("base_sha256"),
+        secret_scan.spans_text(F.col("spans")).alias("spans"),
+    )
+
+
+def op6_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    judged = url_rules.judge_urls(pages)
+    stated = F.when(F.col("rule_rank") == 1, F.col("rule"))
+    return judged.select("page_id", "host", "path", stated.alias("rule"), "verdict")
+
+
+def op7_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return html_text.extract_text(pages)
+
+
 def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = contamination.find_contamination(
         table(spark, folder, "documents"), table(spark, folder, "benchmark")
@@ -65,10 +94,24 @@ def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, folder, "documents"))
 
 
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archive = work_folder(spark, "archive")
+    warc.write_archive(table(spark, folder, "pages"), archive)
+    return warc.read_archive(spark, archive, keep_payload=False).drop("url")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_best_fit_packing, op2_quality_rules, op3_substring_dedup, op4_line_dedup, op8_benchmark_decontamination,
+        op1_best_fit_packing,
+        op2_quality_rules,
+        op3_substring_dedup,
+        op4_line_dedup,
+        op5_secret_scans,
+        op6_url_filters,
+        op7_html_extraction,
+        op8_benchmark_decontamination,
+        op9_warc,
         op10_ngram_jaccard_join,
     )
 }
