@@ -348,7 +348,7 @@ def components(edges: DataFrame, label: str = "edges") -> DataFrame:
 
 def near_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", block: int = BLOCK,
-    keep_rows: bool = False,
+    row_column: str | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id, n_links, n_copies, is_first.
 
@@ -358,11 +358,12 @@ def near_duplicates(
     linked with this one, n_copies the rows with the same words, is_first true for one row of each
     class: the smallest id, then the first read. A text without words is a class of its own with
     no links. Null ids come first and show as null. Rows with equal ids are told apart by their
-    text; their classes may share an id. Other columns are ignored. ``keep_rows`` adds row, the
-    number given to the row by ``monotonically_increasing_id``.
+    text; their classes may share an id. Other columns are ignored. ``row_column`` names a unique
+    number of each row, which the result then holds as row.
     """
+    number = F.col(row_column) if row_column else F.monotonically_increasing_id()
     narrow = docs.select(
-        F.monotonically_increasing_id().alias("row"), key_of(id_column).alias("doc"),
+        number.alias("row"), key_of(id_column).alias("doc"),
         raw_text(text_column).alias("text"),
     )
     base = stage(_with_signatures(narrow), "signatures")
@@ -399,5 +400,5 @@ def near_duplicates(
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"),
         (F.col("head.row") == F.col("row")).alias("is_first"),
-        *(["row"] if keep_rows else []),
+        *(["row"] if row_column else []),
     )

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from barlens.llm.oracle import ORACLE
-from barlens.llm.queries import QUERIES
+import corpus_pipeline
+from barlens.llm.oracle import ORACLE as _OPERATORS
+from barlens.llm.queries import QUERIES as _QUERIES
 
-__all__ = ["ORACLE", "QUERIES"]
+QUERIES = {**_QUERIES, "pipeline": corpus_pipeline.run}
+ORACLE = dict(_OPERATORS)
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
