@@ -146,10 +146,94 @@ SELECT doc_id, root AS class_id, coalesce(n, 0)::BIGINT AS n_links, n_copies,
 FROM keyed JOIN classes USING (k) JOIN roots USING (node) LEFT JOIN degrees USING (node)
 """
 
+def _either_case(word: str) -> str:
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
+
+
+# The kinds in their order, with the patterns of the contract and of the further rules.
+_SECRETS = (
+    (
+        "assign",
+        "(" + "|".join(map(_either_case, ("password", "passwd", "secret", "token", "api_?key")))
+        + r""")["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+        2, 6,
+    ),
+    ("access", "AKIA[A-Z0-9]+", 0, 20),
+    ("hex", "[0-9a-f]+", 0, 24),
+    ("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+    ("github", "gh[pousr]_[A-Za-z0-9]{36,}", 0, 1),
+    ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1),
+    ("userinfo", r"[a-z][a-z0-9+.-]*://[^\x09-\x0D\x20/:@?#]+:[^\x09-\x0D\x20/@?#]+@", 0, 1),
+)
+
+
+def _secret_matches(rank: int, kind: str, pattern: str, group: int, shortest: int) -> str:
+    quoted = pattern.replace("'", "''")
+    return f"""
+  SELECT rid, {rank} AS rank, '{kind}' AS kind, length(g) >= {shortest} AS kept,
+    (list_sum(list_transform(gaps[:i], lambda x: length(x)))
+      + coalesce(list_sum(list_transform(hits[:i - 1], lambda x: length(x))), 0))::BIGINT AS s,
+    length(hits[i]) AS n
+  FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i, unnest(groups) AS g
+    FROM (SELECT rid, regexp_extract_all(t, '{quoted}', 0) AS hits,
+      regexp_extract_all(t, '{quoted}', {group}) AS groups,
+      string_split_regex(t, '{quoted}') AS gaps FROM d))"""
+
+
+_SECRET_SPANS = " UNION ALL ".join(_secret_matches(i, *rule) for i, rule in enumerate(_SECRETS))
+
+SECRETS = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+spans AS (
+  SELECT rid, rank, kind, s, kind || ':' || s || ':' || (s + n) AS label
+  FROM ({_SECRET_SPANS}) WHERE kept)
+SELECT doc_id,
+  count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+  count(*) FILTER (kind = 'hex') AS n_hex,
+  sha256(coalesce(string_agg(label, ',' ORDER BY s, rank) FILTER (rank < 3), '')) AS base_sha256,
+  coalesce(string_agg(label, ',' ORDER BY s, rank), '') AS spans
+FROM d LEFT JOIN spans USING (rid) GROUP BY rid, doc_id
+"""
+
+_URL_WORDS = (
+    "adserver|banner|bet|betting|casino|doubleclick|escort|jackpot|pills|poker|porn|sex|slots|spam"
+    "|tracker|viagra|warez|xxx"
+)
+
+URLS = f"""
+WITH u AS (
+  SELECT page_id,
+    {_ascii_lower(r"coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '')")} AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+rules(h, p, v) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
+  ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+best AS (
+  SELECT u.*, (SELECT max(struct_pack(n := length(h || p), rule := h || p, v := v)) FROM rules
+    WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)) AS b FROM u)
+SELECT page_id, host, path, b.rule AS rule, coalesce(b.v, CASE WHEN regexp_matches(
+    {_ascii_lower("host || path")}, '(^|[^a-z0-9])({_URL_WORDS})([^a-z0-9]|$)')
+  THEN 'block' ELSE 'allow' END) AS verdict
+FROM best
+"""
+
+ARCHIVES = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS digest
+  FROM pages),
+kept AS (SELECT *, max(page_id) OVER (PARTITION BY digest) AS last FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+  CASE WHEN n >= 1000 AND last <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND last <> page_id THEN last END AS refers_to
+FROM kept
+"""
+
 ORACLE: dict[str, str] = {
     "op2_quality_rules": QUALITY,
     "op3_substring_dedup": SUBSTRINGS,
     "op4_line_dedup": LINES,
+    "op5_secret_scans": SECRETS,
+    "op6_url_filters": URLS,
     "op8_benchmark_decontamination": CONTAMINATION,
+    "op9_warc": ARCHIVES,
     "op10_ngram_jaccard_join": NEAR_DUPLICATES,
 }

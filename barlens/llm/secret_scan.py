@@ -49,7 +49,9 @@ MORE_RULES = (
         "jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", literal="eyJ"
     ),
     SecretRule(
-        "userinfo", r"[a-z][a-z0-9+.-]*://[^\s/:@?#]+:[^\s/@?#]+@", literal="://"
+        "userinfo",
+        r"[a-z][a-z0-9+.-]*://[^\x09-\x0D\x20/:@?#]+:[^\x09-\x0D\x20/@?#]+@",
+        literal="://",
     ),
 )
 RULES = BASE_RULES + MORE_RULES
