@@ -60,4 +60,5 @@ def _kind(kind: pa.DataType) -> str:
         return "TIMESTAMP" if kind.tz is None else "TIMESTAMP WITH TIME ZONE"
     if pa.types.is_large_string(kind) or pa.types.is_string(kind):
         return "VARCHAR"
-    return {"int64": "BIGINT", "int32": "INTEGER", "double": "DOUBLE"}.get(str(kind), str(kind))
+    names = {"int64": "BIGINT", "int32": "INTEGER", "double": "DOUBLE", "bool": "BOOLEAN"}
+    return names.get(str(kind), str(kind))
