@@ -98,7 +98,8 @@ class SuffixAutomaton:
 
 
 def _anchor_width(width: int) -> int:
-    return max(1, width // 2)
+    """Long enough that few windows share an anchor without being equal."""
+    return max(1, width * 18 // 25)
 
 
 def _anchors(hashes: np.ndarray, width: int) -> np.ndarray:
