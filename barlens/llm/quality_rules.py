@@ -95,7 +95,7 @@ def base_failed() -> Column:
 
 def fails_a_rule(rules: HostRules = HostRules()) -> Column:
     """The base rules, too many symbols, or words of an unusual mean length."""
-    mean_word = F.col("word_chars") / F.col("n_words")
+    mean_word = F.try_divide(F.col("word_chars"), F.col("n_words"))
     return (
         base_failed()
         | (F.col("n_symbols") > rules.symbol_share * F.col("word_chars"))
