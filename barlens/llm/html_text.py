@@ -233,18 +233,22 @@ def _first_label(block: Block, rules: BlockRules) -> str:
 
 
 def _inherited(place: int, block: Block, decided: list[tuple[int, Block]]) -> str:
-    """The label of the nearest decided neighbours; blocks of the same region come first."""
-    own = [(i, b) for i, b in decided if b.region == block.region and not b.furniture]
-    if block.in_text and not own:
-        return "good"
-    near: dict[str, int] = {}
-    for i, other in own or decided:
-        near[other.label] = min(near.get(other.label, abs(i - place)), abs(i - place))
-    if not near:
-        return "good" if len(block.text.split()) > 2 else "bad"
-    if near.get("good") == near.get("bad"):
-        return "good" if block.in_text else "bad"
-    return min(near, key=near.get)
+    """The label of the nearest decided neighbours; inside a text, those of the text alone.
+
+    The edges of a text count as good: there only a block between two bad ones is bad. Elsewhere
+    the nearer neighbour decides, and bad if both are as near.
+    """
+    own = [
+        (i, b.label) for i, b in decided if b.region == block.region and not b.furniture
+    ]
+    if block.in_text:
+        before = next((label for i, label in reversed(own) if i < place), "good")
+        after = next((label for i, label in own if i > place), "good")
+        return "bad" if before == after == "bad" else "good"
+    near = {"bad": len(decided) + place + 1, "good": len(decided) + place + 1}
+    for i, label in own or [(i, b.label) for i, b in decided]:
+        near[label] = min(near[label], abs(i - place))
+    return "good" if near["good"] < near["bad"] else "bad"
 
 
 def main_text(page: str, rules: BlockRules = BlockRules()) -> str:

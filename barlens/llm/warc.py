@@ -30,12 +30,17 @@ _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 _UNSAFE = {code: f"%{code:02X}" for code in [*range(33), 127]}
 
 
+def page_name(page: int | None) -> str:
+    return f"<urn:page:{'' if page is None else page}>"
+
+
 def record_id(page: int | None, row: int) -> str:
-    return f"<urn:page:{'' if page is None else page}:{row}>"
+    """The page's name with a number that tells rows of one page apart."""
+    return f"{page_name(page)[:-1]}:{row}>"
 
 
 def page_of(identifier: str | None) -> int | None:
-    """The page number in a record's identifier."""
+    """The page number in a page's name or a record's identifier."""
     page = identifier.strip("<>").split(":")[2] if identifier else ""
     return int(page) if page else None
 
@@ -71,22 +76,34 @@ def record(headers: dict[str, object], block: bytes) -> bytes:
     return _VERSION + _BREAK + head + _BREAK * 2 + block
 
 
+def _safe(url: str | None) -> str | None:
+    """A URL that fits a header line."""
+    return url.translate(_UNSAFE) if url else None
+
+
 def page_records(
-    page: int | None, row: int, url: str | None, payload: bytes, refers: str | None, date: str,
+    page: int | None, row: int, url: str | None, payload: bytes, refers: dict | None, date: str,
     segment_bytes: int = SEGMENT_BYTES,
 ) -> Iterator[bytes]:
-    """The records of one page: a response with its continuations, or a revisit."""
+    """The records of one page: a response with its continuations, or a revisit.
+
+    ``refers`` names page and url that a revisit refers to.
+    """
     identifier = record_id(page, row)
     common = {
         "WARC-Record-ID": identifier,
         "WARC-Date": date,
-        "WARC-Target-URI": url.translate(_UNSAFE) if url else None,
+        "WARC-Target-URI": _safe(url),
         "WARC-Payload-Digest": "sha1:" + hashlib.sha1(payload).hexdigest(),
         "Content-Type": "application/http;msgtype=response",
     }
     if refers is not None:
         block = _HTTP + b"Content-Length: %d\r\n\r\n" % len(payload)
-        revisit = {"WARC-Profile": _PROFILE, "WARC-Refers-To": refers}
+        revisit = {
+            "WARC-Profile": _PROFILE,
+            "WARC-Refers-To": page_name(refers["page"]),
+            "WARC-Refers-To-Target-URI": _safe(refers["url"]),
+        }
         yield record({"WARC-Type": "revisit", **common, **revisit}, block)
         return
     block = _HTTP + b"Transfer-Encoding: chunked\r\n\r\n" + framed(payload)
@@ -120,8 +137,8 @@ def write_archive(
     """Write a record per row of ``pages`` into new files of ``folder``.
 
     The payload is the HTML in UTF-8; null is empty. Of rows with equal payloads of ``shortest``
-    bytes or more the one with the largest id (the last read, if ids are equal) becomes a response,
-    the others revisits of it. Null ids come first. Other columns are ignored.
+    bytes or more those with the largest id become responses, the others revisits; several rows of
+    one page with one payload are all responses. Null ids come first. Other columns are ignored.
     """
     payload = F.coalesce(F.col(html_column).cast("string"), F.lit("")).cast("binary")
     rows = pages.select(
@@ -133,10 +150,11 @@ def write_archive(
     long_enough = F.octet_length("payload") >= shortest
     shared = (
         rows.where(long_enough).groupBy("digest")
-        .agg(F.max(F.struct("page", "row")).alias("kept"), F.count("*").alias("n"))
+        .agg(F.max(F.struct("page", "url")).alias("kept"), F.count("*").alias("n"))
         .where("n > 1").select("digest", "kept")
     )
-    refers = F.when(long_enough & (F.col("kept.row") != F.col("row")), F.col("kept"))
+    other = F.col("kept").isNotNull() & ~F.col("kept.page").eqNullSafe(F.col("page"))
+    refers = F.when(long_enough & other, F.col("kept"))
     decided = rows.join(shared, "digest", "left").select(
         "page", "row", "url", "payload", refers.alias("refers")
     )
@@ -144,10 +162,9 @@ def write_archive(
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "payload"):
             records = []
-            for page, row, url, payload, kept in zip(
+            for page, row, url, payload, refers in zip(
                 *(batch.column(c).to_pylist() for c in ("page", "row", "url", "payload", "refers"))
             ):
-                refers = record_id(kept["page"], kept["row"]) if kept else None
                 records += page_records(page, row, url, payload, refers, date, segment_bytes)
             yield batch_of(_RECORD, {"record": records})
 
