@@ -153,7 +153,8 @@ def _block_members(bands: DataFrame, block: int) -> DataFrame:
     """Members of the buckets with company, once for each pair of blocks they belong to."""
     sizes = bands.groupBy("band", "value").agg(F.count("*").alias("n")).where("n > 1")
     parts = F.ceil(F.col("n") / block).cast("int")
-    members = bands.join(sizes, ["band", "value"]).select(
+    # A merge join at every size: the buckets with company grow with the corpus.
+    members = bands.join(sizes.hint("merge"), ["band", "value"]).select(
         "band", "value", "row", parts.alias("parts"),
         F.pmod(F.xxhash64("row"), parts).cast("int").alias("own"),
     )
@@ -174,7 +175,10 @@ _PARTNERS = pa.schema(
 
 
 def _candidates(members: DataFrame) -> DataFrame:
-    """Per bucket block and class, the partners that survive the pruning."""
+    """Per bucket block and class, the partners that survive the pruning.
+
+    A row without a class lists all classes of the block that take part.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, pieces in groups(batches, list(_BUCKET)):
@@ -195,13 +199,15 @@ def _candidates(members: DataFrame) -> DataFrame:
             if not len(first):
                 continue
             starts = np.flatnonzero(np.diff(first, prepend=-1))
-            n = len(starts)
             lists = np.split(others[second], starts[1:])
+            own = rows[first[starts]]
+            everyone = np.union1d(own, others[second])
             yield batch_of(
                 _PARTNERS,
                 {
-                    **{name: [part] * n for name, part in zip(_BUCKET, key)},
-                    "row": rows[first[starts]], "partners": [p.tolist() for p in lists],
+                    **{name: [part] * (len(own) + 1) for name, part in zip(_BUCKET, key)},
+                    "row": [None, *own.tolist()],
+                    "partners": [everyone.tolist(), *(p.tolist() for p in lists)],
                 },
             )
 
@@ -266,15 +272,15 @@ _LINKS = pa.schema([("row", pa.int64()), ("links", pa.int64()), ("to", pa.list_(
 
 def _verified(candidates: DataFrame, texts: DataFrame) -> DataFrame:
     """Per group and class: its number of verified links there, and edges of a forest of them."""
-    asked = candidates.select(
-        *_BUCKET, F.lit(1).alias("kind"), "row", "partners", F.lit(None).cast("binary").alias("packed")
+    asked = candidates.where("row is not null").select(
+        *_BUCKET, F.lit(1).alias("kind"), "row", "partners",
+        F.lit(None).cast("binary").alias("packed"),
     )
+    # A merge join at every size: the texts grow with the corpus.
     members = (
-        candidates.select(
-            *_BUCKET, F.explode(F.array_append("partners", F.col("row"))).alias("row")
-        )
-        .distinct()
-        .join(texts, "row")
+        candidates.where("row is null")
+        .select(*_BUCKET, F.explode("partners").alias("row"))
+        .join(texts.hint("merge"), "row")
         .select(
             *_BUCKET, F.lit(0).alias("kind"), "row",
             F.lit(None).cast("array<bigint>").alias("partners"), "packed",
