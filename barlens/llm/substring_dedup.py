@@ -3,6 +3,8 @@
 A document's matching statistics against everything before it would cost the corpus times the
 corpus, so three distributed steps first bring together what can match:
 
+0. Documents of the same words are one class, and its smallest document stands for it. The words of
+   the others all stand in that one, so they go without a search (unless too few for a window).
 1. Every window of ``width`` words picks the smallest hash of the shorter runs inside it, its
    anchor. Equal windows have equal anchors, and a document has few of them. Anchors seen in one
    document only are out, and with them most of the text.
@@ -24,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -99,7 +102,7 @@ class SuffixAutomaton:
 
 def _anchor_width(width: int) -> int:
     """Long enough that few windows share an anchor without being equal."""
-    return max(1, width * 18 // 25)
+    return max(1, width * 3 // 5)
 
 
 def _anchors(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -115,7 +118,8 @@ def _digest(words: list[bytes]) -> str:
 _BASE = pa.schema(
     [
         ("row", pa.int64()), ("doc", pa.int64()), ("n_words", pa.int64()),
-        ("sha256", pa.string()), ("packed", pa.binary()), ("anchors", pa.list_(pa.int64())),
+        ("sha256", pa.string()), ("words_key", pa.binary()), ("packed", pa.binary()),
+        ("anchors", pa.list_(pa.int64())),
     ]
 )
 
@@ -124,18 +128,20 @@ def _with_anchors(docs: DataFrame, width: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1).compress
         for batch in chunks(batches, "text"):
-            n_words, digests, packed, anchors = [], [], [], []
+            n_words, digests, keys, packed, anchors = [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 words = text.split()
+                joined = b" ".join(words)
                 n_words.append(len(words))
-                digests.append(_digest(words))
-                packed.append(press(text))
+                digests.append(hashlib.sha256(joined).hexdigest())
+                keys.append(xxhash.xxh3_128_digest(joined) if len(words) >= width else None)
+                packed.append(press(joined))
                 anchors.append(np.unique(_anchors(word_hashes(words), width)))
             yield batch_of(
                 _BASE,
                 {
                     "row": batch.column("row"), "doc": batch.column("doc"), "n_words": n_words,
-                    "sha256": digests, "packed": packed,
+                    "sha256": digests, "words_key": keys, "packed": packed,
                     "anchors": list_array(
                         signed(np.concatenate(anchors)), map(len, anchors), pa.int64()
                     ),
@@ -144,7 +150,8 @@ def _with_anchors(docs: DataFrame, width: int) -> DataFrame:
 
     return docs.mapInArrow(
         work,
-        "row long, doc long, n_words long, sha256 string, packed binary, anchors array<long>",
+        "row long, doc long, n_words long, sha256 string, words_key binary, packed binary,"
+        " anchors array<long>",
     )
 
 
@@ -349,7 +356,14 @@ def remove_repeats(
         raw_text(text_column).alias("text"),
     )
     base = stage(_with_anchors(narrow, width), "anchors")
-    anchors = base.select("row", "doc", F.explode("anchors").alias("anchor"))
+    classes = base.where("words_key is not null").groupBy("words_key").agg(
+        F.min(F.struct("doc", "row")).alias("first")
+    )
+    first_rows = classes.select(F.col("first.row").alias("row"))
+    anchors = (
+        base.select("row", "doc", "anchors").join(first_rows, "row", "left_semi")
+        .select("row", "doc", F.explode("anchors").alias("anchor"))
+    )
     shared = (
         anchors.groupBy("anchor").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
         .where("low < high").select("anchor")
@@ -375,10 +389,20 @@ def remove_repeats(
         F.arrays_zip("starts", "ends"),
         F.array().cast("array<struct<starts:bigint,ends:bigint>>"),
     )
-    result = base.join(kept, "row", "left").select(
+    copy = F.coalesce(F.col("doc") > F.col("first.doc"), F.lit(False))
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("starts"), F.col("n_words").alias("ends")))
+    found = (
+        base.drop("anchors", *([] if keep_text else ["packed"]))
+        .join(classes, "words_key", "left")
+        .join(kept.withColumnRenamed("row", "first_row"), F.col("first.row") == F.col("first_row"), "left")
+    )
+    result = found.select(
         id_of("doc").alias("doc_id"), "n_words",
-        F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
-        F.coalesce("kept_sha256", "sha256").alias("kept_sha256"),
-        span_list.alias("spans"), *(["packed"] if keep_text else []),
+        F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0)).cast("long"))
+        .alias("n_removed"),
+        F.when(copy, F.lit(_digest([]))).otherwise(F.coalesce("kept_sha256", "sha256"))
+        .alias("kept_sha256"),
+        F.when(copy, whole).otherwise(span_list).alias("spans"),
+        *(["packed"] if keep_text else []),
     )
     return _kept_text(result) if keep_text else result
