@@ -63,9 +63,9 @@ def parse_times(bars: DataFrame, source: str = "time", target: str = "source_tim
 def cast_prices(
     bars: DataFrame, to: str = "double", columns: Sequence[str] = PRICE_FIELDS
 ) -> DataFrame:
-    """Cast the price and volume columns that exist."""
+    """Cast the price and volume columns that exist; a cell that is no number becomes null."""
     present = [c for c in columns if c in bars.columns]
-    return bars.withColumns({c: F.col(c).cast(to) for c in present})
+    return bars.withColumns({c: F.col(c).try_cast(to) for c in present})
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
@@ -144,7 +144,7 @@ def standardise(
 
 def archive_date(time: Column) -> Column:
     """The calendar date as written in the text, whatever its offset."""
-    return F.to_date(F.substring(time, 1, 10))
+    return F.substring(time, 1, 10).try_cast("date")
 
 
 _ISO_DATE_FIRST = r"^\d{4}-\d{2}-\d{2}"

@@ -85,7 +85,7 @@ def trend_features(
     bars: DataFrame,
     spec: BarSpec = _SPEC,
     sizes: dict[str, int] = TREND_SIZES,
-    method: str = "stacked",
+    method: str = "frame",
     heat: HeatPolicy = DEFAULT_HEAT,
 ) -> DataFrame:
     """Moving averages, trend label (shortest against longest) and trend strength."""
@@ -130,7 +130,7 @@ def volume_features(
     bars: DataFrame,
     spec: BarSpec = _SPEC,
     sizes: dict[str, int] = VOLUME_SIZES,
-    method: str = "stacked",
+    method: str = "frame",
     heat: HeatPolicy = DEFAULT_HEAT,
 ) -> DataFrame:
     """Average volume and the current volume relative to it."""

@@ -30,26 +30,41 @@ from barlens.session import ROWS_PER_TASK, stage, tasks_for
 BLOCK, PLACE, LEAD_IN = "_block", "_place", "_lead_in"
 TOP_BEFORE, FIRST_CLOSE = "_top_before", "_first_close"
 
-# At most this many instruments are treated as hot, largest first, which bounds the list that
-# reaches the driver. The rest keep the ordinary window, whatever their size.
-MAX_HOT_KEYS = 4096
 
-# The per-block table has at most one row per block and one per hot key. Up to this many rows
-# (some tens of MB) it is broadcast; beyond, Spark joins it by (key, block).
-MAX_BROADCAST_BLOCKS = 500_000
+@dataclass(frozen=True)
+class HotKeys:
+    """The hot instruments as a table (key, count), with what plans need to know of it."""
+
+    table: DataFrame | None = None
+    keys: int = 0
+    rows: int = 0
+    null_key: bool = False
+
+    def keyed_as(self, key: str, value: Column) -> HotKeys:
+        """The same under another key column."""
+        if self.table is None:
+            return self
+        return replace(self, table=self.table.select(value.alias(key), "count"))
+
+    def split(self, rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+        """(ordinary rows, hot rows). The table is joined as its size allows."""
+        hot = self.table.select(F.col(key).alias("_hot"))
+        same = F.col(key).eqNullSafe(F.col("_hot")) if self.null_key else F.col(key) == F.col("_hot")
+        return rows.join(hot, same, "left_anti"), rows.join(hot, same, "left_semi")
 
 
 @dataclass(frozen=True)
 class HeatPolicy:
     """When an instrument counts as hot, and how large its blocks are.
 
-    ``known`` skips the counting pass: a mapping from hot keys to their (approximate) row
-    counts. ``rows`` then says how many rows there are in all, to size the shuffle.
+    ``known`` skips the counting pass: the hot keys with their (approximate) row counts, as a
+    mapping or as ``HotKeys``. ``rows`` then says how many rows there are in all, to size the
+    shuffle.
     """
 
     max_rows_per_key: int = 2_000_000
     block_rows: int = ROWS_PER_TASK
-    known: dict | None = None
+    known: dict | HotKeys | None = None
     rows: int | None = None
 
 
@@ -115,6 +130,7 @@ class Layout:
             return rows.withColumns({n: v.over(over_month) for n, v in monthly.items()})
 
         by = [key, month] if month else [key]
+        rows = stage(rows, "hot-windows")  # read three times below
         totals = rows.groupBy(*by).agg(
             *[f(c).alias(n) for n, (f, c) in whole.items()],
             *[v.alias(n) for n, v in monthly.items()],
@@ -148,35 +164,39 @@ def _join_null_safe(rows: DataFrame, lookup: DataFrame, by: list[str]) -> DataFr
 def with_counts(rows: DataFrame, key: str, policy: HeatPolicy = DEFAULT_HEAT) -> HeatPolicy:
     """The policy with hot keys and total filled in, by one count per key.
 
+    The hot keys are written to the work area, whatever their number; a cluster session without
+    a shared folder fails here, before any other work.
+
     ``rows`` may be any frame that has at least as many rows per key as the bars themselves,
     such as the raw table the bars are built from. Counting is combined before the shuffle,
     and the total is observed on the way.
     """
-    if policy.known is not None:
+    if isinstance(policy.known, HotKeys):
         return policy
+    spark = rows.sparkSession
+    if policy.known is not None:
+        counts = policy.known
+        if not counts:
+            return replace(policy, known=HotKeys())
+        kind = rows.schema[key].dataType.simpleString()
+        table = spark.createDataFrame(list(counts.items()), f"`{key}` {kind}, count long")
+        known = HotKeys(table, len(counts), sum(counts.values()), None in counts)
+        return replace(policy, known=known)
     seen = Observation()
-    found = (
-        rows.groupBy(key)
-        .count()
-        .observe(seen, F.sum("count").alias("rows"))
-        .where(F.col("count") > policy.max_rows_per_key)
-        .orderBy(F.desc("count"))
-        .limit(MAX_HOT_KEYS)
-        .collect()
-    )
-    return replace(policy, known={row[0]: row[1] for row in found}, rows=seen.get["rows"] or 0)
+    counted = rows.groupBy(key).count().observe(seen, F.sum("count").alias("rows"))
+    table = stage(counted.where(F.col("count") > policy.max_rows_per_key), "hot-keys")
+    keys, held, nulls = table.agg(
+        F.count("*"), F.coalesce(F.sum("count"), F.lit(0)), F.count_if(F.col(key).isNull())
+    ).first()
+    known = HotKeys(table, keys, held, nulls > 0) if keys else HotKeys()
+    return replace(policy, known=known, rows=seen.get["rows"] or 0)
 
 
-def hot_keys(rows: DataFrame, key: str, policy: HeatPolicy = DEFAULT_HEAT) -> dict:
+def hot_keys(rows: DataFrame, key: str, policy: HeatPolicy = DEFAULT_HEAT) -> HotKeys:
     """Instruments with more rows than the policy allows in one task, with their counts."""
     return with_counts(rows, key, policy).known
 
 
-def is_hot(key: str, hot: dict) -> Column:
-    listed = F.col(key).isin([k for k in hot if k is not None])
-    return listed | F.col(key).isNull() if None in hot else F.coalesce(listed, F.lit(False))
-
-
 def ordered_rows(
     rows: DataFrame, order: list[str], parts: int | None = None, copies: bool = True
 ) -> DataFrame:
@@ -221,15 +241,19 @@ def _written_blocks(rows: DataFrame, spec: BarSpec, parts: int) -> DataFrame:
 
 
 def _block_summary(blocks: DataFrame, spec: BarSpec) -> DataFrame:
-    """One row per (key, block): position, carried values and the blocks it must feed."""
+    """One row per (key, block): position, carried values and the blocks it must feed.
+
+    Bars without a close carry none.
+    """
+    close = F.col(spec.close) if spec.close in blocks.columns else F.lit(None).cast("double")
     whole_past = Window.partitionBy(spec.key).orderBy(BLOCK)
     before = whole_past.rowsBetween(Window.unboundedPreceding, -1)
     upto = whole_past.rowsBetween(Window.unboundedPreceding, 0)
     per_block = blocks.groupBy(spec.key, BLOCK).agg(
         F.min(PLACE).alias("_from"),
         F.max(PLACE).alias("_to"),
-        F.max(spec.close).alias("_top"),
-        F.min_by(spec.close, PLACE).alias("_open"),
+        F.max(close).alias("_top"),
+        F.min_by(close, PLACE).alias("_open"),
     )
     size = F.col("_to") - F.col("_from") + 1
     return per_block.select(
@@ -245,7 +269,7 @@ def _block_summary(blocks: DataFrame, spec: BarSpec) -> DataFrame:
 
 
 def _lead_in_rows(
-    blocks: DataFrame, summary: DataFrame, spec: BarSpec, lookback: int, small: bool, null_key: bool
+    blocks: DataFrame, summary: DataFrame, spec: BarSpec, lookback: int, null_key: bool
 ) -> DataFrame:
     """The last ``lookback`` rows in front of each block, tagged with that block.
 
@@ -272,7 +296,7 @@ def _lead_in_rows(
     )
     at_the_end = F.col(PLACE) > F.col("_to") - lookback
     here = _same_block(spec, null_key)
-    tails = blocks.join(F.broadcast(reach) if small else reach, here & at_the_end)
+    tails = blocks.join(reach, here & at_the_end)
     position = F.col("_start") + F.col(PLACE) - F.col("_from")
     read = {spec.key, spec.close, spec.volume, BLOCK, PLACE}
 
@@ -297,25 +321,23 @@ def _same_block(spec: BarSpec, null_key: bool) -> Column:
     return same_key & (F.col(BLOCK) == F.col("_b"))
 
 
-def _blocked(rows: DataFrame, spec: BarSpec, policy: HeatPolicy, hot: dict, lookback: int) -> DataFrame:
-    parts = max(1, ceil(sum(hot.values()) / policy.block_rows))
-    small, null_key = parts + len(hot) <= MAX_BROADCAST_BLOCKS, None in hot
+def _blocked(rows: DataFrame, spec: BarSpec, policy: HeatPolicy, hot: HotKeys, lookback: int) -> DataFrame:
+    parts = max(1, ceil(hot.rows / policy.block_rows))
     blocks = _written_blocks(rows, spec, parts)
     summary = stage(_block_summary(blocks, spec), "hot-blocks")
     tagged = blocks.withColumn(LEAD_IN, F.lit(False))
     if lookback > 0:
-        lead_in = _lead_in_rows(blocks, summary, spec, lookback, small, null_key)
+        lead_in = _lead_in_rows(blocks, summary, spec, lookback, hot.null_key)
         tagged = tagged.unionByName(lead_in.withColumn(LEAD_IN, F.lit(True)))
     carried = summary.select(
         F.col(spec.key).alias("_k"), F.col(BLOCK).alias("_b"), TOP_BEFORE, FIRST_CLOSE
     )
-    carried = F.broadcast(carried) if small else carried
-    return tagged.join(carried, _same_block(spec, null_key), "left").drop("_k", "_b")
+    return tagged.join(carried, _same_block(spec, hot.null_key), "left").drop("_k", "_b")
 
 
 def _spread(bars: DataFrame, key: str, policy: HeatPolicy) -> DataFrame:
     """Shuffle by instrument into enough partitions; the windows find their rows in place."""
-    parts = tasks_for(bars.sparkSession, (policy.rows or 0) - sum(policy.known.values()), policy.block_rows)
+    parts = tasks_for(bars.sparkSession, (policy.rows or 0) - policy.known.rows, policy.block_rows)
     return bars.repartition(parts, key) if parts else bars
 
 
@@ -334,10 +356,10 @@ def per_instrument(
     policy = with_counts(bars, spec.key, policy)
     hot = policy.known
     plain = Layout(spec, blocked=False)
-    if not hot:
+    if not hot.keys:
         return build(_spread(bars, spec.key, policy), plain)
-    chosen = is_hot(spec.key, hot)
-    ordinary = build(_spread(bars.where(~chosen), spec.key, policy), plain)
-    blocks = _blocked(bars.where(chosen), spec, policy, hot, lookback)
-    in_blocks = build(blocks, Layout(spec, blocked=True, null_key=None in hot)).drop(BLOCK)
+    cool, heated = hot.split(bars, spec.key)
+    ordinary = build(_spread(cool, spec.key, policy), plain)
+    blocks = _blocked(heated, spec, policy, hot, lookback)
+    in_blocks = build(blocks, Layout(spec, blocked=True, null_key=hot.null_key)).drop(BLOCK)
     return ordinary.unionByName(in_blocks)

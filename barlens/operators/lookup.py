@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import ceil
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlens.operators.heat import DEFAULT_HEAT, HeatPolicy, hot_keys, is_hot
+from barlens.operators.heat import DEFAULT_HEAT, HeatPolicy, hot_keys
 
 
 def attach(
@@ -17,26 +17,29 @@ def attach(
     by: Sequence[str] = ("ticker", "month"),
     policy: HeatPolicy = DEFAULT_HEAT,
 ) -> DataFrame:
-    """Left join on ``by``, join columns first; null keys match nothing.
+    """Left join on ``by``, join columns first; null keys match nothing and stay out of it.
 
     Rows of hot keys are spread over as many salts as they fill blocks, and their few lookup
-    rows are repeated once per salt. The salt is the number of the partition a row is in,
-    which a retried task gets again.
+    rows are repeated once per salt. The salt is a hash of the row, so it spreads rows that lie
+    together and a retried task gets it again.
     """
     by = list(by)
-    counted = hot_keys(rows, by[0], policy)
-    hot = {key: count for key, count in counted.items() if key is not None}
-    if not hot:
-        return rows.join(lookup, by, "left")
-    salts = rows.sparkSession.createDataFrame(
-        [(key, ceil(count / policy.block_rows)) for key, count in hot.items()],
-        f"`{by[0]}` {rows.schema[by[0]].dataType.simpleString()}, _salts int",
-    )
-    chosen = is_hot(by[0], hot)
-    salted = rows.where(chosen).join(F.broadcast(salts), by[0])
-    salted = salted.withColumn("_salt", F.pmod(F.spark_partition_id(), "_salts")).drop("_salts")
-    repeated = lookup.join(F.broadcast(salts), by[0]).withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))
+    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in by])
+    whole, broken = rows.where(complete), rows.where(~complete)
+    hot = hot_keys(whole, by[0], policy)
+    if hot.keys:
+        cool, heated = hot.split(whole, by[0])
+        joined = cool.join(lookup, by, "left").unionByName(_salted(heated, lookup, by, hot, policy))
+    else:
+        joined = whole.join(lookup, by, "left")
+    return joined.unionByName(broken, allowMissingColumns=True)
+
+
+def _salted(heated, lookup, by, hot, policy) -> DataFrame:
+    salts = hot.table.select(by[0], F.ceil(F.col("count") / policy.block_rows).alias("_salts"))
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in heated.columns])
+    salted = heated.join(salts, by[0]).withColumn("_salt", F.pmod(row, "_salts")).drop("_salts")
+    repeated = lookup.join(salts, by[0]).withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1))
     )
-    ordinary = rows.where(~chosen).join(lookup, by, "left")
-    return ordinary.unionByName(salted.join(repeated.drop("_salts"), [*by, "_salt"], "left").drop("_salt"))
+    return salted.join(repeated.drop("_salts"), [*by, "_salt"], "left").drop("_salt")

@@ -10,28 +10,24 @@ from pyspark.sql import functions as F
 ARCHIVE_KEY = ("date", "ticker", "time")
 SLICE = ("date", "ticker")
 
-# A touched-partition list longer than this stays a join instead of becoming a filter.
-MAX_LISTED = 20_000
-
-# A key with more rows than this is kept out of shuffles by key; so many keys at most.
+# A key with more rows than this is kept out of shuffles by key.
 MAX_COPIES = 1_000_000
-MAX_CROWDED = 4096
-
 
-def listed_values(df: DataFrame, column: str) -> list | None:
-    """Distinct values of a partition column, or None if there are too many to list."""
-    rows = df.select(column).distinct().limit(MAX_LISTED + 1).collect()
-    return None if len(rows) > MAX_LISTED else [row[0] for row in rows]
 
+def only_partitions(stored: DataFrame, changed: DataFrame, *columns: str) -> DataFrame:
+    """Stored rows in the partitions that ``changed`` touches.
 
-def only_partitions(stored: DataFrame, changed: DataFrame, column: str) -> DataFrame:
-    """Stored rows in the partitions that ``changed`` touches, read without the others."""
-    values = listed_values(changed, column)
-    if values is None:
-        touched = changed.select(F.col(column).alias("_touched")).distinct()
-        return stored.join(touched, F.col(column).eqNullSafe(F.col("_touched")), "left_semi")
-    listed = F.col(column).isin([v for v in values if v is not None])
-    return stored.where(listed | F.col(column).isNull() if None in values else listed)
+    The range of the first column is a literal, so the scan leaves out the folders outside it;
+    a semi-join on all columns does the rest, for any number of touched partitions.
+    """
+    first = F.col(columns[0])
+    low, high, nulls = changed.agg(F.min(first), F.max(first), F.count_if(first.isNull())).first()
+    inside = F.lit(False) if low is None else first.between(F.lit(low), F.lit(high))
+    if nulls:
+        inside = inside | first.isNull()
+    touched = changed.select(*[F.col(c).alias(f"_touched_{c}") for c in columns]).distinct()
+    same = [F.col(c).eqNullSafe(F.col(f"_touched_{c}")) for c in columns]
+    return stored.where(inside).join(touched, same, "left_semi")
 
 
 def one_per_key(rows: DataFrame, key: Sequence[str], latest: Column | None = None) -> DataFrame:
@@ -46,24 +42,21 @@ def one_per_key(rows: DataFrame, key: Sequence[str], latest: Column | None = Non
 
 
 def crowded_keys(rows: DataFrame, key: Sequence[str], max_copies: int = MAX_COPIES) -> DataFrame | None:
-    """Keys held by more than ``max_copies`` rows, at most ``MAX_CROWDED`` of them, or None.
+    """Keys held by more than ``max_copies`` rows, or None if there are none.
 
     Slices are counted first; only those with that many rows can contain such a key, so
     ordinary batches pay for one small aggregate.
     """
     outer = list(key[:-1])
     slices = _crowded(rows, outer, max_copies)
-    if slices is None:
+    if slices.isEmpty():
         return None
-    inside = rows.join(F.broadcast(slices), outer, "left_semi")
-    return _crowded(inside, list(key), max_copies)
+    found = _crowded(rows.join(slices, outer, "left_semi"), list(key), max_copies)
+    return None if found.isEmpty() else found
 
 
-def _crowded(rows: DataFrame, by: list[str], limit: int) -> DataFrame | None:
-    counts = rows.groupBy(*by).count().where(F.col("count") > limit)
-    found = counts.orderBy(F.desc("count")).limit(MAX_CROWDED).drop("count")
-    listed = found.collect()
-    return rows.sparkSession.createDataFrame(listed, found.schema) if listed else None
+def _crowded(rows: DataFrame, by: list[str], limit: int) -> DataFrame:
+    return rows.groupBy(*by).count().where(F.col("count") > limit).drop("count")
 
 
 def new_records(
@@ -76,9 +69,9 @@ def new_records(
     """Incoming rows whose key is not stored yet. Nothing stored is ever replaced.
 
     Copies inside the batch all stay unless ``dedup_within_batch`` is set. Keys with very
-    many copies are looked up without moving their rows: their stored counterparts are at
-    most ``MAX_CROWDED`` keys, which is what gets broadcast. All other keys meet in a
-    shuffled anti-join, where no key is large.
+    many copies are looked up apart: there is one such key per ``max_copies`` rows at most, so
+    Spark broadcasts them as long as their size allows and splits them beyond. All other keys
+    meet in a shuffled anti-join, where no key is large.
     """
     known = stored.select(*key).distinct()
     columns = [f"`{c}`" for c in incoming.columns]
@@ -87,13 +80,13 @@ def new_records(
     crowded = crowded_keys(incoming, key, max_copies)
     if crowded is None:
         return incoming.join(known, list(key), "left_anti").select(*columns)
-    few = incoming.join(F.broadcast(crowded), list(key), "left_anti")
-    many = incoming.join(F.broadcast(crowded), list(key), "left_semi")
-    known_many = known.join(F.broadcast(crowded), list(key), "left_semi")
+    few = incoming.join(crowded, list(key), "left_anti")
+    many = incoming.join(crowded, list(key), "left_semi")
+    known_many = known.join(crowded, list(key), "left_semi")
     return (
         few.join(known, list(key), "left_anti")
         .select(*columns)
-        .unionByName(many.join(F.broadcast(known_many), list(key), "left_anti").select(*columns))
+        .unionByName(many.join(known_many, list(key), "left_anti").select(*columns))
     )
 
 
@@ -102,9 +95,10 @@ def archive_merge(
     stored: DataFrame,
     key: Sequence[str] = ARCHIVE_KEY,
     dedup_within_batch: bool = False,
+    max_copies: int = MAX_COPIES,
 ) -> DataFrame:
     """Stored rows together with the new ones."""
-    fresh = new_records(incoming, stored, key, dedup_within_batch)
+    fresh = new_records(incoming, stored, key, dedup_within_batch, max_copies)
     return stored.unionByName(fresh, allowMissingColumns=True)
 
 

@@ -11,18 +11,19 @@ from pyspark.sql import functions as F
 from barlens.operators.heat import Layout
 from barlens.operators.steps import Steps
 
-METHODS = ("stacked", "frame")
+METHODS = ("frame", "stacked")
 
 
 def moving_averages(
-    layout: Layout, column: str, sizes: dict[str, int], method: str = "stacked"
+    layout: Layout, column: str, sizes: dict[str, int], method: str = "frame"
 ) -> Steps:
     """One average per entry of ``sizes`` (output name -> rows, the current one included).
 
     Frames shrink at the start of an instrument and nulls are skipped, as in ``avg`` over a
     row frame. ``frame`` declares exactly that; Spark then re-adds every frame for each row.
     ``stacked`` sums a short frame once and adds up shifted copies of that sum, which touches
-    far fewer rows. It only ever adds the values of the frame itself, so a NaN or infinity
+    far fewer rows. It adds in another order, so averages differ in their last bits, and labels
+    that compare averages of nearly constant prices may differ. It only ever adds the values of the frame itself, so a NaN or infinity
     leaves the average again when it leaves the frame, and no running total loses precision.
     """
     if method not in METHODS:

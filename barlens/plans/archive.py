@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StructType
+from pyspark.sql.types import DateType, StringType, StructType
 
 from barlens.functions.quality import archive_date, split_valid, with_problem
 from barlens.operators.merge import (
@@ -45,41 +45,72 @@ def archive_batch(
     append: bool = False,
     quarantine: str | None = None,
     max_copies: int = MAX_COPIES,
+    batch_id: int | None = None,
 ) -> DataFrame:
     """Merge decoded bars into the archive at ``path`` and return the run's statistics.
 
-    Only partitions in the batch are read, and only those that gain rows are rewritten, unless
+    Only partitions in the batch are read, and only those that gain rows are rewritten, by all
+    partition columns: a folder per slice leaves the other instruments of a date alone, unless
     ``rewrite_unchanged`` is set. With ``append`` nothing stored is rewritten: new rows become
     further files, each in order by itself, which suits frequent small batches. Bars that come
     more than ``max_copies`` times are kept from meeting in one task. The first partition column is ``date``, ``month`` or
     ``year``; inside a partition rows are in (date, instrument, time) order. Adding
     ``ticker`` as a second one gives a folder per slice, for few instruments. Running a batch
-    twice adds nothing.
+    twice adds nothing. Rows that cannot be archived go to ``quarantine``; with a ``batch_id``
+    they replace those of the same batch, so a replay does not repeat them.
     """
     spark = records.sparkSession
-    good, bad = archivable(records)
-    if quarantine:
-        bad.write.mode("append").json(quarantine)
     period = partition_by[0]
-    if period in PERIODS:
-        good = good.withColumn(period, F.date_format("date", PERIODS[period]))
     with Staging(spark, "archive") as staging:
+        if quarantine:
+            records = staging.hold(records, "records")
+        good, bad = archivable(records)
+        if quarantine and batch_id is None:
+            bad.write.mode("append").json(quarantine)
+        elif quarantine:
+            bad.write.mode("overwrite").json(f"{quarantine}/batch={batch_id}")
+        if period in PERIODS:
+            good = good.withColumn(period, F.date_format("date", PERIODS[period]))
         incoming = staging.hold(good, "incoming")
         stored = read_if_there(spark, path, incoming.schema, fmt)
-        touched = only_partitions(stored, incoming, period)
+        touched = only_partitions(stored, incoming, *partition_by)
         new = new_records(incoming, touched, ARCHIVE_KEY, dedup_within_batch, max_copies)
         fresh = staging.hold(new, "fresh")
         stats = merge_stats(slice_stats(incoming, touched, fresh))
         run = spark.createDataFrame(stats.collect(), stats.schema)
         changed = incoming if rewrite_unchanged and not append else fresh
         if not changed.isEmpty():
-            rows = fresh if append else only_partitions(touched, changed, period).unionByName(fresh)
+            rows = fresh if append else _with_fresh(only_partitions(touched, changed, *partition_by), fresh)
             parts = tasks_for(spark, rows.count())
             copies = crowded_keys(rows, ARCHIVE_KEY, max_copies) is not None
             write_partitions(rows, path, partition_by, ARCHIVE_KEY, fmt, parts, append, copies)
     return run
 
 
+def _with_fresh(stored: DataFrame, fresh: DataFrame) -> DataFrame:
+    return stored.unionByName(fresh, allowMissingColumns=True)
+
+
+def read_archive(
+    spark: SparkSession, path: str, fmt: str | None = None, extra: StructType | None = None
+) -> DataFrame:
+    """Archived bars as they were decoded, with date and the period of their folder.
+
+    The format is found from the files; a ``fmt`` that they do not have raises. Folder columns are
+    read as such, so filters on them skip files. ``extra`` names further stored columns.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    file = files.option("pathGlobFilter", "part-*").load(path).select("path").first()
+    found = "parquet" if file is None or ".parquet" in file["path"] else "json"
+    if fmt not in (None, found):
+        raise ValueError(f"the archive at {path} is {found}, not {fmt}")
+    schema = StructType([*ARCHIVE_SCHEMA.fields, *(extra or StructType()).fields])
+    for name in PERIODS:
+        if file is not None and f"/{name}=" in file["path"]:
+            schema = schema.add(name, StringType())
+    return spark.read.schema(schema).format(found).load(path)
+
+
 def backfill(
     history: DataFrame,
     path: str,

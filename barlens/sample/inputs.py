@@ -16,22 +16,20 @@ def quantised(price: Column) -> Column:
 
 
 def line_rank() -> Column:
-    """Order number, line number and price in cents as one number that sorts like the three.
-
-    A number fits a hash aggregate, a struct would need a sorted one. Line numbers are below
-    8 and prices below 2^24 cents by the definition of the table; an order number too large
-    to fit raises an overflow.
-    """
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    return (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * (1 << 24) + cents
+    """Order of the lines that make up a bar, for numbers and prices of any size."""
+    return F.struct("l_orderkey", "l_linenumber", "l_extendedprice")
 
 
 def bars_from_lineitem(
-    spark: SparkSession, folder: str, smooth: bool = False, company: bool = False
+    spark: SparkSession, folder: str, smooth: bool = False, company: bool = False,
+    exact: bool = False,
 ) -> DataFrame:
-    """Daily bars: one instrument per supplier, one bar per ship date."""
+    """Daily bars: one instrument per supplier, one bar per ship date.
+
+    ``exact`` keeps the prices in cents, ``smooth`` brings them close together.
+    """
     raw = F.col("l_extendedprice")
-    price = F.lit(1024.0) + quantised(raw / 1000) if smooth else quantised(raw)
+    price = raw if exact else F.lit(1024.0) + quantised(raw / 1000) if smooth else quantised(raw)
     rank = line_rank()
     bars = (
         table(spark, folder, "lineitem")
@@ -108,7 +106,7 @@ def messages_from_bars(bars: DataFrame) -> DataFrame:
         F.when(kind != 7, F.col("Volume") + 0.5).alias("Volume"),
     )
     text = F.to_json(fields)
-    text = F.when(kind == 2, F.substring(text, 2, 1000)).when(
+    text = F.when(kind == 2, F.substr(text, F.lit(2))).when(
         kind == 5, F.regexp_replace(text, '"Close":[0-9.E]+', '"Close":"n/a"')
     ).when(kind == 6, F.regexp_replace(text, r"\{", '{"company":null,')).otherwise(text)
     return bars.select(

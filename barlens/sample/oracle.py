@@ -281,4 +281,40 @@ ORACLE = {
         SELECT ticker || '_' || strftime("time", '%Y%m%d%H%M%S') AS doc_id,
                CASE WHEN dayofyear("time") % 2 = 0 THEN "Close" + 1 ELSE "Close" END AS "Close",
                strftime("time", '%Y-%m') AS part FROM bars""",
+    "trend_unquantised": f"""WITH {_bars("l_extendedprice")}, {_features()}
+        SELECT ticker, "time", trend FROM features""",
+    "archive_to_features": f"""WITH {FEATURES}
+        SELECT ticker, "time", ma50, trend, drawdown, max_drawdown FROM features""",
+    "archive_to_features_parquet": f"""WITH {FEATURES}
+        SELECT ticker, "time", ma50, trend, drawdown, max_drawdown FROM features""",
+    "range_on_text_times": f"""WITH {BARS}, texts AS (
+          SELECT ticker, "Close", dayofyear("time") % 3 AS way, "time" AS t FROM bars),
+        timed AS (
+          SELECT *, CASE WHEN way = 2 THEN date_trunc('day', t) + INTERVAL 27 HOUR
+                         WHEN way = 0 THEN date_trunc('day', t) ELSE t END AS moment,
+                 CASE way WHEN 0 THEN strftime(t, '%Y-%m-%d') WHEN 1 THEN strftime(t, '%Y-%m-%dT%H:%M:%S')
+                          ELSE strftime(t, '%Y-%m-%d') || ' 22:00:00-05:00' END AS "time" FROM texts)
+        SELECT ticker, "time", "Close" FROM timed
+        WHERE moment >= TIMESTAMP '1996-03-01' AND moment < TIMESTAMP '1999-08-15'""",
+    "cast_bad_text": f"""WITH {BARS}
+        SELECT ticker, "time", CASE WHEN dayofyear("time") % 7 <> 0 THEN "Close" END AS "Close", "Volume"
+        FROM bars""",
+    "latest_with_null_times": f"""WITH {BARS}, known AS (
+          SELECT ticker, CASE WHEN CAST(ticker AS BIGINT) % 4 <> 0 THEN "time" END AS "time", "Close" FROM bars)
+        SELECT ticker, "time", "Close" FROM known
+        QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY "time" DESC, "Close" DESC) = 1""",
+    "upsert_wider_schema": f"""WITH {BARS}
+        SELECT ticker || '_' || strftime("time", '%Y%m%d') AS doc_id, "Close",
+               CASE WHEN dayofyear("time") % 2 <> 0 THEN "Volume" END AS "Volume",
+               strftime("time", '%Y-%m') AS part FROM bars""",
+    "arrival_clock": f"""WITH {TICKS}
+        SELECT ticker, count(*) AS trade_count, 1::BIGINT AS windows FROM ticks GROUP BY ticker""",
+    "labelled_prices": f"""WITH {BARS}
+        SELECT 'SEVEN' AS ticker, CAST(NULL AS VARCHAR) AS company,
+               strftime("time", '%Y-%m-%d %H:%M:%S') AS "time",
+               CASE WHEN dayofyear("time") % 7 <> 0 THEN "Close" END AS "Close", "Volume"
+        FROM bars WHERE ticker = '7'""",
+    "two_sinks_stream": f"""WITH {METRICS}
+        SELECT doc_id, trade_count, sink::INTEGER AS sink FROM docs, (SELECT unnest([1, 2]) AS sink)
+        WHERE {CLOSED}""",
 }

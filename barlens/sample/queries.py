@@ -17,7 +17,7 @@ from barlens.operators.heat import HeatPolicy, with_counts
 from barlens.operators.lookup import attach
 from barlens.operators.merge import archive_merge, merge_stats, new_records, slice_stats, slices_present
 from barlens.operators.windows import bar_windows, move_alerts, window_metrics
-from barlens.plans.archive import archive_batch, backfill
+from barlens.plans.archive import archive_batch, backfill, read_archive
 from barlens.plans.feature_table import feature_documents, feature_table, publish_features
 from barlens.sample import inputs
 from barlens.schema import BAR_SCHEMA, ENVELOPE_SCHEMA, BarSpec
@@ -25,7 +25,7 @@ from barlens.session import stage, work_folder
 from barlens.sinks.messages import to_messages
 from barlens.sinks.tables import upsert_by_key, write_table
 from barlens.sources import bars as bar_sources
-from barlens.sources.streams import EVENT, read_stream, stamp_clock
+from barlens.sources.streams import EVENT, PROCESSING, read_stream, stamp_clock
 from barlens.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,7 +48,7 @@ def query(build: Query) -> Query:
 def known_heat(spark: SparkSession, folder: str) -> HeatPolicy:
     """Hot instruments, judged from the raw lines: one narrow column, before any bar is built."""
     counted = with_counts(inputs.table(spark, folder, "lineitem"), "l_suppkey")
-    return replace(counted, known={str(key): count for key, count in counted.known.items()})
+    return replace(counted, known=counted.known.keyed_as("ticker", F.col("l_suppkey").cast("string")))
 
 
 def local_times(df: DataFrame) -> DataFrame:
@@ -68,14 +68,14 @@ def bars_daily(spark, folder):
 @query
 def moving_averages(spark, folder):
     bars = inputs.bars_from_lineitem(spark, folder).select("ticker", "time", "Close")
-    out = features.trend_features(bars, heat=known_heat(spark, folder))
+    out = features.trend_features(bars, method="stacked", heat=known_heat(spark, folder))
     return out.select("ticker", "time", "ma50", "ma100", "ma200")
 
 
 @query
 def moving_averages_frame(spark, folder):
     bars = inputs.bars_from_lineitem(spark, folder).select("ticker", "time", "Close")
-    out = features.trend_features(bars, method="frame", heat=known_heat(spark, folder))
+    out = features.trend_features(bars, heat=known_heat(spark, folder))
     return out.select("ticker", "time", "ma50", "ma100", "ma200")
 
 
@@ -86,6 +86,14 @@ def trend(spark, folder):
     return out.select("ticker", "time", "trend", "trend_strength")
 
 
+@query
+def trend_unquantised(spark, folder):
+    """Labels on prices in cents, whose sums depend on the order of adding."""
+    bars = inputs.bars_from_lineitem(spark, folder, exact=True).select("ticker", "time", "Close")
+    out = features.trend_features(bars, heat=known_heat(spark, folder))
+    return out.select("ticker", "time", "trend")
+
+
 @query
 def returns(spark, folder):
     bars = inputs.bars_from_lineitem(spark, folder).select("ticker", "time", "Close")
@@ -532,3 +540,111 @@ def upsert_documents(spark, folder):
     for _ in range(2):
         upsert_by_key(second.union(second), path)
     return spark.read.parquet(path).select("doc_id", "Close", "part")
+
+
+def _archived_features(spark, folder, fmt: str, partition_by) -> DataFrame:
+    """Bars to the archive, back from it, and their features."""
+    bars = inputs.bars_from_lineitem(spark, folder)
+    text = F.date_format("time", "yyyy-MM-dd HH:mm:ss")
+    path = work_folder(spark, "archive")
+    archive_batch(_as_bars(bars.withColumn("time", text)), path, partition_by, fmt)
+    stored = quality.parse_times(quality.cast_prices(read_archive(spark, path, fmt)), target="time")
+    table = feature_table(stored, heat=known_heat(spark, folder))
+    return local_times(table).select("ticker", "time", "ma50", "trend", "drawdown", "max_drawdown")
+
+
+@query
+def archive_to_features(spark, folder):
+    return _archived_features(spark, folder, "json", ("year", "ticker"))
+
+
+@query
+def archive_to_features_parquet(spark, folder):
+    return _archived_features(spark, folder, "parquet", ("month",))
+
+
+@query
+def range_on_text_times(spark, folder):
+    """Times as text in three forms, one with an offset."""
+    bars = inputs.bars_from_lineitem(spark, folder)
+    way = F.dayofyear("time") % 3
+    text = (
+        F.when(way == 0, F.date_format("time", "yyyy-MM-dd"))
+        .when(way == 1, F.date_format("time", "yyyy-MM-dd'T'HH:mm:ss"))
+        .otherwise(F.concat(F.date_format("time", "yyyy-MM-dd"), F.lit(" 22:00:00-05:00")))
+    )
+    texts = bars.select("ticker", text.alias("time"), "Close")
+    return bar_sources.range_filter(texts, start="1996-03-01", end="1999-08-15")
+
+
+@query
+def cast_bad_text(spark, folder):
+    """Prices as text, some of them no number."""
+    bars = inputs.bars_from_lineitem(spark, folder).select("ticker", "time", "Close", "Volume")
+    bad = F.dayofyear("time") % 7 == 0
+    texts = bars.withColumn("Close", F.when(bad, F.lit("n/a")).otherwise(F.col("Close").cast("string")))
+    return quality.cast_prices(texts)
+
+
+@query
+def latest_with_null_times(spark, folder):
+    """Instruments all of whose times are null keep their row."""
+    bars = inputs.bars_from_lineitem(spark, folder).select("ticker", "time", "Close")
+    lost = F.col("ticker").cast("bigint") % 4 == 0
+    same = bars.where(~lost).unionByName(
+        bars.where(lost).select("ticker", F.lit(None).cast("timestamp_ntz").alias("time"), "Close")
+    )
+    return bar_sources.latest_per_key(same)
+
+
+@query
+def upsert_wider_schema(spark, folder):
+    """Documents with a further column, then some of them again without it."""
+    bars = inputs.bars_from_lineitem(spark, folder)
+    docs = stage(
+        bars.select(
+            F.concat_ws("_", "ticker", F.date_format("time", "yyyyMMdd")).alias("doc_id"),
+            "Close", "Volume", F.dayofyear("time").alias("day"), month_of(F.col("time")).alias("part"),
+        ),
+        "documents",
+    )
+    path = work_folder(spark, "upsert")
+    upsert_by_key(docs.drop("day"), path)
+    upsert_by_key(docs.where("day % 2 = 0").drop("day", "Volume"), path)
+    return spark.read.parquet(path).select("doc_id", "Close", "Volume", "part")
+
+
+@query
+def arrival_clock(spark, folder):
+    """Windows on arrival time: all rows of a batch run share one window per instrument."""
+    stamped = stamp_clock(sample_ticks(spark, folder), PROCESSING)
+    docs = window_metrics(stamped, "event_time", "1 day")
+    return docs.groupBy("ticker").agg(
+        F.sum("trade_count").cast("bigint").alias("trade_count"),
+        F.count_distinct("window_start").alias("windows"),
+    )
+
+
+@query
+def labelled_prices(spark, folder):
+    """Price rows of one instrument as bars."""
+    bars = inputs.bars_from_lineitem(spark, folder)
+    nan = F.when(F.dayofyear("time") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("Close"))
+    prices = bars.where("ticker = '7'").select("time", nan.alias("Close"), "Volume")
+    return bar_sources.label_bars(prices, "SEVEN", None)
+
+
+@query
+def two_sinks_stream(spark, folder):
+    """One stream of metrics into a document table and, batch by batch, into a second sink."""
+    second, path = work_folder(spark, "second-sink"), work_folder(spark, "documents")
+    documents = jobs.metrics_stream(tick_messages(spark, folder), EVENT)
+    run = jobs.start_upsert(
+        documents, path, work_folder(spark, "state"), trigger=ONE_RUN,
+        partition=F.date_format("window_start", "yyyyMMdd"),
+        also=lambda batch: batch.write.mode("append").parquet(second),
+    )
+    run.awaitTermination()
+    written = spark.read.parquet(path).select("doc_id", "trade_count")
+    copied = spark.read.parquet(second).select("doc_id", "trade_count")
+    return written.withColumn("sink", F.lit(1)).unionByName(copied.withColumn("sink", F.lit(2)))

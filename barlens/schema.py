@@ -14,18 +14,22 @@ from pyspark.sql.types import (
 )
 
 # Field names and types every producer and reader shares.
-TEXT_FIELDS = ("ticker", "company", "time")
-NUMBER_FIELDS = ("Open", "High", "Low", "Close", "Adj Close", "Volume")
+BAR_SCHEMA = (
+    StructType()
+    .add("ticker", StringType())
+    .add("company", StringType())
+    .add("time", StringType())
+    .add("Open", DoubleType())
+    .add("High", DoubleType())
+    .add("Low", DoubleType())
+    .add("Close", DoubleType())
+    .add("Adj Close", DoubleType())
+    .add("Volume", DoubleType())
+)
 REQUIRED_FIELDS = ("ticker", "time", "Open", "High", "Low", "Close", "Volume")
 PRICE_FIELDS = ("Open", "High", "Low", "Close", "Volume")
 TIME_PATTERN_WITH_OFFSET = "yyyy-MM-dd HH:mm:ssXXX"
 
-BAR_SCHEMA = StructType()
-for _name in TEXT_FIELDS:
-    BAR_SCHEMA.add(_name, StringType())
-for _name in NUMBER_FIELDS:
-    BAR_SCHEMA.add(_name, DoubleType())
-
 # A queue message as Spark's queue sources deliver it.
 _HEADER = StructType().add("key", StringType()).add("value", BinaryType())
 ENVELOPE_SCHEMA = (

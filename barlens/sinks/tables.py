@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from barlens.operators.heat import ordered_rows
@@ -27,10 +29,23 @@ def write_table(
 def read_if_there(
     spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet"
 ) -> DataFrame:
-    """The table at ``path``, or no rows if nothing has been written there yet."""
+    """The table at ``path``, or no rows if nothing has been written there yet.
+
+    Columns are the stored ones, so nothing stored is left out. Those that ``schema`` has too are
+    read in its types, which decides the types of partition folders; data of another type raises.
+    """
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).format(fmt).load(path)
+    try:
+        stored = spark.read.option("mergeSchema", "true").format(fmt).load(path).schema
+    except AnalysisException as fault:
+        if fault.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return spark.createDataFrame([], schema)  # only empty batches so far
+    given = {field.name: field for field in schema}
+    return spark.read.schema(
+        StructType([given.get(field.name, field) for field in stored])
+    ).format(fmt).load(path)
 
 
 def write_partitions(
@@ -51,9 +66,13 @@ def write_partitions(
     columns. One writer per table at a time.
     """
     order = [*partition_by, *[c for c in sort_by if c not in partition_by]]
+    ordered = ordered_rows(df, order, parts, copies)
+    if fmt == "json":
+        # Lines keep the fields that also name their folder.
+        line = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("value")
+        ordered, fmt = ordered.select(line, *partition_by), "text"
     (
-        ordered_rows(df, order, parts, copies)
-        .write.mode("append" if append else "overwrite")
+        ordered.write.mode("append" if append else "overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .format(fmt)

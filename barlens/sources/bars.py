@@ -8,9 +8,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructType, TimestampType
 
-from barlens.functions.quality import nan_to_null
+from barlens.functions.quality import nan_to_null, parse_time
 from barlens.schema import BAR_SCHEMA, BarSpec
 
 CORRUPT = "_corrupt_record"
@@ -86,10 +86,7 @@ def _moment(value: str | date) -> datetime:
         return value
     if isinstance(value, date):
         return datetime(value.year, value.month, value.day)
-    try:
-        return datetime.strptime(value, "%Y-%m-%d %H:%M")
-    except ValueError:
-        return datetime.strptime(value, "%Y-%m-%d")
+    return datetime.fromisoformat(value)
 
 
 def range_filter(
@@ -102,11 +99,18 @@ def range_filter(
 ) -> DataFrame:
     """Bars from ``start`` (included) to ``end`` (excluded).
 
-    The bounds become literals of the column's own type, so they reach the file scan.
+    The bounds become literals of the column's own type, so they reach the file scan. Times in
+    text are compared as instants, whatever their form and offset; the scan gets the days
+    around the range. A text that is no time is in no range.
     """
     low, high = time_bounds(start, end, days, now)
-    kind = bars.schema[time].dataType
-    return bars.where((F.col(time) >= _bound(low, kind)) & (F.col(time) < _bound(high, kind)))
+    kind, at = bars.schema[time].dataType, F.col(time)
+    if isinstance(kind, StringType):
+        # An offset moves a time by less than a day.
+        first, last = (low - timedelta(days=1)).date(), (high + timedelta(days=2)).date()
+        bars = bars.where((at >= str(first)) & (at < str(last)))
+        kind, at = TimestampType(), parse_time(at)
+    return bars.where((at >= _bound(low, kind)) & (at < _bound(high, kind)))
 
 
 def _bound(at: datetime, kind) -> Column:
@@ -123,11 +127,12 @@ def latest_per_key(bars: DataFrame, spec: BarSpec = BarSpec()) -> DataFrame:
     """The last bar of each instrument.
 
     An aggregate rather than a ranking window: each task keeps one bar per instrument before
-    anything is shuffled.
+    anything is shuffled. A null time comes before all others. Bars that agree in time and
+    tie-break are ordered by their columns.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in bars.columns])
-    order = F.struct(*spec.order) if spec.tiebreak else F.col(spec.time)
-    return bars.groupBy(F.col(spec.key).alias("_key")).agg(F.max_by(row, order).alias("_row")).select("_row.*")
+    ranked = F.max(F.struct(*[F.col(c) for c in spec.order], row.alias("_row")))
+    return bars.groupBy(F.col(spec.key).alias("_key")).agg(ranked.alias("_last")).select("_last._row.*")
 
 
 def union_bars(frames: Iterable[DataFrame]) -> DataFrame:

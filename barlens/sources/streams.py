@@ -32,6 +32,7 @@ def kafka_options(servers: str, topic: str, fail_on_data_loss: bool = True, star
         "subscribe": topic,
         "startingOffsets": starting,
         "failOnDataLoss": str(fail_on_data_loss).lower(),
+        "includeHeaders": "true",
     }
 
 

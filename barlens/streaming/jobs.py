@@ -27,11 +27,11 @@ from barlens.sinks.tables import upsert_by_key
 from barlens.sources.bars import envelope_range
 from barlens.sources.streams import PROCESSING, stamp_clock
 
+# Columns and rows of a preview, and how often the metric job runs a batch.
 PREVIEW_COLUMNS = (
     "ticker", "window_start", "open_1m", "close_1m", "return_pct_1m", "range_pct_1m",
     "alert_reason", "direction", "alert_score",
 )
-# Rows of a preview, and how often the metric job runs a batch.
 PREVIEW_ROWS = 10
 METRICS_TRIGGER = {"processingTime": "30 seconds"}
 
@@ -118,6 +118,14 @@ def start_upsert(
     return _start_batches(df, write, checkpoint, trigger)
 
 
+def start_metrics(
+    messages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, **windows: str
+) -> StreamingQuery:
+    """The metric job: upsert metric documents, by default every 30 seconds."""
+    documents = metrics_stream(messages, **windows)
+    return start_upsert(documents, path, checkpoint, trigger=trigger or METRICS_TRIGGER)
+
+
 def start_relay(
     messages: DataFrame,
     checkpoint: str,
@@ -147,8 +155,8 @@ def start_archive(
         messages = envelope_range(messages, *between)
     bars = decode(messages)
 
-    def write(batch: DataFrame, _batch_id: int) -> None:
-        archive_batch(batch, path, **layout)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        archive_batch(batch, path, batch_id=batch_id, **layout)
 
     return _start_batches(bars, write, checkpoint, trigger or {"availableNow": True})
 

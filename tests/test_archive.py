@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 from barlens.functions.quality import decode
 from barlens.operators import merge
 from barlens.operators.heat import ordered_rows
-from barlens.plans.archive import archive_batch, backfill
+from barlens.plans.archive import archive_batch, backfill, read_archive
 from barlens.schema import BAR_SCHEMA
 from barlens.sinks import tables
+from barlens.sources.bars import read_bars
 
 T = "2024-01-02 09:3{}:00"
 
@@ -55,12 +56,52 @@ def test_untouched_dates_stay_and_reference_layout(spark, records, tmp_path):
     path = str(tmp_path / "a")
     layout = {"partition_by": ("date", "ticker"), "fmt": "json"}
     archive_batch(records(("Ä", "2024-01-02", 1.0), ("B", "2024-01-03", 2.0)), path, **layout)
-    kept = sorted(p.name for p in (tmp_path / "a" / "date=2024-01-03" / "ticker=B").glob("*.json"))
+    archive_batch(records(("C", "2024-01-02", 4.0)), path, **layout)
+    untouched = ("date=2024-01-03/ticker=B", "date=2024-01-02/ticker=C")
+    kept = [sorted(p.name for p in (tmp_path / "a" / u).glob("part-*")) for u in untouched]
     archive_batch(records(("Ä", "2024-01-02 10:00:00", 3.0)), path, **layout)
-    assert sorted(p.name for p in (tmp_path / "a" / "date=2024-01-03" / "ticker=B").glob("*.json")) == kept
-    (folder,) = (tmp_path / "a" / "date=2024-01-02").iterdir()
-    lines = [json.loads(x) for f in sorted(folder.glob("*.json")) for x in f.read_text("utf-8").splitlines()]
-    assert [x["time"] for x in lines] == ["2024-01-02", "2024-01-02 10:00:00"]
+    assert all(kept)
+    assert [sorted(p.name for p in (tmp_path / "a" / u).glob("part-*")) for u in untouched] == kept
+    (folder,) = [f for f in (tmp_path / "a" / "date=2024-01-02").iterdir() if "C" not in f.name]
+    lines = [json.loads(x) for f in sorted(folder.glob("part-*")) for x in f.read_text("utf-8").splitlines()]
+    assert [(x["ticker"], x["time"]) for x in lines] == [("Ä", "2024-01-02"), ("Ä", "2024-01-02 10:00:00")]
+    back = read_archive(spark, path)
+    assert sorted((r.ticker, str(r.date), r.Close) for r in back.collect()) == [
+        ("B", "2024-01-03", 2.0), ("C", "2024-01-02", 4.0), ("Ä", "2024-01-02", 1.0), ("Ä", "2024-01-02", 3.0)
+    ]
+    with pytest.raises(ValueError, match="is json"):
+        read_archive(spark, path, "parquet")
+    loose = read_bars(spark, path)
+    assert {r.ticker for r in loose.collect()} == {"Ä", "B", "C"}
+
+
+def test_stored_columns_survive_narrower_batches(spark, records, tmp_path):
+    path = str(tmp_path / "a")
+    wide = records(("A", "2024-01-02", 1.0)).withColumn("venue", F.lit("X"))
+    archive_batch(wide, path)
+    archive_batch(records(("A", "2024-01-02 10:00:00", 2.0)), path)
+    rows = spark.read.option("mergeSchema", "true").parquet(path).collect()
+    assert sorted((r.Close, r.venue) for r in rows) == [(1.0, "X"), (2.0, None)]
+
+
+def test_partitions_outside_the_range_are_not_scanned(spark, records, tmp_path):
+    path = str(tmp_path / "a")
+    archive_batch(records(*[("A", f"2024-01-{d:02d}", 1.0) for d in range(1, 10)]), path)
+    stored = spark.read.parquet(path)
+    changed = spark.createDataFrame([("2024-01-03",), ("2024-01-05",)], "date string").select(
+        F.to_date("date").alias("date")
+    )
+    found = merge.only_partitions(stored, changed, "date")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and ">= 2024-01-03" in plan
+    assert found.count() == 2
+
+
+def test_replayed_quarantine_is_not_repeated(spark, records, tmp_path):
+    bad = str(tmp_path / "bad")
+    for _ in range(2):
+        archive_batch(records((None, "2024-01-02", 2.0)), str(tmp_path / "a"), quarantine=bad, batch_id=7)
+    assert spark.read.json(bad).count() == 1
 
 
 def test_bad_records_are_quarantined(spark, records, tmp_path):

@@ -67,8 +67,8 @@ def test_averages_skip_null_and_recover_from_nan(series, method):
 @pytest.mark.parametrize("sizes", [{"a": 50, "b": 100, "c": 200}, {"a": 7, "b": 11}, {"a": 6, "b": 60}])
 def test_stacked_equals_frame(series, sizes):
     closes = [None if i % 13 == 0 else math.floor(1000 * math.sin(i) ** 2) / 64 for i in range(450)]
-    stacked = features.trend_features(series(closes), sizes=sizes)
-    frame = features.trend_features(series(closes), sizes=sizes, method="frame")
+    stacked = features.trend_features(series(closes), sizes=sizes, method="stacked")
+    frame = features.trend_features(series(closes), sizes=sizes)
     assert stacked.exceptAll(frame).count() == 0 and frame.exceptAll(stacked).count() == 0
 
 

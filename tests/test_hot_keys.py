@@ -34,6 +34,10 @@ def skewed(spark, seed, null_key=False, copies=0):
     ).repartition(5, "seq")
 
 
+def listed(hot):
+    return {row["ticker"]: row["count"] for row in hot.table.collect()}
+
+
 def assert_same(left, right):
     text = lambda df: df.select([F.col(f"`{c}`").cast("string").alias(c) for c in sorted(df.columns)])
     left, right = text(left), text(right)
@@ -42,12 +46,14 @@ def assert_same(left, right):
 
 
 @pytest.mark.parametrize("seed, block, broadcast", [(1, 37, True), (2, 150, False), (3, 450, True), (4, 5000, True)])
-def test_feature_table_in_blocks(spark, monkeypatch, seed, block, broadcast):
+def test_feature_table_in_blocks(spark, request, seed, block, broadcast):
     if not broadcast:
-        monkeypatch.setattr(heat, "MAX_BROADCAST_BLOCKS", 0)
+        limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        request.addfinalizer(lambda: spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit))
     data = skewed(spark, seed).cache()
     heat_policy = HeatPolicy(max_rows_per_key=200, block_rows=block)
-    assert set(hot_keys(data, "ticker", heat_policy)) == {"HOT", "WARM", "N"}
+    assert set(listed(hot_keys(data, "ticker", heat_policy))) == {"HOT", "WARM", "N"}
     blocked = feature_table(data, SPEC, heat=heat_policy)
     plain = feature_table(data, SPEC, heat=PLAIN)
     rounded = F.round("monthly_volatility", 9)
@@ -59,7 +65,7 @@ def test_feature_table_in_blocks(spark, monkeypatch, seed, block, broadcast):
 def test_blocks_with_null_key(spark):
     data = skewed(spark, 5, null_key=True)
     policy = HeatPolicy(max_rows_per_key=200, block_rows=64)
-    assert None in hot_keys(data, "ticker", policy)
+    assert hot_keys(data, "ticker", policy).null_key
     blocked, plain = feature_table(data, SPEC, heat=policy), feature_table(data, SPEC, heat=PLAIN)
     assert blocked.count() == data.count()
     drop = "monthly_volatility"
@@ -69,7 +75,7 @@ def test_blocks_with_null_key(spark):
 def test_identical_copies_are_split_over_blocks(spark):
     data = skewed(spark, 6, copies=2000).cache()
     policy = HeatPolicy(max_rows_per_key=1000, block_rows=200)
-    hot = hot_keys(data, "ticker", policy)
+    hot = listed(hot_keys(data, "ticker", policy))
     blocks = heat._written_blocks(data.where("ticker = 'HOT'"), SPEC, 15)
     sizes = [r[1] for r in blocks.groupBy(heat.BLOCK).count().collect()]
     assert sum(sizes) == hot["HOT"] == 2900
@@ -117,3 +123,42 @@ def test_result_does_not_depend_on_input_order(spark):
         feature_table(data, SPEC, heat=policy).withColumn("monthly_volatility", rounded),
         feature_table(again, SPEC, heat=policy).withColumn("monthly_volatility", rounded),
     )
+
+
+def test_every_key_above_the_limit_is_split(spark):
+    rows = spark.range(5000 * 3).select(
+        F.concat(F.lit("k"), F.col("id") % 5000).alias("ticker"),
+        F.expr("timestampadd(DAY, int(id / 5000), timestamp '2020-01-01')").alias("time"),
+        F.col("id").cast("double").alias("Close"), F.lit(1.0).alias("Volume"), F.col("id").alias("seq"),
+    )
+    policy = HeatPolicy(max_rows_per_key=2, block_rows=1000)
+    hot = hot_keys(rows, "ticker", policy)
+    assert (hot.keys, hot.rows) == (5000, 15000)
+    cool, heated = hot.split(rows, "ticker")
+    assert (cool.count(), heated.count()) == (0, 15000)
+    assert_same(
+        features.return_features(rows, SPEC, heat=policy), features.return_features(rows, SPEC, heat=PLAIN)
+    )
+
+
+def test_volume_in_blocks_without_close(spark):
+    data = skewed(spark, 12).drop("Close").cache()
+    policy = HeatPolicy(max_rows_per_key=100, block_rows=90)
+    assert_same(
+        features.volume_features(data, SPEC, heat=policy), features.volume_features(data, SPEC, heat=PLAIN)
+    )
+
+
+def test_salts_spread_rows_that_lie_together(spark):
+    rows = spark.range(1000).select(
+        F.lit("HOT").alias("ticker"), F.lit("2024-01").alias("month"), "id"
+    ).repartition(1)
+    lookup = spark.createDataFrame([("HOT", "2024-01", 7)], "ticker string, month string, v int")
+    policy = HeatPolicy(max_rows_per_key=10, block_rows=100)
+    hot = hot_keys(rows, "ticker", policy)
+    from barlens.operators.lookup import _salted
+
+    assert _salted(rows, lookup, ["ticker", "month"], hot, policy).where("v = 7").count() == 1000
+    salts = hot.table.select(F.ceil(F.col("count") / 100)).first()[0]
+    spread = rows.groupBy(F.pmod(F.xxhash64(*rows.columns), F.lit(salts))).count().collect()
+    assert len(spread) == 10 and max(r["count"] for r in spread) < 300

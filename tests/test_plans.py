@@ -46,7 +46,7 @@ def test_selections_reach_the_scan(stored):
 
 def test_latest_bar_is_combined_before_the_shuffle(stored):
     text = plan(latest_per_key(stored))
-    assert "partial_max_by" in text and "Window" not in text
+    assert "partial_max(" in text and "Window" not in text
 
 
 def test_window_metrics_are_combined_before_the_shuffle(stored, spark):
@@ -69,7 +69,8 @@ def test_large_inputs_state_their_partitions(stored):
 
 def test_counting_fills_in_the_policy(stored):
     counted = with_counts(stored, "ticker", HeatPolicy(max_rows_per_key=30))
-    assert (counted.known, counted.rows) == ({"A": 40}, 40)
+    assert [tuple(row) for row in counted.known.table.collect()] == [("A", 40)]
+    assert (counted.known.keys, counted.known.rows, counted.rows) == (1, 40, 40)
     assert with_counts(stored.limit(0), "ticker").rows == 0
 
 
