@@ -18,7 +18,7 @@ NO_ID = -(2**63)
 CHUNK_BYTES = 4 << 20
 
 # Distinct words a Python worker remembers.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 200_000
 
 
 def key_of(name: str) -> Column:

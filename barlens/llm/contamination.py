@@ -20,9 +20,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_type
+from pyspark.sql.types import StructField, StructType
 
 from barlens.llm.common import batch_of, chunks, covered, groups, raw_text, runs_of
-from barlens.session import stage
+from barlens.session import Staging, stage
 
 WINDOW = 13
 BLOCK_WORDS = 200_000
@@ -40,13 +42,10 @@ _TO_WORDS = bytes(
 _INDEX = pa.schema(
     [
         ("kind", pa.string()), ("segment", pa.int64()), ("term", pa.binary()),
-        ("places", pa.binary()), ("place", pa.int64()), ("doc_id", pa.int64()),
-        ("n_words", pa.int64()),
+        ("places", pa.binary()), ("place", pa.int64()), ("n_words", pa.int64()),
     ]
 )
-_INDEX_DDL = (
-    "kind string, segment long, term binary, places binary, place long, doc_id long, n_words long"
-)
+_INDEX_SCHEMA = from_arrow_schema(_INDEX)
 
 
 def index_words(text: bytes) -> list[bytes]:
@@ -67,7 +66,10 @@ def build_index(
     """Rows of kind ``doc`` (segment, place, doc_id, n_words) and ``term`` (segment, term, places).
 
     ``vocabulary`` leaves out the postings of all other terms; documents are complete either way.
+    Ids keep their type.
     """
+    kind = docs.schema[id_column].dataType
+    arrow = pa.schema([*_INDEX, ("doc_id", to_arrow_type(kind))])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
@@ -104,7 +106,7 @@ def build_index(
             edges = [*first.tolist(), len(places)]
             n = len(ids)
             yield batch_of(
-                _INDEX,
+                arrow,
                 {
                     "kind": ["doc"] * n, "segment": [segment] * n, "term": [None] * n,
                     "places": [None] * n, "place": starts, "doc_id": ids, "n_words": sizes,
@@ -112,7 +114,7 @@ def build_index(
             )
             m = len(used)
             yield batch_of(
-                _INDEX,
+                arrow,
                 {
                     "kind": ["term"] * m, "segment": [segment] * m,
                     "term": [names[t] for t in used.tolist()],
@@ -121,9 +123,10 @@ def build_index(
                 },
             )
 
-    narrow = docs.select(F.col(id_column).cast("long").alias("doc"),
-                         raw_text(text_column).alias("text"))
-    return narrow.mapInArrow(work, _INDEX_DDL)
+    narrow = docs.select(F.col(id_column).alias("doc"), raw_text(text_column).alias("text"))
+    return narrow.mapInArrow(
+        work, StructType([*_INDEX_SCHEMA.fields, StructField("doc_id", kind)])
+    )
 
 
 class ItemBlock:
@@ -310,10 +313,19 @@ def find_contamination(
     vocabulary = None
     if len(ahead) < 2:  # one search: postings of other terms would never be read
         vocabulary = frozenset(ahead[0].terms if ahead else ())
-    index = stage(build_index(docs, vocabulary, id_column, text_column), "index")
-    found = [stage(search_index(index, block, slop), "hits") for block in chain(ahead, blocks)]
+    with Staging(spark, "contamination") as staging:
+        index = staging.hold(build_index(docs, vocabulary, id_column, text_column), "index")
+        found = [
+            staging.hold(search_index(index, block, slop), f"hits-{i}")
+            for i, block in enumerate(chain(ahead, blocks))
+        ]
+        # One narrow row per document; the postings go.
+        return stage(_per_document(index, found), "contamination")
+
+
+def _per_document(index: DataFrame, found: list[DataFrame]) -> DataFrame:
     if not found:
-        hits = spark.createDataFrame([], _HITS_DDL)
+        hits = index.sparkSession.createDataFrame([], _HITS_DDL)
     elif len(found) == 1:
         hits = found[0]
     else:

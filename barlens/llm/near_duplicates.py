@@ -14,8 +14,9 @@ links and the edges of a spanning forest. A pair is taken only in the first band
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
+from itertools import count
 from math import comb
 
 import numpy as np
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from barlens.llm.common import (
     batch_of, chunks, groups, id_of, key_of, raw_text, window_hashes, word_hashes,
 )
-from barlens.session import stage
+from barlens.session import Staging, stage
 
 SHINGLE = 5
 THRESHOLD = (4, 5)
@@ -318,16 +319,16 @@ def _verified(candidates: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
 
-def components(edges: DataFrame, label: str = "edges") -> DataFrame:
+def components(edges: DataFrame, hold: Callable[[DataFrame, str], DataFrame] = stage) -> DataFrame:
     """(node, root) of every node of ``edges`` (a, b): the smallest node it is connected with.
 
     Alternates two steps until nothing moves: every node hands its larger neighbours to the
-    smallest node next to it, then its smaller ones. Each step is a minimum per node and a join,
-    written to the shared work area; rounds grow with the logarithm of the largest component.
+    smallest node next to it, then its smaller ones. Each step is a minimum per node and a join;
+    ``hold`` writes it and reads it back. Rounds grow with the logarithm of the largest component.
     """
     larger = F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
-    current = stage(edges.where("a <> b").select(*larger).distinct(), label)
-    before = None
+    current = hold(edges.where("a <> b").select(*larger).distinct(), "edges")
+    before, rounds = None, count(1)
     while True:
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         lowest = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("low"))
@@ -341,7 +342,7 @@ def components(edges: DataFrame, label: str = "edges") -> DataFrame:
                         F.struct(F.col("b").alias("a"), F.col("low").alias("b")))
             ).alias("e")
         ).select("e.*").where("a <> b").distinct()
-        current = stage(pushed, label)
+        current = hold(pushed, f"edges-{next(rounds)}")
         now = current.agg(
             F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
         ).first()
@@ -372,21 +373,31 @@ def near_duplicates(
         number.alias("row"), key_of(id_column).alias("doc"),
         raw_text(text_column).alias("text"),
     )
-    base = stage(_with_signatures(narrow), "signatures")
-    classes = stage(
+    with Staging(docs.sparkSession, "near-duplicates") as staging:
+        result = _classified(narrow, block, staging.hold)
+        # Narrow rows; the texts and signatures behind them go.
+        return stage(result if row_column else result.drop("row"), "near-duplicates")
+
+
+def _classified(
+    narrow: DataFrame, block: int, hold: Callable[[DataFrame, str], DataFrame]
+) -> DataFrame:
+    """``near_duplicates`` of (row, doc, text); ``hold`` writes what is read several times."""
+    base = hold(_with_signatures(narrow), "signatures")
+    classes = hold(
         base.where("words_key is not null").groupBy("words_key")
         .agg(F.min(F.struct("doc", "row")).alias("first"), F.count("*").alias("n_copies"))
         .select("words_key", "first", F.col("first.row").alias("row"), "n_copies"),
         "classes",
     )
-    signatures = stage(
+    signatures = hold(
         base.select("row", "signature").join(classes.select("row"), "row"), "class-signatures"
     )
     members = _block_members(_bands(signatures), block).join(signatures, "row")
-    candidates = stage(_candidates(members), "candidates")
-    links = stage(_verified(candidates, base.select("row", "packed")), "links")
+    candidates = hold(_candidates(members), "candidates")
+    links = hold(_verified(candidates, base.select("row", "packed")), "links")
     edges = links.select(F.col("row").alias("a"), F.explode("to").alias("b"))
-    found = components(edges).join(
+    found = components(edges, hold).join(
         classes.select(F.col("row").alias("node"), "first"), "node"
     )
     heads = found.groupBy("root").agg(F.min("first").alias("head"))
@@ -406,5 +417,5 @@ def near_duplicates(
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"),
         (F.col("head.row") == F.col("row")).alias("is_first"),
-        *(["row"] if row_column else []),
+        "row",
     )

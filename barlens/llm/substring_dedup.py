@@ -22,7 +22,7 @@ to several tasks, between which its probe spans are dealt out.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +35,7 @@ from barlens.llm.common import (
     batch_of, chunks, covered, groups, id_of, key_of, list_array, mixed, raw_text, runs_of, signed,
     sliding_min, window_hashes, word_hashes,
 )
-from barlens.session import stage
+from barlens.session import Staging, stage
 
 WIDTH = 50
 
@@ -355,7 +355,17 @@ def remove_repeats(
         F.monotonically_increasing_id().alias("row"), key_of(id_column).alias("doc"),
         raw_text(text_column).alias("text"),
     )
-    base = stage(_with_anchors(narrow, width), "anchors")
+    with Staging(docs.sparkSession, "substring-dedup") as staging:
+        # Narrow rows unless texts are asked for; the tables behind them go.
+        return stage(_without_repeats(narrow, width, probe_words, keep_text, staging.hold), "kept")
+
+
+def _without_repeats(
+    narrow: DataFrame, width: int, probe_words: int, keep_text: bool,
+    hold: Callable[[DataFrame, str], DataFrame],
+) -> DataFrame:
+    """``remove_repeats`` of (row, doc, text); ``hold`` writes what is read several times."""
+    base = hold(_with_anchors(narrow, width), "anchors")
     classes = base.where("words_key is not null").groupBy("words_key").agg(
         F.min(F.struct("doc", "row")).alias("first")
     )
@@ -371,7 +381,7 @@ def remove_repeats(
     chosen = anchors.join(shared, "anchor").groupBy("row").agg(
         F.collect_list("anchor").alias("anchors")
     )
-    candidates = stage(base.select("row", "doc", "packed").join(chosen, "row"), "candidates")
+    candidates = hold(base.select("row", "doc", "packed").join(chosen, "row"), "candidates")
     windows = _shared_windows(candidates, width)
     owners = (
         windows.groupBy("h1", "h2").agg(F.min("doc").alias("owner"), F.max("doc").alias("high"))
@@ -381,7 +391,7 @@ def remove_repeats(
         F.collect_list(F.struct("h1", "owner")).alias("marks")
     )
     texts = candidates.select("row", "doc", "packed")
-    spans = stage(_spans(texts.join(marks, "row"), width), "spans")
+    spans = hold(_spans(texts.join(marks, "row"), width), "spans")
     removed = _matched(_with_salts(spans, probe_words), width)
     lists = removed.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     kept = _kept(texts.join(lists, "row").drop("doc"))

@@ -44,13 +44,16 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not contaminated by the benchmark."""
-    keyed = _keyed(docs)
+    """Documents that are not contaminated by the benchmark.
+
+    The verdict follows from the text alone, so a hash of the text names it.
+    """
+    keyed = docs.withColumn("key", F.sha2(F.coalesce("text", F.lit("")), 256))
     found = contamination.find_contamination(
         keyed, table(spark, sf_dir, "benchmark"), id_column="key"
     )
     bad = found.where(contamination.is_contaminated()).select(F.col("doc_id").alias("key"))
-    return keyed.join(bad, "key", "left_anti").select(*COLUMNS)
+    return keyed.join(bad.distinct(), "key", "left_anti").select(*COLUMNS)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
