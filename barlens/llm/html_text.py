@@ -266,8 +266,7 @@ def extract_text(
     empty page and a page without main text have an empty text. Repeated rows are each extracted.
     Columns named text or n_chars are replaced.
     """
-    source = pages.drop("text", "n_chars").withColumn("__page", raw_text(html_column))
-    source = source.drop(*([html_column] if html_column != "__page" else []))
+    source = pages.withColumn("__page", raw_text(html_column)).drop("text", "n_chars", html_column)
     schema = T.StructType(
         [f for f in source.schema.fields if f.name != "__page"]
         + [T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())]
