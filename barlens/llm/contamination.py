@@ -229,17 +229,24 @@ def _hits_of_segment(segment, starts, sizes, postings, block, slop):
         }
 
 
-def search_index(index: DataFrame, block: ItemBlock, slop: int = 0) -> DataFrame:
-    """Per document with a match: segment, place, n_hit, hit spans in words, items."""
+def search_index(
+    index: DataFrame, block: ItemBlock, slop: int = 0, own_terms: bool = False
+) -> DataFrame:
+    """Per document with a match: segment, place, n_hit, hit spans in words, items.
+
+    ``own_terms`` says that the index holds the block's terms only.
+    """
     if not 0 <= slop < GAP:
         raise ValueError(f"slop must be from 0 to {GAP - 1}")
-    wanted = index.sparkSession.createDataFrame(
-        [(bytearray(t),) for t in block.terms], "term binary"
-    )
-    # Spark broadcasts the test terms if their size allows.
-    rows = index.where("kind = 'term'").join(wanted, "term", "left_semi").unionByName(
-        index.where("kind = 'doc'")
-    )
+    rows = index
+    if not own_terms:
+        wanted = index.sparkSession.createDataFrame(
+            [(bytearray(t),) for t in block.terms], "term binary"
+        )
+        # Spark broadcasts the test terms if their size allows.
+        rows = index.where("kind = 'term'").join(wanted, "term", "left_semi").unionByName(
+            index.where("kind = 'doc'")
+        )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (segment,), pieces in groups(batches, ["segment"]):
@@ -316,7 +323,7 @@ def find_contamination(
     with Staging(spark, "contamination") as staging:
         index = staging.hold(build_index(docs, vocabulary, id_column, text_column), "index")
         found = [
-            staging.hold(search_index(index, block, slop), f"hits-{i}")
+            staging.hold(search_index(index, block, slop, vocabulary is not None), f"hits-{i}")
             for i, block in enumerate(chain(ahead, blocks))
         ]
         # One narrow row per document; the postings go.
