@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barlens.llm.common import chunks, covered, raw_text, window_hashes, word_hashes
+from barlens.session import stage
 
 REPEAT_WINDOW = 8
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -168,9 +169,14 @@ def quality_filter(
     judged one by one. An empty table gives an empty result. Columns named like the measures are
     left out of the judgement and returned untouched.
     """
-    hosts = host_verdicts(
-        measured(docs.select(F.col(host_column).alias("host"), text_column), text_column),
-        "host", rules,
+    # Written, the verdicts have a known size: as long as they are small no text is shuffled by
+    # host, where one host may hold a third of it; beyond, the join splits such hosts.
+    hosts = stage(
+        host_verdicts(
+            measured(docs.select(F.col(host_column).alias("host"), text_column), text_column),
+            "host", rules,
+        ),
+        "hosts",
     )
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     packed = docs.select(row, F.col(host_column).alias("host"), F.col(text_column).alias("body"))

@@ -34,7 +34,7 @@ def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
     measured = stage(quality_rules.measured(docs).drop("text"), "measures")
-    hosts = quality_rules.host_verdicts(measured, "source")
+    hosts = stage(quality_rules.host_verdicts(measured, "source"), "hosts")
     return quality_rules.judged(measured, hosts, "source").select(
         "doc_id", *quality_rules.MEASURES, "base_failed", "kept"
     )
