@@ -2,7 +2,8 @@
 
 A host's share of failing documents is shrunk towards the corpus by a beta prior whose two numbers
 are fitted to the hosts' own rates (method of moments). Documents that fail the base rules go, and
-so do all documents of a host whose shrunken rate reaches ``HostRules.limit``.
+so do all documents of a host whose shrunken rate reaches ``HostRules.limit``. With
+``HostRules.judge_documents`` a document goes as well that fails one of the other rules itself.
 """
 
 from __future__ import annotations
@@ -37,6 +38,7 @@ class HostRules:
     limit: float = 0.8
     weakest_prior: float = 1.0
     strongest_prior: float = 10_000.0
+    judge_documents: bool = False
 
 
 def repeated_words(words: list[bytes], width: int = REPEAT_WINDOW) -> int:
@@ -145,16 +147,19 @@ def host_verdicts(docs: DataFrame, host_column: str, rules: HostRules = HostRule
     )
 
 
-def judged(docs: DataFrame, hosts: DataFrame, host_column: str) -> DataFrame:
+def judged(
+    docs: DataFrame, hosts: DataFrame, host_column: str, rules: HostRules = HostRules()
+) -> DataFrame:
     """Measured documents with base_failed and kept."""
     verdicts = hosts.where("refused").select(
         F.col("host").alias("__host"), F.lit(True).alias("__refused")
     )
+    failed = fails_a_rule(rules) if rules.judge_documents else F.col("base_failed")
     return (
         docs.drop("base_failed", "kept")
         .withColumn("base_failed", base_failed())
         .join(verdicts, F.col(host_column) == F.col("__host"), "left")
-        .withColumn("kept", ~F.col("base_failed") & F.col("__refused").isNull())
+        .withColumn("kept", ~failed & F.col("__refused").isNull())
         .drop("__host", "__refused")
     )
 
@@ -180,5 +185,5 @@ def quality_filter(
     )
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     packed = docs.select(row, F.col(host_column).alias("host"), F.col(text_column).alias("body"))
-    kept = judged(measured(packed, "body"), hosts, "host").where("kept")
+    kept = judged(measured(packed, "body"), hosts, "host", rules).where("kept")
     return kept.select("row.*")

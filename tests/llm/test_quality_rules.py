@@ -42,3 +42,13 @@ def test_odd_rows_and_clashing_columns(spark, documents):
 def test_limit_is_a_parameter(spark):
     docs = hosts_of(spark, [("a", 5, 5), ("b", 9, 1)])
     assert quality_filter(docs, rules=HostRules(limit=0.0)).count() == 0
+
+
+def test_documents_judged_by_every_rule(spark):
+    symbols = " ".join(f"w{i} #$%" for i in range(40))
+    lines = "\n".join(f"line {i} of words" for i in range(20)) + "\nthe end\nthe end"
+    texts = [GOOD] * 9 + [symbols, lines, BAD, " ".join(f"{i}" + "x" * 20 for i in range(40))]
+    docs = spark.createDataFrame([(i, "a", t) for i, t in enumerate(texts)], "n int, source string, text string")
+    rules = HostRules(judge_documents=True)
+    assert {r.n for r in quality_filter(docs, rules=rules).collect()} == {*range(9), 10}
+    assert {r.n for r in quality_filter(docs).collect()} == {*range(11), 12}
