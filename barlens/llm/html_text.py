@@ -3,6 +3,8 @@
 The page is cut into blocks at block-level tags. The first pass decides blocks by where they stand,
 their link density, length and density of stop words; short ones stay open. The second pass gives
 open blocks the label of the nearest decided neighbours, looking inside their own region first.
+Stop words say nothing of a text in another language than theirs: there length and links decide. A
+form or an element named like furniture that encloses the page's text is no furniture.
 """
 
 from __future__ import annotations
@@ -42,6 +44,10 @@ _FURNITURE_NAMES = frozenset(
     " recommended related share sharing sidebar signup social sponsor sponsored subscribe"
     " subscription toolbar widget".split()
 )
+# Furniture that may hold whole articles of its own.
+_LIST_NAMES = frozenset("comment comments disqus recommended related".split())
+# With one of these a name tells how a page is laid out or what state it is in.
+_STATE_NAMES = frozenset("col cols column columns has is js layout no not show with without".split())
 _TEXT_NAMES = frozenset("article content entry main post story text".split())
 _FURNITURE_ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert menu menubar".split()
@@ -70,6 +76,22 @@ class BlockRules:
     stop_high: float = 0.25
 
 
+@dataclass(eq=False)
+class Element:
+    """An open element: what it makes of its content, and when it is no furniture after all.
+
+    ``wraps``: if it encloses the page's text regions; ``weak``: if it encloses most of the text.
+    """
+
+    name: str
+    kind: str
+    region: int
+    wraps: bool = False
+    weak: bool = False
+    holds: bool = False
+    released: bool = False
+
+
 @dataclass
 class Block:
     """A block's text and what the rules ask about it."""
@@ -93,44 +115,71 @@ _NAME_PARTS = re.compile(r"[^a-z0-9]+")
 _WORD_EDGES = re.compile(r"^\W+|\W+$")
 
 
-def _kind(name: str, rest: str, in_text: bool) -> str:
-    """What an opened element makes of its content: furniture, text or nothing special."""
-    found = {"furniture"} if name in _FURNITURE or (name == "header" and not in_text) else set()
-    if name in _TEXT_REGIONS:
-        found.add("text")
+def _furniture_name(token: str) -> str:
+    """How a class or id names furniture: whole, by its first or last part (weak), or not ('')."""
+    if token in _FURNITURE_NAMES:
+        return "whole"
+    parts = [p for p in _NAME_PARTS.split(token) if p]
+    if not parts or _STATE_NAMES & set(parts):
+        return ""
+    return "weak" if parts[0] in _FURNITURE_NAMES or parts[-1] in _FURNITURE_NAMES else ""
+
+
+def _opened(name: str, rest: str, in_text: bool) -> Element:
+    """The opened element, its kind furniture, text or nothing special."""
+    element = Element(name, "", 0)
+    strong = name in _FURNITURE and name != "form"
+    weak = name == "form"
+    soft = name == "header" and not in_text
+    text = name in _TEXT_REGIONS
+    lists = False
     for match in _ATTRIBUTE.finditer(rest) if rest else ():
         value = html.unescape(match[2] or match[3] or match[4] or "").lower()
-        parts = set(value.split()) | set(_NAME_PARTS.split(value))
+        tokens = value.split()
         if match[1].lower() == "role":
-            if parts & _FURNITURE_ROLES:
-                found.add("furniture")
-            elif "main" in parts or "article" in parts:
-                found.add("text")
-        elif parts & _FURNITURE_NAMES and name not in _TEXT_REGIONS and name != "body":
-            found.add("furniture")
-        elif parts & _TEXT_NAMES and name in ("div", "section", "td"):
-            found.add("text")
-    return "furniture" if "furniture" in found else "text" if found else ""
+            roles = set(tokens) | set(_NAME_PARTS.split(value))
+            weak |= "form" in roles
+            soft |= bool(roles & _FURNITURE_ROLES - {"form"})
+            text |= "main" in roles or "article" in roles
+            continue
+        found = {t: _furniture_name(t) for t in tokens}
+        if name not in _TEXT_REGIONS and name != "body":
+            named_text = any(t in _TEXT_NAMES for t in tokens)
+            soft |= "whole" in found.values()
+            weak |= "weak" in found.values() and not named_text
+            lists |= any(
+                f and _LIST_NAMES & set(_NAME_PARTS.split(t)) for t, f in found.items()
+            )
+        if name in ("div", "section", "td"):
+            text |= any(
+                _TEXT_NAMES & set(_NAME_PARTS.split(t)) for t, f in found.items() if not f
+            )
+    if strong or soft or weak:
+        element.kind = "furniture"
+        element.wraps = not strong and not lists
+        element.weak = weak and not (strong or soft or lists)
+    elif text:
+        element.kind = "text"
+    return element
 
 
 def page_blocks(page: str) -> list[Block]:
     """The blocks of a page in its order; markup, comments and embedded code are gone."""
     blocks: list[Block] = []
-    stack: list[tuple[str, str, int]] = []  # name, kind, region
+    stack: list[Element] = []
+    enclosing: list[list[tuple[Element, bool]]] = []  # furniture around each block
     parts: list[str] = []
     state = {"linked": 0, "links": 0, "regions": 0, "breaks": 0}
 
-    def where() -> tuple[int, bool, bool]:
-        furniture = any(kind == "furniture" for _, kind, _ in stack)
-        text = [region for _, kind, region in stack if kind == "text"]
-        return (text[-1] if text else 0), bool(text), furniture
-
     def close_block() -> None:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                region, in_text, furniture = where()
-                blocks.append(Block(text, state["linked"], region, in_text, furniture))
+                regions = [e.region for e in stack if e.kind == "text"]
+                around = [(e, e.holds) for e in stack if e.kind == "furniture" and not e.released]
+                region = regions[-1] if regions else 0
+                blocks.append(Block(text, state["linked"], region, bool(regions), bool(around)))
+                enclosing.append(around)
             parts.clear()
         state["linked"] = state["breaks"] = 0
 
@@ -144,25 +193,30 @@ def page_blocks(page: str) -> list[Block]:
     def open_element(name: str, rest: str) -> None:
         if name in _BLOCKS:
             close_block()
-            while stack and stack[-1][0] in ("p", *_INLINE_CONTAINERS):
+            while stack and stack[-1].name in ("p", *_INLINE_CONTAINERS):
                 stack.pop()
-            if name in ("li", "dt", "dd", "td", "th", "tr") and stack and stack[-1][0] == name:
+            if name in ("li", "dt", "dd", "td", "th", "tr") and stack and stack[-1].name == name:
                 stack.pop()
             state["links"] = 0
         if name in _TEXT_REGIONS:
             # An article ends what was left open before it.
-            while stack and stack[-1][1] == "furniture" and stack[-1][0] not in _FURNITURE:
-                stack.pop()
-        kind = _kind(name, rest, any(k == "text" for _, k, _ in stack))
-        if kind == "text":
+            for element in reversed(stack):
+                if element.kind != "furniture" or element.name in _FURNITURE:
+                    break
+                element.released = True
+        element = _opened(name, rest, any(e.kind == "text" for e in stack))
+        if element.kind == "text":
             state["regions"] += 1
-        if name in _BLOCKS or kind:
-            if kind and name not in _BLOCKS:
+            for outer in stack:
+                outer.holds = True
+        element.region = state["regions"]
+        if name in _BLOCKS or element.kind:
+            if element.kind and name not in _BLOCKS:
                 close_block()
-            stack.append((name, kind, state["regions"]))
+            stack.append(element)
 
     def close_element(name: str) -> None:
-        names = [n for n, _, _ in stack]
+        names = [e.name for e in stack]
         if name in names:
             close_block()
             del stack[len(names) - 1 - names[::-1].index(name):]
@@ -202,34 +256,104 @@ def page_blocks(page: str) -> list[Block]:
         else:
             open_element(name, match["rest"])
     close_block()
+    _release(blocks, enclosing)
     return blocks
 
 
+def _release(blocks: list[Block], enclosing: list[list[tuple[Element, bool]]]) -> None:
+    """Takes blocks out of furniture that encloses the page's text.
+
+    That is furniture whose text regions hold at least half as much as the largest region outside,
+    the largest first, and then a form or a weak name around more than half of the text.
+    """
+    if not any(e.wraps for around in enclosing for e, _ in around):
+        return
+    plain = [len(b.text) - b.linked for b in blocks]
+    wrapping = [all(e.wraps for e, _ in around) for around in enclosing]
+    caught: dict[Element, int] = {}
+    regions: dict[int, int] = {}
+    for block, around, n, loose in zip(blocks, enclosing, plain, wrapping):
+        if block.in_text and not around:
+            regions[block.region] = regions.get(block.region, 0) + n
+        if block.in_text and loose:
+            for element, held in around:
+                if held:
+                    caught[element] = caught.get(element, 0) + n
+    largest = max(regions.values(), default=0)
+    for element, n in sorted(caught.items(), key=lambda item: -item[1]):
+        if 2 * n > largest:
+            element.released = True
+            largest = max(largest, n)
+    total = sum(n for n, loose in zip(plain, wrapping) if loose)
+    weak: dict[Element, int] = {}
+    for around, n, loose in zip(enclosing, plain, wrapping):
+        for element, _ in around if loose else ():
+            if element.weak and not element.released:
+                weak[element] = weak.get(element, 0) + n
+    most = {element for element, n in weak.items() if 2 * n > total}
+    for block, around in zip(blocks, enclosing):
+        # Before its first region a named element keeps what it names; a form does not.
+        block.furniture = any(
+            not (e in most or (e.released and (held or e.name == "form"))) for e, held in around
+        )
+
+
 def classify(blocks: list[Block], rules: BlockRules = BlockRules()) -> None:
     """Labels every block good or bad."""
+    running = [b for b in blocks if not _set_apart(b, rules) and len(b.text) >= rules.short]
+    counted = {}
+    if not all(b.in_text for b in running):  # inside a text, stop words decide nothing
+        counted = {id(b): _stop_words(b.text) for b in running}
+    stops, words = (sum(x) for x in zip((0, 0), *counted.values()))
+    known = stops >= rules.stop_low * words
     for block in blocks:
-        block.label = _first_label(block, rules)
+        block.label = "bad" if _set_apart(block, rules) else "open"
+    for block in running:
+        if block.in_text:
+            block.label = "good"
+            continue
+        stops, words = counted[id(block)]
+        density = stops / words
+        if not known or density >= rules.stop_high or _other_script(block.text):
+            block.label = "good" if len(block.text) >= rules.long else "medium"
+        elif density < rules.stop_low:
+            block.label = "bad"
+    # Medium blocks count as decided where the regions do not hold the page's text.
+    inside = sum(len(b.text) - b.linked for b in blocks if b.in_text and not b.furniture)
+    medium = [b for b in blocks if b.label == "medium"]
+    seeds = sum(len(b.text) for b in medium) > inside
+    for block in medium:
+        block.label = "good" if seeds else "open"
+    if not inside and all(b.label != "good" for b in blocks):
+        for block in blocks:
+            if block.label == "open" and len(block.text) >= rules.short:
+                block.label = "good"
     decided = [(i, b) for i, b in enumerate(blocks) if b.label != "open"]
     labels = {i: _inherited(i, b, decided) for i, b in enumerate(blocks) if b.label == "open"}
     for i, label in labels.items():
         blocks[i].label = label
 
 
-def _first_label(block: Block, rules: BlockRules) -> str:
+def _stop_words(text: str) -> tuple[int, int]:
+    """Stop words and words of a text."""
+    words = [_WORD_EDGES.sub("", w).lower() for w in text.split()]
+    return sum(w in STOP_WORDS for w in words), len(words)
+
+
+def _other_script(text: str) -> bool:
+    """Whether most letters are none that the languages of the stop words use."""
+    if text.isascii():
+        return False
+    letters = [c for c in text if c.isalpha()]
+    return 2 * sum(c > "\u024f" for c in letters) > len(letters)
+
+
+def _set_apart(block: Block, rules: BlockRules) -> bool:
+    """Furniture, mostly links, or a copyright line outside a text."""
     text = block.text
     if block.furniture or block.linked > rules.link_density * len(text):
-        return "bad"
-    if not block.in_text and ("©" in text or text.lower().startswith("copyright")):
-        return "bad"
-    if len(text) < rules.short:
-        return "open"
-    words = [_WORD_EDGES.sub("", w).lower() for w in text.split()]
-    density = sum(w in STOP_WORDS for w in words) / len(words)
-    if density >= rules.stop_high and len(text) >= rules.long:
-        return "good"
-    if density >= rules.stop_low or block.in_text:
-        return "good" if block.in_text else "open"
-    return "bad"
+        return True
+    return not block.in_text and ("©" in text or text.lower().startswith("copyright"))
 
 
 def _inherited(place: int, block: Block, decided: list[tuple[int, Block]]) -> str:

@@ -51,6 +51,62 @@ def test_short_blocks_follow_their_neighbours():
     assert "Yes." in main_text(page) and "\n\nor" not in main_text(page)
 
 
+MEDIUM = [
+    f"This is the story number {i} of the people that were in the town with him and of all that they "
+    "had to say about it when he came." for i in range(4)
+]
+FINNISH = [
+    f"Kylän {i} asukkaat kokoontuivat aamulla rannalle katsomaan veneitä, jotka palasivat mereltä täynnä "
+    "kalaa, vaikka myrsky yöllä heitti aallot korkealle." for i in range(4)
+]
+RUSSIAN = [
+    f"Жители деревни {i} собрались утром на берегу, чтобы посмотреть на лодки, которые вернулись с моря "
+    "полные рыбы, хотя ночью была буря." for i in range(4)
+]
+AROUND = ("<div class='site-header'><a href=/>Home</a></div>", "<footer>&copy; us</footer>")
+
+
+def paragraphs(texts):
+    return "".join(f"<p>{t}</p>" for t in texts)
+
+
+@pytest.mark.parametrize("texts", [MEDIUM, FINNISH, RUSSIAN, [" ".join(FINNISH)], MEDIUM[:1]])
+@pytest.mark.parametrize(
+    "opened",
+    [
+        "<div>", "<form action=x>", "<form><div class='content'>", "<form><div><article>",
+        "<div class='page-with-sidebar'>", "<div class='has-sidebar'>", "<div class='header-fixed'>",
+        "<div class='sidebar-layout'><div><div class='content'>", "<section class='post nav-open'>",
+        "<div class='banner'><div><main>",
+    ],
+)
+def test_pages_unlike_the_sample(texts, opened):
+    for before, after in (("", ""), AROUND):
+        page = f"{before}{opened}{paragraphs(texts)}"
+        tags = [t.split()[0].strip("<>") for t in opened.split("<")[1:]]
+        page += "".join(f"</{t}>" for t in reversed(tags)) + after
+        assert main_text(page) == "\n\n".join(texts)
+
+
+def test_russian_text_among_english_notes():
+    notes = "".join(f"<div class='notice'><p>{m}</p></div>" for m in MEDIUM)
+    assert main_text(notes + paragraphs(RUSSIAN)) == "\n\n".join(RUSSIAN)
+    assert main_text(paragraphs([PARAGRAPH.strip()] + RUSSIAN)) == "\n\n".join([PARAGRAPH.strip()] + RUSSIAN)
+
+
+def test_furniture_around_lesser_regions_stays():
+    text = paragraphs([PARAGRAPH])
+    for lesser in (
+        f"<div class='comments'><ol><li><article><p>{PARAGRAPH}</p></article></li></ol></div>",
+        "<div class='sidebar'><ul><li><article><p>A card.</p></article></li></ul></div>",
+        "<form><div class='content'><p>Subscribe to it.</p></div></form>",
+        "<div class='main-nav'><p>All of the news</p></div>",
+        f"<div class='post-comments'><p>{MEDIUM[0]}</p></div>",
+    ):
+        assert main_text(f"<main>{text}</main>{lesser}") == PARAGRAPH.strip()
+        assert main_text(f"{lesser}<div class='entry-content'>{text}</div>") == PARAGRAPH.strip()
+
+
 def test_odd_pages_and_clashing_columns(spark):
     rows = [(i, u, h, "x") for i, u, h in PAGES + PAGES[:2]] + [(None, None, None, None)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
