@@ -8,12 +8,13 @@ corpus, so three distributed steps first bring together what can match:
 1. Every window of ``width`` words picks the smallest hash of the shorter runs inside it, its
    anchor. Equal windows have equal anchors, and a document has few of them. Anchors seen in one
    document only are out, and with them most of the text.
-2. The remaining windows are hashed (128 bits) and get the smallest document that holds them, their
-   owner. Partial minima combine before the shuffle, so frequent passages do no harm.
+2. The remaining windows are hashed (128 bits) and get the first row of the smallest document that
+   holds them, their owner. Partial minima combine before the shuffle, so frequent passages do no
+   harm; rows are numbered in the order of their documents, so that a minimum of numbers is enough.
 3. Runs of windows with one owner become spans of words: reference spans in the owner, probe spans
    in the later documents. Each distinct repeated window is reference once, in its owner.
 
-Reference spans, sharded by owner, become suffix automata. Probe spans stream through the automaton
+Reference spans, sharded by owner (one row, however many have its id), become suffix automata. Probe spans stream through the automaton
 of their owner and its matching statistics say which maximal spans of ``width`` words or more go;
 words are compared as they are, hashes only route. An owner with very many probe words is copied
 to several tasks, between which its probe spans are dealt out.
@@ -205,8 +206,8 @@ def _spans(marked: DataFrame, width: int) -> DataFrame:
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in chunks(batches, "packed"):
             out = {name: [] for name in _SPANS.names}
-            for row, doc, packed, marks in zip(
-                *(batch.column(c).to_pylist() for c in ("row", "doc", "packed", "marks"))
+            for row, packed, marks in zip(
+                *(batch.column(c).to_pylist() for c in ("row", "packed", "marks"))
             ):
                 words = unpack(packed).split()
                 known = np.array([m["h1"] for m in marks], np.int64)
@@ -224,7 +225,7 @@ def _spans(marked: DataFrame, width: int) -> DataFrame:
                     start, end = int(places[run[0]]), int(places[run[-1]]) + width
                     owner = int(of[run[0]])
                     out["owner"].append(owner)
-                    out["kind"].append(0 if owner == doc else 1)
+                    out["kind"].append(0 if owner == row else 1)
                     out["row"].append(row)
                     out["start"].append(start)
                     out["n"].append(end - start)
@@ -349,7 +350,7 @@ def remove_repeats(
     words. Equal ids are one document, so copies under one id stay; a null id is before all others.
     Other columns are ignored.
 
-    Memory: a task holds the automaton of one owner's repeated text, or one document.
+    Memory: a task holds the automaton of one row's repeated text, or one document.
     """
     narrow = docs.select(
         F.monotonically_increasing_id().alias("row"), key_of(id_column).alias("doc"),
@@ -364,7 +365,10 @@ def _without_repeats(
     narrow: DataFrame, width: int, probe_words: int, keep_text: bool,
     hold: Callable[[DataFrame, str], DataFrame],
 ) -> DataFrame:
-    """``remove_repeats`` of (row, doc, text); ``hold`` writes what is read several times."""
+    """``remove_repeats`` of (row, doc, text); ``hold`` writes what is read several times.
+
+    From ``candidates`` on, row numbers the rows in the order of doc; base_row is the row of ``narrow``.
+    """
     base = hold(_with_anchors(narrow, width), "anchors")
     classes = base.where("words_key is not null").groupBy("words_key").agg(
         F.min(F.struct("doc", "row")).alias("first")
@@ -381,20 +385,34 @@ def _without_repeats(
     chosen = anchors.join(shared, "anchor").groupBy("row").agg(
         F.collect_list("anchor").alias("anchors")
     )
-    candidates = hold(base.select("row", "doc", "packed").join(chosen, "row"), "candidates")
+    places = (
+        base.select("row", "doc").repartitionByRange("doc", "row").sortWithinPartitions("doc", "row")
+        .select("row", F.monotonically_increasing_id().alias("place"))
+    )
+    candidates = hold(
+        base.select("row", "doc", "packed").join(chosen.join(places, "row"), "row")
+        .withColumnsRenamed({"row": "base_row", "place": "row"}),
+        "candidates",
+    )
     windows = _shared_windows(candidates, width)
     owners = (
-        windows.groupBy("h1", "h2").agg(F.min("doc").alias("owner"), F.max("doc").alias("high"))
-        .where("owner < high").drop("high")
+        windows.groupBy("h1", "h2").agg(
+            F.min("row").alias("owner"), F.min("doc").alias("low"), F.max("doc").alias("high")
+        )
+        .where("low < high").drop("high")
     )
-    marks = windows.join(owners, ["h1", "h2"]).groupBy("row").agg(
-        F.collect_list(F.struct("h1", "owner")).alias("marks")
+    # The owner's document has nothing to look up in its other rows.
+    marks = (
+        windows.join(owners, ["h1", "h2"]).where("row = owner or doc > low").groupBy("row")
+        .agg(F.collect_list(F.struct("h1", "owner")).alias("marks"))
     )
-    texts = candidates.select("row", "doc", "packed")
+    texts = candidates.select("row", "base_row", "packed")
     spans = hold(_spans(texts.join(marks, "row"), width), "spans")
     removed = _matched(_with_salts(spans, probe_words), width)
     lists = removed.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    kept = _kept(texts.join(lists, "row").drop("doc"))
+    kept = _kept(
+        texts.join(lists, "row").select(F.col("base_row").alias("row"), "packed", "spans")
+    )
     span_list = F.coalesce(
         F.arrays_zip("starts", "ends"),
         F.array().cast("array<struct<starts:bigint,ends:bigint>>"),

@@ -7,6 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from barlens.llm import substring_dedup
 from barlens.llm.line_dedup import dedup_lines
 from barlens.llm.near_duplicates import chance, components, fewest_matches, near_duplicates
 from barlens.llm.substring_dedup import SuffixAutomaton, remove_repeats
@@ -60,6 +61,26 @@ def test_removed_words(documents, width, probe_words):
     assert got == removed_by_hand(rows, width)
 
 
+@pytest.mark.parametrize("doc", [None, 3])
+def test_a_reference_is_one_row_of_an_id(documents, monkeypatch, doc):
+    rng, seen = random.Random(4), []
+    texts = [prose(rng, 80) for _ in range(5)]
+    rows = [(doc, t) for t in [*texts, texts[0] + " more"]] + [(9 + i, t + " x") for i, t in enumerate(texts)]
+    dealt = substring_dedup._with_salts
+    monkeypatch.setattr(
+        substring_dedup, "_with_salts", lambda spans, n: dealt(seen.append(spans.collect()) or spans, n)
+    )
+    found = remove_repeats(documents([(*r, None, None, None) for r in rows]), keep_text=True)
+    got = sorted((-1 if r.doc_id is None else r.doc_id, r.n_words, r.n_removed, r.kept_text)
+                 for r in found.collect())
+    assert got == removed_by_hand(rows, 50)
+    held = {}
+    for span in seen[0]:
+        if span.kind == 0:
+            held.setdefault(span.owner, set()).add(span.row)
+    assert sorted(len(v) for v in held.values()) == [1] * 5
+
+
 def test_lines_with_null_ids_and_clashing_columns(spark, documents):
     line = "a line that many documents hold"
     rows = [(None, line), (None, line + "\nx"), (1, line), (5, "y\n" + line), (5, line)]
