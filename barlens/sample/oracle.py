@@ -314,6 +314,10 @@ ORACLE = {
                strftime("time", '%Y-%m-%d %H:%M:%S') AS "time",
                CASE WHEN dayofyear("time") % 7 <> 0 THEN "Close" END AS "Close", "Volume"
         FROM bars WHERE ticker = '7'""",
+    "labelled_prices_all": f"""WITH {BARS}
+        SELECT 'T' || ticker AS ticker, company, strftime("time", '%Y-%m-%d %H:%M:%S') AS "time",
+               CASE WHEN dayofyear("time") % 7 <> 0 THEN "Close" END AS "Close", "Volume"
+        FROM bars""",
     "two_sinks_stream": f"""WITH {METRICS}
         SELECT doc_id, trade_count, sink::INTEGER AS sink FROM docs, (SELECT unnest([1, 2]) AS sink)
         WHERE {CLOSED}""",

@@ -634,6 +634,18 @@ def labelled_prices(spark, folder):
     return bar_sources.label_bars(prices, "SEVEN", None)
 
 
+@query
+def labelled_prices_all(spark, folder):
+    """Price rows of all instruments as bars, labelled by their columns."""
+    bars = inputs.bars_from_lineitem(spark, folder, company=True)
+    nan = F.when(F.dayofyear("time") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("Close"))
+    prices = bars.select(
+        F.col("ticker").alias("symbol"), "company", "time", nan.alias("Close"), "Volume"
+    )
+    labelled = bar_sources.label_bars(prices, F.concat(F.lit("T"), "symbol"), F.col("company"))
+    return labelled.drop("symbol")
+
+
 @query
 def two_sinks_stream(spark, folder):
     """One stream of metrics into a document table and, batch by batch, into a second sink."""

@@ -140,13 +140,19 @@ def union_bars(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def label_bars(prices: DataFrame, ticker: str, company: str | None, time: str = "time") -> DataFrame:
-    """Price rows of one instrument as bars: identity added, time as text, NaN as null."""
+def label_bars(
+    prices: DataFrame, ticker: str | Column, company: str | Column | None, time: str = "time"
+) -> DataFrame:
+    """Price rows as bars: identity added, time as text, NaN as null.
+
+    ``ticker`` and ``company`` are literals for rows of one instrument, or columns of ``prices``.
+    """
     clean = nan_to_null(prices)
     rest = [f"`{c}`" for c in clean.columns if c not in (time, "ticker", "company")]
+    identity = [v if isinstance(v, Column) else F.lit(v) for v in (ticker, company)]
     return clean.select(
-        F.lit(ticker).alias("ticker"),
-        F.lit(company).cast("string").alias("company"),
+        identity[0].alias("ticker"),
+        identity[1].cast("string").alias("company"),
         F.col(time).cast("string").alias("time"),
         *rest,
     )

@@ -137,3 +137,11 @@ def test_label_bars(spark):
     prices = spark.createDataFrame([(date(2024, 1, 2), math.nan, 2.0)], "time date, Open double, Close double")
     row = label_bars(prices, "A", None).first()
     assert row.asDict() == {"ticker": "A", "company": None, "time": "2024-01-02", "Open": None, "Close": 2.0}
+
+
+def test_label_bars_of_several_instruments(spark):
+    prices = spark.createDataFrame(
+        [("A", "Alpha", "t", 1.0), ("B", None, "t", math.nan)], "ticker string, name string, time string, Close double"
+    )
+    rows = label_bars(prices, F.col("ticker"), F.col("name")).drop("name").collect()
+    assert sorted(tuple(r) for r in rows) == [("A", "Alpha", "t", 1.0), ("B", None, "t", None)]
