@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlens.llm import (
-    contamination, html_text, line_dedup, near_duplicates, packing, quality_rules, secret_scan,
-    substring_dedup, url_rules, warc,
+    contamination, html_text, line_dedup, manifest, near_duplicates, packing, quality_rules,
+    secret_scan, substring_dedup, token_files, url_rules, warc,
 )
 from barlens.session import stage, work_folder
 
@@ -100,6 +100,30 @@ def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read_archive(spark, archive, keep_payload=False).drop("url")
 
 
+def op12_merkle_dataset_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    stored = [F.col(c) for c in manifest.FIELDS]
+    # Documents whose id has an even checksum are tampered with: their line feeds go.
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    text = F.when(F.coalesce(even, F.lit(False)), F.translate("text", "\n", "")).otherwise(F.col("text"))
+    tree = manifest.build_manifest(
+        docs, manifest.leaf_digest(*stored), keep={"claimed": manifest.leaf_digest(*stored[:-1], text)}
+    )
+    requests = tree.leaves.select("tree", "idx", "doc_id", "leaf", "claimed")
+    proofs = manifest.prove(tree, requests).select(
+        "doc_id", "leaf", "subroot", F.lit(tree.root).alias("root"),
+        manifest.proof_digest(F.col("path")).alias("proof_sha256"),
+        manifest.folded(F.col("path"), F.col("claimed")).alias("folded_root"),
+    )
+    return proofs.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_token_binary_output(spark: SparkSession, folder: str) -> DataFrame:
+    path = work_folder(spark, "tokens")
+    token_files.write_tokens(table(spark, folder, "documents"), path, tokenizer_path())
+    return token_files.token_checksums(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -113,5 +137,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_benchmark_decontamination,
         op9_warc,
         op10_ngram_jaccard_join,
+        op12_merkle_dataset_manifest,
+        op13_token_binary_output,
     )
 }
