@@ -146,6 +146,100 @@ SELECT doc_id, root AS class_id, coalesce(n, 0)::BIGINT AS n_links, n_copies,
 FROM keyed JOIN classes USING (k) JOIN roots USING (node) LEFT JOIN degrees USING (node)
 """
 
+SEARCH = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_index_words("text")} AS w FROM documents),
+b AS (SELECT row_number() OVER () AS bid, item_id, list_distinct({_index_words("text")}) AS w FROM benchmark),
+c AS (SELECT count(*) FILTER (len(w) > 0) AS n, sum(len(w))::BIGINT AS l FROM d),
+counts AS (
+  SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(w) AS term FROM d) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * n + 2) / (2 * df + 1)))::BIGINT AS weight
+  FROM (SELECT term, count(*) AS df FROM counts GROUP BY term), c),
+factors AS (SELECT rid, doc_id, 50 + (50 * len(w) * n) // l AS m FROM d, c WHERE len(w) > 0),
+scores AS (
+  SELECT bid, item_id, rid, doc_id,
+    sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM (SELECT bid, item_id, unnest(w) AS term FROM b) JOIN counts USING (term)
+    JOIN weights USING (term) JOIN factors USING (rid)
+  GROUP BY bid, item_id, rid, doc_id),
+ranked AS (
+  SELECT item_id, doc_id, score, row_number() OVER (
+    PARTITION BY bid ORDER BY score DESC, doc_id NULLS FIRST)::INTEGER AS rank
+  FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
+
+def _field(name: str, text: str) -> str:
+    return f"coalesce(octet_length(encode(({text})::VARCHAR)) || ':' || ({text}), '-')"
+
+
+def _leaf(text: str) -> str:
+    fields = [_field(c, c) for c in ("doc_id", "source", "lang", "n_chars")] + [_field("text", text)]
+    return f"sha256({' || '.join(fields)})"
+
+
+_TREE_STEP = """
+  SELECT tree, level + 1 AS level, i // 3 AS i, sha256(string_agg(h, '' ORDER BY i)) AS h,
+    any_value((n + 2) // 3) AS n
+  FROM {0} WHERE n > 1 GROUP BY tree, level, i // 3"""
+
+MANIFEST = f"""
+WITH RECURSIVE crc_table AS (
+  SELECT list_transform(range(256), lambda x: list_reduce(list_concat([x], range(8)),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t),
+crc AS (
+  SELECT doc_id, xor(4294967295, list_reduce(
+    list_concat([4294967295], list_transform(string_split(doc_id::VARCHAR, ''), lambda b: ascii(b)::BIGINT)),
+    lambda c, b: xor(c // 256, t[1 + xor(c, b) % 256]))) AS crc
+  FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL), crc_table),
+d AS (
+  SELECT doc_id, source, {_leaf("text")} AS leaf,
+    CASE WHEN crc % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf("text")} END AS claimed
+  FROM documents LEFT JOIN crc USING (doc_id)),
+trees AS (
+  SELECT source, count(*) AS n, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS tree
+  FROM d GROUP BY source),
+leaves AS (
+  SELECT row_number() OVER () AS rid, doc_id, leaf, claimed, tree, n, row_number() OVER (
+    PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i
+  FROM d JOIN trees ON d.source IS NOT DISTINCT FROM trees.source),
+low AS (
+  SELECT tree, 0 AS level, i, leaf AS h, n FROM leaves
+  UNION ALL {_TREE_STEP.format("low")}),
+subroots AS (SELECT tree, h AS subroot FROM low WHERE n = 1),
+high AS (
+  SELECT -1 AS tree, 0 AS level, tree AS i, subroot AS h, (SELECT count(*) FROM subroots) AS n FROM subroots
+  UNION ALL {_TREE_STEP.format("high")}),
+root AS (SELECT h AS root FROM high WHERE n = 1),
+levels AS (
+  SELECT rid, low.level, 0 AS top, low.i, leaves.i // (3 ** low.level)::BIGINT AS own, h
+  FROM leaves JOIN low USING (tree)
+  WHERE low.n > 1 AND low.i // 3 = leaves.i // (3 ** low.level)::BIGINT // 3
+  UNION ALL
+  SELECT rid, high.level, 1 AS top, high.i, leaves.tree // (3 ** high.level)::BIGINT AS own, h
+  FROM leaves, high
+  WHERE high.n > 1 AND high.i // 3 = leaves.tree // (3 ** high.level)::BIGINT // 3),
+steps AS (
+  SELECT rid, row_number() OVER (PARTITION BY rid ORDER BY top, level) AS k,
+    coalesce(string_agg(h, '' ORDER BY i) FILTER (i < own), '') AS left_part,
+    coalesce(string_agg(h, '' ORDER BY i) FILTER (i > own), '') AS right_part
+  FROM levels GROUP BY rid, top, level),
+proofs AS (
+  SELECT rid, count(*) AS n_steps, string_agg(left_part || right_part, '' ORDER BY k) AS proof
+  FROM steps GROUP BY rid),
+fold AS (
+  SELECT rid, 0::BIGINT AS k, claimed AS h FROM leaves
+  UNION ALL
+  SELECT rid, steps.k, sha256(left_part || h || right_part) FROM fold JOIN steps USING (rid)
+  WHERE steps.k = fold.k + 1)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256,
+  fold.h AS folded_root, fold.h = root AS verified
+FROM leaves JOIN subroots USING (tree) CROSS JOIN root LEFT JOIN proofs USING (rid)
+  JOIN fold ON fold.rid = leaves.rid AND fold.k = coalesce(n_steps, 0)
+"""
+
+
 def _either_case(word: str) -> str:
     return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
 
@@ -236,4 +330,6 @@ ORACLE: dict[str, str] = {
     "op8_benchmark_decontamination": CONTAMINATION,
     "op9_warc": ARCHIVES,
     "op10_ngram_jaccard_join": NEAR_DUPLICATES,
+    "op11_ranked_lexical_search": SEARCH,
+    "op12_merkle_dataset_manifest": MANIFEST,
 }

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from barlens.llm import (
     contamination, html_text, line_dedup, manifest, near_duplicates, packing, quality_rules,
-    secret_scan, substring_dedup, token_files, url_rules, warc,
+    ranked_search, secret_scan, substring_dedup, token_files, url_rules, warc,
 )
 from barlens.session import stage, work_folder
 
@@ -100,6 +100,11 @@ def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read_archive(spark, archive, keep_payload=False).drop("url")
 
 
+def op11_ranked_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    index = ranked_search.build_index(table(spark, folder, "documents"))
+    return ranked_search.search(index, table(spark, folder, "benchmark"), k=50)
+
+
 def op12_merkle_dataset_manifest(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     stored = [F.col(c) for c in manifest.FIELDS]
@@ -137,6 +142,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_benchmark_decontamination,
         op9_warc,
         op10_ngram_jaccard_join,
+        op11_ranked_lexical_search,
         op12_merkle_dataset_manifest,
         op13_token_binary_output,
     )
