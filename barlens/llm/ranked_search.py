@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlens.llm.common import batch_of, chunks, id_of, key_of, raw_text, signed, word_hashes
-from barlens.session import stage
+from barlens.session import Staging, stage
 
 # Query terms a task holds at once, but for a longer query.
 BLOCK_TERMS = 50_000
@@ -149,26 +149,27 @@ def build_index(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     null ids are documents of their own. A segment holds about 4 MB of text or one longer text.
     Terms are known by 64-bit hashes.
     """
-    raw = stage(
-        docs.select(key_of(id_column).alias("doc"), raw_text(text_column).alias("text")).mapInArrow(
-            _segments_of,
-            "n_docs long, n_terms long, docs binary, lengths binary, terms binary, ends binary,"
-            " places binary, counts binary",
-        ),
-        "postings",
-    )
-    n_docs, n_terms = (
-        raw.agg(F.coalesce(F.sum("n_docs"), F.lit(0)), F.coalesce(F.sum("n_terms"), F.lit(0))).first()
-    )
-    counts = raw.select("terms", "ends").mapInArrow(_document_counts, "term long, n long")
-    segments = raw.withColumn("segment", F.monotonically_increasing_id()).mapInArrow(
-        _sort_by_impact(n_docs, n_terms),
-        "segment long, docs binary, terms binary, ends binary, places binary, impacts binary",
-    )
-    return Index(
-        stage(segments, "segments"),
-        stage(counts.groupBy("term").agg(F.sum("n").alias("df")), "terms"), n_docs, n_terms,
-    )
+    with Staging(docs.sparkSession, "postings") as staging:
+        raw = staging.hold(
+            docs.select(key_of(id_column).alias("doc"), raw_text(text_column).alias("text")).mapInArrow(
+                _segments_of,
+                "n_docs long, n_terms long, docs binary, lengths binary, terms binary, ends binary,"
+                " places binary, counts binary",
+            ),
+            "raw",
+        )
+        n_docs, n_terms = raw.agg(
+            F.coalesce(F.sum("n_docs"), F.lit(0)), F.coalesce(F.sum("n_terms"), F.lit(0))
+        ).first()
+        counts = raw.select("terms", "ends").mapInArrow(_document_counts, "term long, n long")
+        segments = raw.withColumn("segment", F.monotonically_increasing_id()).mapInArrow(
+            _sort_by_impact(n_docs, n_terms),
+            "segment long, docs binary, terms binary, ends binary, places binary, impacts binary",
+        )
+        return Index(
+            stage(segments, "segments"),
+            stage(counts.groupBy("term").agg(F.sum("n").alias("df")), "terms"), n_docs, n_terms,
+        )
 
 
 def _query_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
