@@ -217,13 +217,12 @@ def _descended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _descend(records: DataFrame, tops: DataFrame, requests: DataFrame, rounds: int) -> DataFrame:
     """The path of every request (tree, idx, further columns) below its tree's top node.
 
-    ``tops``: tree, depth, digest of its top node, path from there to the root. A round reads one
-    block of records per node on the way, found by digest, and passes five levels.
+    ``tops``: tree, block (0), depth, digest of its top node, path from there to the root. A round
+    reads one block of records per node on the way, found by digest, and passes five levels.
     """
     top_round = F.greatest(F.lit(0), F.ceil(F.col("depth") / LEVELS).cast("int") - 1)
     entering = tops.select(
-        "tree", F.lit(0).cast("long").alias("block"), "digest", "path",
-        F.col("digest").alias("top"), top_round.alias("round"),
+        "tree", "block", "digest", "path", F.col("digest").alias("top"), top_round.alias("round"),
     )
     stored = records.groupBy("digest").agg(
         F.any_value("height").alias("height"), F.any_value("nodes").alias("nodes")
@@ -263,17 +262,25 @@ def prove(manifest: Manifest, requests: DataFrame) -> DataFrame:
     ``digest`` (the leaf stored at that place), ``subroot`` (``top`` of its tree), and ``path``
     from the leaf to the root: per level the place among its run and the run's other nodes.
     """
-    top = requests.sparkSession.range(1 if manifest.root else 0).select(
-        F.lit(0).cast("long").alias("tree"), F.lit(manifest.top_depth).alias("depth"),
-        F.lit(manifest.root).alias("digest"), F.array().cast(_PATH).alias("path"),
+    roots = [manifest.root] if manifest.root else []
+    top = requests.sparkSession.createDataFrame(
+        pa.table(
+            {
+                "tree": pa.array([0 for _ in roots], pa.int64()),
+                "block": pa.array([0 for _ in roots], pa.int64()),
+                "depth": pa.array([manifest.top_depth for _ in roots], pa.int32()),
+                "digest": pa.array(roots, pa.string()),
+                "path": pa.array([[] for _ in roots], _PATH_TYPE),
+            }
+        )
     )
     trees = requests.select(F.col("tree").alias("idx")).distinct().select(
         F.lit(0).cast("long").alias("tree"), "idx"
     )
     subtrees = _descend(manifest.records, top, trees, manifest.top_rounds)
-    tops = subtrees.select(F.col("idx").alias("tree"), "digest", "path").join(
-        manifest.sources.select("tree", "depth"), "tree"
-    )
+    tops = subtrees.select(
+        F.col("idx").alias("tree"), F.lit(0).cast("long").alias("block"), "digest", "path"
+    ).join(manifest.sources.select("tree", "depth"), "tree")
     return _descend(manifest.records, tops, requests, manifest.rounds).withColumnRenamed(
         "top", "subroot"
     )
