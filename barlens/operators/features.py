@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barlens.functions.rules import (
@@ -12,6 +12,7 @@ from barlens.functions.rules import (
     relative_change,
     trend_label,
 )
+from barlens.operators.exact import Over, sample_deviation
 from barlens.operators.heat import DEFAULT_HEAT, HeatPolicy, Layout, per_instrument
 from barlens.operators.rolling import moving_averages
 from barlens.operators.steps import Steps, apply_steps
@@ -66,13 +67,16 @@ def volume_steps(layout: Layout, sizes: dict[str, int], method: str) -> Steps:
 WORST_DRAWDOWN = {"max_drawdown": (F.min, "drawdown")}
 
 
+def _deviation(over: Over) -> Column:
+    return sample_deviation("daily_return", over)
+
+
 def add_group_values(rows: DataFrame, layout: Layout, month: str) -> DataFrame:
     """Worst drawdown and monthly volatility of rows that carry drawdown and daily return.
 
     Rows without key or month get no volatility, as in a join.
     """
-    deviation = {"_deviation": F.stddev_samp("daily_return")}
-    rows = layout.group_values(rows, WORST_DRAWDOWN, month, deviation)
+    rows = layout.group_values(rows, WORST_DRAWDOWN, month, {"_deviation": _deviation})
     known = F.col(layout.spec.key).isNotNull() & F.col(month).isNotNull()
     return rows.withColumn("monthly_volatility", F.when(known, F.col("_deviation"))).drop("_deviation")
 
@@ -85,7 +89,7 @@ def trend_features(
     bars: DataFrame,
     spec: BarSpec = _SPEC,
     sizes: dict[str, int] = TREND_SIZES,
-    method: str = "frame",
+    method: str = "prefix",
     heat: HeatPolicy = DEFAULT_HEAT,
 ) -> DataFrame:
     """Moving averages, trend label (shortest against longest) and trend strength."""
@@ -130,7 +134,7 @@ def volume_features(
     bars: DataFrame,
     spec: BarSpec = _SPEC,
     sizes: dict[str, int] = VOLUME_SIZES,
-    method: str = "frame",
+    method: str = "prefix",
     heat: HeatPolicy = DEFAULT_HEAT,
 ) -> DataFrame:
     """Average volume and the current volume relative to it."""
@@ -164,7 +168,7 @@ def monthly_volatility(
     narrow = bars.select(spec.key, *spec.order, spec.close)
     daily = return_features(narrow, spec, {"daily_return": 1}, heat)
     return daily.groupBy(spec.key, month_of(F.col(spec.time)).alias("month")).agg(
-        F.stddev_samp("daily_return").alias("monthly_volatility")
+        sample_deviation("daily_return").alias("monthly_volatility")
     )
 
 

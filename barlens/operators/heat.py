@@ -11,8 +11,8 @@ into blocks of consecutive bars, each small enough for a task:
 3. Every block gets the last ``lookback`` rows in front of it as extra "lead-in" rows, so
    that bounded frames and lags see their full past. Windows then run per (key, block).
 
-Rows and values are the same either way; only a deviation may differ in its last bits, since its
-partial sums combine in another order.
+Rows and values are the same either way, to the last bit: what is summed over an instrument or its
+months is summed exactly, and so does not depend on how rows are grouped.
 """
 
 from __future__ import annotations
@@ -21,9 +21,10 @@ from collections.abc import Callable
 from dataclasses import dataclass, replace
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barlens.operators.exact import Over, as_it_is
 from barlens.schema import BarSpec
 from barlens.session import ROWS_PER_TASK, stage, tasks_for
 
@@ -109,12 +110,13 @@ class Layout:
         rows: DataFrame,
         whole: dict[str, tuple[Callable[[str], Column], str]],
         month: str | None = None,
-        monthly: dict[str, Column] | None = None,
+        monthly: dict[str, Callable[[Over], Column]] | None = None,
     ) -> DataFrame:
         """Repeat aggregates of an instrument, and of its months, on all its rows.
 
         ``whole`` maps an output name to a function that can be applied to partial results
-        (min, max) and its column; ``monthly`` maps names to aggregates per ``month``.
+        (min, max) and its column; ``monthly`` maps names to functions that build a value from
+        aggregates per ``month``, given how to apply each aggregate.
 
         A blocked instrument may be huge, so its aggregates are combined before the shuffle.
         What a block needs of them is gathered into one row per block, which joins back by
@@ -127,13 +129,15 @@ class Layout:
             if not monthly:
                 return rows
             over_month = Window.partitionBy(key, month)
-            return rows.withColumns({n: v.over(over_month) for n, v in monthly.items()})
+            return rows.withColumns(
+                {n: build(lambda a: a.over(over_month)) for n, build in monthly.items()}
+            )
 
         by = [key, month] if month else [key]
         rows = stage(rows, "hot-windows")  # read three times below
         totals = rows.groupBy(*by).agg(
             *[f(c).alias(n) for n, (f, c) in whole.items()],
-            *[v.alias(n) for n, v in monthly.items()],
+            *[build(as_it_is).alias(n) for n, build in monthly.items()],
         )
         over_key = Window.partitionBy(key)
         totals = totals.withColumns({n: f(n).over(over_key) for n, (f, _) in whole.items()})
@@ -164,12 +168,12 @@ def _join_null_safe(rows: DataFrame, lookup: DataFrame, by: list[str]) -> DataFr
 def with_counts(rows: DataFrame, key: str, policy: HeatPolicy = DEFAULT_HEAT) -> HeatPolicy:
     """The policy with hot keys and total filled in, by one count per key.
 
-    The hot keys are written to the work area, whatever their number; a cluster session without
-    a shared folder fails here, before any other work.
+    One aggregate finds the largest count, and nothing more is done unless it exceeds the limit.
+    The hot keys are then written to the work area, whatever their number; a cluster session
+    without a shared folder fails here, before any other work.
 
     ``rows`` may be any frame that has at least as many rows per key as the bars themselves,
-    such as the raw table the bars are built from. Counting is combined before the shuffle,
-    and the total is observed on the way.
+    such as the raw table the bars are built from. Counting is combined before the shuffle.
     """
     if isinstance(policy.known, HotKeys):
         return policy
@@ -182,14 +186,17 @@ def with_counts(rows: DataFrame, key: str, policy: HeatPolicy = DEFAULT_HEAT) ->
         table = spark.createDataFrame(list(counts.items()), f"`{key}` {kind}, count long")
         known = HotKeys(table, len(counts), sum(counts.values()), None in counts)
         return replace(policy, known=known)
-    seen = Observation()
-    counted = rows.groupBy(key).count().observe(seen, F.sum("count").alias("rows"))
+    counted = rows.groupBy(key).count()
+    total, largest = counted.agg(
+        F.coalesce(F.sum("count"), F.lit(0)), F.coalesce(F.max("count"), F.lit(0))
+    ).first()
+    if largest <= policy.max_rows_per_key:
+        return replace(policy, known=HotKeys(), rows=total)
     table = stage(counted.where(F.col("count") > policy.max_rows_per_key), "hot-keys")
     keys, held, nulls = table.agg(
-        F.count("*"), F.coalesce(F.sum("count"), F.lit(0)), F.count_if(F.col(key).isNull())
+        F.count("*"), F.sum("count"), F.count_if(F.col(key).isNull())
     ).first()
-    known = HotKeys(table, keys, held, nulls > 0) if keys else HotKeys()
-    return replace(policy, known=known, rows=seen.get["rows"] or 0)
+    return replace(policy, known=HotKeys(table, keys, held, nulls > 0), rows=total)
 
 
 def hot_keys(rows: DataFrame, key: str, policy: HeatPolicy = DEFAULT_HEAT) -> HotKeys:

@@ -23,7 +23,7 @@ _MONTH_NO = "_month_no"
 def feature_table(
     bars: DataFrame,
     spec: BarSpec = BarSpec(),
-    method: str = "frame",
+    method: str = "prefix",
     limits: RegimeLimits = RegimeLimits(),
     heat: HeatPolicy = DEFAULT_HEAT,
 ) -> DataFrame:

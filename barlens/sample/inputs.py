@@ -16,8 +16,9 @@ def quantised(price: Column) -> Column:
 
 
 def line_rank() -> Column:
-    """Order of the lines that make up a bar, for numbers and prices of any size."""
-    return F.struct("l_orderkey", "l_linenumber", "l_extendedprice")
+    """Order of the lines that make up a bar, as one number that a hash aggregate can keep."""
+    order = F.col("l_orderkey").cast("decimal(19,0)") * F.lit(10**10).cast("decimal(11,0)")
+    return order + F.col("l_linenumber")
 
 
 def bars_from_lineitem(
@@ -31,16 +32,18 @@ def bars_from_lineitem(
     raw = F.col("l_extendedprice")
     price = raw if exact else F.lit(1024.0) + quantised(raw / 1000) if smooth else quantised(raw)
     rank = line_rank()
-    bars = (
+    # Rows of one line of an order are tied; the lower price opens, the higher one closes.
+    lines = (
         table(spark, folder, "lineitem")
-        .groupBy("l_suppkey", F.col("l_shipdate").alias("time"))
-        .agg(
-            F.min_by(price, rank).alias("Open"),
-            F.max(price).alias("High"),
-            F.min(price).alias("Low"),
-            F.max_by(price, rank).alias("Close"),
-            F.sum("l_quantity").alias("Volume"),
-        )
+        .groupBy("l_suppkey", F.col("l_shipdate").alias("time"), "l_orderkey", "l_linenumber")
+        .agg(F.min(price).alias("low"), F.max(price).alias("high"), F.sum("l_quantity").alias("volume"))
+    )
+    bars = lines.groupBy("l_suppkey", "time").agg(
+        F.min_by("low", rank).alias("Open"),
+        F.max("high").alias("High"),
+        F.min("low").alias("Low"),
+        F.max_by("high", rank).alias("Close"),
+        F.sum("volume").alias("Volume"),
     )
     prices = ["time", "Open", "High", "Low", "Close", "Volume"]
     ticker = F.col("l_suppkey").cast("string").alias("ticker")

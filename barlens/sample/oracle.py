@@ -148,6 +148,7 @@ ORACLE = {
     "bars_daily": f'WITH {BARS} SELECT * FROM bars',
     "moving_averages": f"WITH {FEATURES} {TREND}",
     "moving_averages_frame": f"WITH {FEATURES} {TREND}",
+    "moving_averages_prefix": f"WITH {FEATURES} {TREND}",
     "trend": f'WITH {FEATURES} SELECT ticker, "time", trend, trend_strength FROM features',
     "returns": f"""WITH {FEATURES}
         SELECT ticker, "time", daily_return, return_30d, return_90d, cumulative_return FROM features""",

@@ -74,6 +74,13 @@ def moving_averages(spark, folder):
 
 @query
 def moving_averages_frame(spark, folder):
+    bars = inputs.bars_from_lineitem(spark, folder).select("ticker", "time", "Close")
+    out = features.trend_features(bars, method="frame", heat=known_heat(spark, folder))
+    return out.select("ticker", "time", "ma50", "ma100", "ma200")
+
+
+@query
+def moving_averages_prefix(spark, folder):
     bars = inputs.bars_from_lineitem(spark, folder).select("ticker", "time", "Close")
     out = features.trend_features(bars, heat=known_heat(spark, folder))
     return out.select("ticker", "time", "ma50", "ma100", "ma200")
@@ -165,11 +172,7 @@ def feature_table_all(spark, folder):
 def feature_table_hot_key(spark, folder):
     """One instrument holds a third of all bars and is computed in blocks."""
     bars = inputs.bars_per_line(spark, folder)
-    total = inputs.table(spark, folder, "lineitem").count()
-    heat = HeatPolicy(
-        max_rows_per_key=min(HeatPolicy.max_rows_per_key, total // 8),
-        block_rows=min(HeatPolicy.block_rows, max(total // 24, 1)),
-    )
+    heat = HeatPolicy(max_rows_per_key=1_500, block_rows=25_000)
     spec = BarSpec(tiebreak=("l_orderkey", "l_linenumber", "l_extendedprice", "l_partkey"))
     return _rounded(feature_table(bars, spec, heat=heat)).drop("Open", "High", "Low")
 

@@ -41,7 +41,7 @@ def test_drawdown(series):
     assert column(out, "max_drawdown") == [-0.25] * 4
 
 
-@pytest.mark.parametrize("method", ["stacked", "frame"])
+@pytest.mark.parametrize("method", ["prefix", "stacked", "frame"])
 def test_trend_warm_up(series, method):
     out = features.trend_features(series([100.1] * 49 + [7.3]), method=method)
     assert set(column(out, "trend")) == {"sideway"}
@@ -52,7 +52,7 @@ def test_trend_warm_up(series, method):
     assert last.ma200 == pytest.approx(5200 / 51)
 
 
-@pytest.mark.parametrize("method", ["stacked", "frame"])
+@pytest.mark.parametrize("method", ["prefix", "stacked", "frame"])
 def test_averages_skip_null_and_recover_from_nan(series, method):
     sizes = {"short": 2, "long": 4}
     closes = [math.nan, 1.0, None, 3.0, None, None, 5.0, 6.0]

@@ -107,6 +107,17 @@ def test_monthly_volatility_in_blocks(spark):
     )
 
 
+@pytest.mark.parametrize("seed, block", [(21, 100), (22, 37), (23, 400)])
+def test_blocked_values_are_bit_equal(spark, seed, block):
+    """Prices of many digits, nothing rounded: averages, deviations and regimes."""
+    data = skewed(spark, seed).withColumn("Close", F.col("Close") * F.lit(0.1234567891)).cache()
+    policy = HeatPolicy(max_rows_per_key=100, block_rows=block)
+    assert_same(feature_table(data, SPEC, heat=policy), feature_table(data, SPEC, heat=PLAIN))
+    assert_same(
+        features.monthly_volatility(data, SPEC, policy), features.monthly_volatility(data, SPEC, PLAIN)
+    )
+
+
 def test_attach_with_salted_hot_keys(spark):
     data = skewed(spark, 9, null_key=True).withColumn("month", F.date_format("time", "yyyy-MM")).cache()
     monthly = data.groupBy("ticker", "month").agg(F.count("*").alias("bars"))

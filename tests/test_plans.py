@@ -6,6 +6,7 @@ from barlens.operators.features import return_features
 from barlens.operators.heat import HeatPolicy, with_counts
 from barlens.operators.windows import window_metrics
 from barlens.plans.feature_table import feature_table
+from barlens.sample.inputs import bars_from_lineitem
 from barlens.session import tasks_for
 from barlens.sources.bars import latest_per_key, range_filter, tickers_in
 from barlens.sources.streams import EVENT, stamp_clock
@@ -61,6 +62,16 @@ def test_window_metrics_are_combined_before_the_shuffle(stored, spark):
     assert "SortAggregate" not in text
 
 
+def test_daily_bars_are_hashed_not_sorted(spark):
+    text = plan(bars_from_lineitem(spark, "/root/testdata/sf0.001"))
+    assert "HashAggregate" in text and "SortAggregate" not in text and "Sort [" not in text
+
+
+def test_no_table_is_written_where_no_key_is_hot(stored, monkeypatch):
+    monkeypatch.setattr("barlens.operators.heat.stage", None)
+    assert with_counts(stored, "ticker").known.keys == 0
+
+
 def test_large_inputs_state_their_partitions(stored):
     text = plan(feature_table(stored, heat=HeatPolicy(known={}, rows=70_000_000)))
     assert "Exchange hashpartitioning(ticker" in text and ", 70)" in text
