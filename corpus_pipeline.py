@@ -6,7 +6,9 @@ last return the columns of ``documents``; the last returns the pieces of the pac
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlens.llm import contamination, line_dedup, near_duplicates, packing, quality_rules
@@ -16,9 +18,46 @@ from barlens.session import stage
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+_ROW_BITS = 40
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The documents with a number per row that holds through all reads of them, as ``key``.
+
+    The number of the file among all files and the row's place in it: nothing is copied. A frame
+    that is no scan of files is written first.
+    """
+    at = F.col("_metadata.row_index")
+    try:
+        located = docs.select("*", F.col("_metadata.file_path").alias("_file"), at.alias("_at"))
+    except AnalysisException:
+        return _numbered(stage(docs, "documents"))
+    files = sorted(row["_file"] for row in located.select("_file").distinct().collect())
+    numbers = docs.sparkSession.createDataFrame(
+        pa.table({"_file": pa.array(files, pa.string()), "_number": pa.array(range(len(files)), pa.int64())})
+    )
+    key = F.shiftleft("_number", _ROW_BITS) + F.col("_at")
+    return located.join(numbers, "_file").select(*docs.columns, key.alias("key"))
+
+
+def _without(numbered: DataFrame, judged: DataFrame, refused: Column, key: str) -> DataFrame:
+    """The documents whose verdict is not ``refused``.
+
+    The refused numbers are written as a table of their own, so that Spark knows its size: while
+    it is small enough to broadcast, no text is shuffled to leave documents out.
+    """
+    gone = stage(judged.where(refused).select(F.col(key).alias("key")), "refused")
+    return numbered.join(gone, "key", "left_anti").select(*COLUMNS)
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rules nor their host's verdict refuse."""
-    return quality_rules.quality_filter(docs).select(*COLUMNS)
+    numbered = _numbered(docs)
+    narrow = numbered.select("key", "source", "text")
+    measured = stage(quality_rules.measured(narrow).drop("text"), "measures")
+    hosts = stage(quality_rules.host_verdicts(measured, "source"), "hosts")
+    judged = quality_rules.judged(measured, hosts, "source")
+    return _without(numbered, judged, ~F.col("kept"), "key")
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,30 +69,20 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """The documents with a number per row that holds through two reads of them."""
-    return stage(docs.withColumn("key", F.monotonically_increasing_id()), "keyed")
-
-
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class: the one with the smallest id."""
-    keyed = _keyed(docs)
-    found = near_duplicates.near_duplicates(keyed, row_column="key")
-    kept = found.where("is_first").select(F.col("row").alias("key"))
-    return keyed.join(kept, "key", "left_semi").select(*COLUMNS)
+    numbered = _numbered(docs)
+    found = near_duplicates.near_duplicates(numbered, row_column="key")
+    return _without(numbered, found, ~F.col("is_first"), "row")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not contaminated by the benchmark.
-
-    The verdict follows from the text alone, so a hash of the text names it.
-    """
-    keyed = docs.withColumn("key", F.sha2(F.coalesce("text", F.lit("")), 256))
+    """Documents that are not contaminated by the benchmark."""
+    numbered = _numbered(docs)
     found = contamination.find_contamination(
-        keyed, table(spark, sf_dir, "benchmark"), id_column="key"
+        numbered, table(spark, sf_dir, "benchmark"), id_column="key"
     )
-    bad = found.where(contamination.is_contaminated()).select(F.col("doc_id").alias("key"))
-    return keyed.join(bad.distinct(), "key", "left_anti").select(*COLUMNS)
+    return _without(numbered, found, contamination.is_contaminated(), "doc_id")
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
