@@ -142,6 +142,59 @@ def standardise(
     return bars.withColumn("problem", problem).drop("_adjusted", "_broken")
 
 
+def as_variant(value: Column) -> Column:
+    """JSON text as a variant, parsed once; null if it is no JSON."""
+    return F.try_parse_json(value.cast("string"))
+
+
+def _path(name: str) -> str:
+    return "$['" + name.replace("'", "\\'") + "']"
+
+
+# How a field of a message can be present.
+MISSING, NULL, NUMBER, TEXT, OTHER = "missing", "null", "number", "text", "other"
+
+
+def field_kind(message: Column, name: str) -> Column:
+    """What a variant holds under a name: missing, null, number, text, or other.
+
+    A payload that is no JSON, or no object, has no fields.
+    """
+    held = F.try_variant_get(message, _path(name), "variant")
+    kind = F.schema_of_variant(held)
+    number = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
+    return (
+        F.when(held.isNull(), F.lit(MISSING))
+        .when(F.is_variant_null(held), F.lit(NULL))
+        .when(number, F.lit(NUMBER))
+        .when(kind == "STRING", F.lit(TEXT))
+        .otherwise(F.lit(OTHER))
+    )
+
+
+def typed_fields(
+    messages: DataFrame, fields: dict[str, str], value: str = "value", keep: Sequence[str] = ()
+) -> DataFrame:
+    """Per field its value in the type given and, as ``<name>_kind``, how the message holds it.
+
+    The payload is parsed once per message into a variant. A value that is present but cannot be
+    read in its type, or does not fit it, is null; its kind tells it from a missing one. Text is
+    not read as a number and a number is not read as text.
+    """
+    def build(message: Column) -> Column:
+        columns = []
+        for name, to in fields.items():
+            kind = field_kind(message, name)
+            right = TEXT if to == "string" else NUMBER
+            read = F.try_variant_get(message, _path(name), to)
+            columns += [F.when(kind == right, read).alias(name), kind.alias(f"{name}_kind")]
+        return F.struct(*columns)
+
+    # A generator, so that the parse is not repeated inside filters on its output.
+    parsed = F.transform(F.array(as_variant(F.col(value))), build)
+    return messages.select(*keep, F.inline(parsed))
+
+
 def archive_date(time: Column) -> Column:
     """The calendar date as written in the text, whatever its offset."""
     return F.substring(time, 1, 10).try_cast("date")

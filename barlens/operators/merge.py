@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from barlens.session import stage
+
 ARCHIVE_KEY = ("date", "ticker", "time")
 SLICE = ("date", "ticker")
 
@@ -14,20 +17,37 @@ SLICE = ("date", "ticker")
 MAX_COPIES = 1_000_000
 
 
-def only_partitions(stored: DataFrame, changed: DataFrame, *columns: str) -> DataFrame:
+def only_partitions(
+    stored: DataFrame,
+    changed: DataFrame,
+    *columns: str,
+    hold: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """Stored rows in the partitions that ``changed`` touches.
 
-    The range of the first column is a literal, so the scan leaves out the folders outside it;
-    a semi-join on all columns does the rest, for any number of touched partitions.
+    The touched partitions are written as a small table (by ``hold``, else to the work area). The
+    scan of ``stored`` leaves out every folder that is not among them: the range of the first
+    column is a literal, and all columns are joined by plain equality, which Spark turns into
+    filters at run time, for any number of touched partitions, as long as the table is small
+    enough to broadcast. Partitions of null are looked up apart, since equality does not match them.
     """
-    first = F.col(columns[0])
-    low, high, nulls = changed.agg(F.min(first), F.max(first), F.count_if(first.isNull())).first()
+    seen, first = Observation(), F.col(columns[0])
+    some_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
+    found = changed.select(*columns).distinct().observe(
+        seen,
+        F.min(first).alias("low"), F.max(first).alias("high"), F.count_if(some_null).alias("nulls"),
+    )
+    touched = (hold or (lambda df: stage(df, "touched")))(found)
+    range_of = seen.get
+    low, high = range_of.get("low"), range_of.get("high")
     inside = F.lit(False) if low is None else first.between(F.lit(low), F.lit(high))
-    if nulls:
-        inside = inside | first.isNull()
-    touched = changed.select(*[F.col(c).alias(f"_touched_{c}") for c in columns]).distinct()
-    same = [F.col(c).eqNullSafe(F.col(f"_touched_{c}")) for c in columns]
-    return stored.where(inside).join(touched, same, "left_semi")
+    # Filtered too: without a comparison on this side Spark does not prune the other by the join.
+    same = stored.where(inside).join(touched.where(inside), list(columns), "left_semi")
+    if not range_of.get("nulls"):
+        return same
+    unknown = touched.where(some_null).select(*[F.col(c).alias(f"_touched_{c}") for c in columns])
+    match = [F.col(c).eqNullSafe(F.col(f"_touched_{c}")) for c in columns]
+    return same.unionByName(stored.where(some_null).join(unknown, match, "left_semi"))
 
 
 def one_per_key(rows: DataFrame, key: Sequence[str], latest: Column | None = None) -> DataFrame:
@@ -65,19 +85,22 @@ def new_records(
     key: Sequence[str] = ARCHIVE_KEY,
     dedup_within_batch: bool = False,
     max_copies: int = MAX_COPIES,
+    n_incoming: int | None = None,
 ) -> DataFrame:
     """Incoming rows whose key is not stored yet. Nothing stored is ever replaced.
 
     Copies inside the batch all stay unless ``dedup_within_batch`` is set. Keys with very
     many copies are looked up apart: there is one such key per ``max_copies`` rows at most, so
     Spark broadcasts them as long as their size allows and splits them beyond. All other keys
-    meet in a shuffled anti-join, where no key is large.
+    meet in a shuffled anti-join, where no key is large. With ``n_incoming`` rows or fewer than
+    ``max_copies`` no key can have that many, and none is looked for.
     """
     known = stored.select(*key).distinct()
     columns = [f"`{c}`" for c in incoming.columns]
     if dedup_within_batch:
         return one_per_key(incoming, key).join(known, list(key), "left_anti").select(*columns)
-    crowded = crowded_keys(incoming, key, max_copies)
+    few_rows = n_incoming is not None and n_incoming <= max_copies
+    crowded = None if few_rows else crowded_keys(incoming, key, max_copies)
     if crowded is None:
         return incoming.join(known, list(key), "left_anti").select(*columns)
     few = incoming.join(crowded, list(key), "left_anti")

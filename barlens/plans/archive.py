@@ -71,26 +71,31 @@ def archive_batch(
             bad.write.mode("overwrite").json(f"{quarantine}/batch={batch_id}")
         if period in PERIODS:
             good = good.withColumn(period, F.date_format("date", PERIODS[period]))
-        incoming = staging.hold(good, "incoming")
+        incoming, n_incoming = staging.hold_counted(good, "incoming")
         stored = read_if_there(spark, path, incoming.schema, fmt)
-        touched = only_partitions(stored, incoming, *partition_by)
-        new = new_records(incoming, touched, ARCHIVE_KEY, dedup_within_batch, max_copies)
-        fresh = staging.hold(new, "fresh")
+
+        def touched_by(rows: DataFrame, label: str) -> DataFrame:
+            return only_partitions(
+                stored, rows, *partition_by, hold=lambda found: staging.hold(found, label)
+            )
+
+        touched = touched_by(incoming, "touched")
+        new = new_records(incoming, touched, ARCHIVE_KEY, dedup_within_batch, max_copies, n_incoming)
+        fresh, n_fresh = staging.hold_counted(new, "fresh")
         stats = merge_stats(slice_stats(incoming, touched, fresh))
         run = spark.createDataFrame(stats.collect(), stats.schema)
-        changed = incoming if rewrite_unchanged and not append else fresh
-        if not changed.isEmpty():
-            rows = fresh if append else _with_fresh(only_partitions(touched, changed, *partition_by), fresh)
-            parts = tasks_for(spark, rows.count())
-            copies = crowded_keys(rows, ARCHIVE_KEY, max_copies) is not None
+        whole = rewrite_unchanged and not append
+        if n_incoming if whole else n_fresh:
+            changed = incoming if whole else fresh
+            kept = None if append else touched if whole else touched_by(changed, "rewritten")
+            rows = fresh if kept is None else kept.unionByName(fresh, allowMissingColumns=True)
+            n_rows = n_fresh + (0 if kept is None else kept.count())
+            copies = n_rows > max_copies and crowded_keys(rows, ARCHIVE_KEY, max_copies) is not None
+            parts = tasks_for(spark, n_rows)
             write_partitions(rows, path, partition_by, ARCHIVE_KEY, fmt, parts, append, copies)
     return run
 
 
-def _with_fresh(stored: DataFrame, fresh: DataFrame) -> DataFrame:
-    return stored.unionByName(fresh, allowMissingColumns=True)
-
-
 def read_archive(
     spark: SparkSession, path: str, fmt: str | None = None, extra: StructType | None = None
 ) -> DataFrame:

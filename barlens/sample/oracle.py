@@ -322,4 +322,38 @@ ORACLE = {
     "two_sinks_stream": f"""WITH {METRICS}
         SELECT doc_id, trade_count, sink::INTEGER AS sink FROM docs, (SELECT unnest([1, 2]) AS sink)
         WHERE {CLOSED}""",
+    "message_counts": f"WITH {TICKS} SELECT count(*) AS reported, count(*) AS arrived FROM ticks",
+    "late_rows_counted": f"""WITH {TICKS},
+        arrivals AS (
+          SELECT *, CASE WHEN ts < TIMESTAMP '2024-01-20' AND event_id % 2 = 0 THEN 1 ELSE 2 END AS run FROM ticks),
+        marks AS (SELECT max(ts) FILTER (run = 1) - INTERVAL 2 MINUTE AS first_mark FROM arrivals)
+        SELECT count(*) FILTER (run = 2 AND ts <= first_mark) AS late_rows,
+               count(*) FILTER (run = 1 OR ts > first_mark) AS kept_rows FROM arrivals, marks""",
+    "slice_places": f"""WITH {BARS}
+        SELECT strftime("time", '%Y-%m') AS month, ticker, "time", "Close",
+               row_number() OVER (PARTITION BY strftime("time", '%Y-%m') ORDER BY "time", ticker) - 1 AS place
+        FROM bars""",
+    "typed_messages": f"""WITH {MESSAGES}
+        SELECT key, bar_time,
+               CASE WHEN kind NOT IN (2, 4) THEN ticker END AS ticker,
+               CASE WHEN kind IN (2, 4) THEN 'missing' ELSE 'text' END AS ticker_kind,
+               CASE WHEN kind NOT IN (2, 6) THEN company END AS company,
+               CASE kind WHEN 2 THEN 'missing' WHEN 6 THEN 'null' ELSE 'text' END AS company_kind,
+               CASE WHEN kind = 3 THEN '' WHEN kind <> 2 THEN stamp END AS "time",
+               CASE WHEN kind = 2 THEN 'missing' ELSE 'text' END AS time_kind,
+               CASE WHEN kind NOT IN (1, 2) THEN "Open" END AS "Open",
+               CASE WHEN kind IN (1, 2) THEN 'missing' ELSE 'number' END AS "Open_kind",
+               CASE WHEN kind NOT IN (2, 5) THEN "Close" END AS "Close",
+               CASE kind WHEN 2 THEN 'missing' WHEN 5 THEN 'text' ELSE 'number' END AS "Close_kind",
+               CASE WHEN kind NOT IN (2, 7) THEN "Volume" + 0.5 END AS "Volume",
+               CASE WHEN kind IN (2, 7) THEN 'missing' ELSE 'number' END AS "Volume_kind" FROM messages""",
+    "archive_by_date_and_ticker": f"""WITH {BARS},
+        grouped AS (
+          SELECT strftime("time", '%Y-%m-01') AS date, 'g' || CAST(ticker AS BIGINT) % 5 AS ticker,
+                 strftime("time", '%d') || ':' || CAST(ticker AS BIGINT) % 60 AS stamp, dayofyear("time") AS d FROM bars),
+        stored AS (SELECT date, ticker, stamp FROM grouped WHERE d % 3 <> 0),
+        arriving AS (
+          SELECT date, ticker, stamp, unnest(range(CASE WHEN d % 5 = 0 THEN 2 ELSE 1 END)) FROM grouped WHERE d % 3 <> 1),
+        fresh AS (SELECT date, ticker, stamp FROM arriving ANTI JOIN stored USING (date, ticker, stamp))
+        SELECT date, ticker, count(*) AS rows FROM (FROM stored UNION ALL FROM fresh) GROUP BY date, ticker""",
 }

@@ -16,17 +16,19 @@ from barlens.operators import features
 from barlens.operators.heat import HeatPolicy, with_counts
 from barlens.operators.lookup import attach
 from barlens.operators.merge import archive_merge, merge_stats, new_records, slice_stats, slices_present
-from barlens.operators.windows import bar_windows, move_alerts, window_metrics
+from barlens.operators.places import places_within
+from barlens.operators.windows import LATENESS, bar_windows, move_alerts, window_metrics
 from barlens.plans.archive import archive_batch, backfill, read_archive
 from barlens.plans.feature_table import feature_documents, feature_table, publish_features
 from barlens.sample import inputs
 from barlens.schema import BAR_SCHEMA, ENVELOPE_SCHEMA, BarSpec
 from barlens.session import stage, work_folder
 from barlens.sinks.messages import to_messages
-from barlens.sinks.tables import upsert_by_key, write_table
+from barlens.sinks.tables import upsert_by_key, write_batch, write_table
 from barlens.sources import bars as bar_sources
 from barlens.sources.streams import EVENT, PROCESSING, read_stream, stamp_clock
 from barlens.streaming import jobs
+from barlens.streaming.progress import BatchCounts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -657,9 +659,102 @@ def two_sinks_stream(spark, folder):
     run = jobs.start_upsert(
         documents, path, work_folder(spark, "state"), trigger=ONE_RUN,
         partition=F.date_format("window_start", "yyyyMMdd"),
-        also=lambda batch: batch.write.mode("append").parquet(second),
+        also=lambda batch, number: write_batch(batch, second, "metrics", number),
     )
     run.awaitTermination()
     written = spark.read.parquet(path).select("doc_id", "trade_count")
     copied = spark.read.parquet(second).select("doc_id", "trade_count")
     return written.withColumn("sink", F.lit(1)).unionByName(copied.withColumn("sink", F.lit(2)))
+
+
+def _with_counts_of(spark, run) -> tuple:
+    """(result of ``run``, counts of its batches); ``run`` is given the counts to wait on."""
+    counts = BatchCounts()
+    spark.streams.addListener(counts)
+    try:
+        return run(counts), counts.take(spark)
+    finally:
+        spark.streams.removeListener(counts)
+
+
+@query
+def message_counts(spark, folder):
+    """Messages that a relay passed on, as its batches reported them and as they arrived."""
+    out = work_folder(spark, "relay-out")
+
+    def run(counts):
+        messages = jobs.counted(tick_messages(spark, folder))
+        state = work_folder(spark, "relay-state")
+        sent = jobs.start_documents(messages, state, "parquet", ONE_RUN, path=out)
+        sent.awaitTermination()
+        counts.wait_for(sent)
+
+    _, counts = _with_counts_of(spark, run)
+    return _totals(counts.select(F.col("rows").alias("reported")), "reported", spark.read.parquet(out), "arrived")
+
+
+def _totals(counts: DataFrame, counted: str, arrived: DataFrame, name: str) -> DataFrame:
+    """One row: the sum of ``counted``, and the number of rows that arrived."""
+    rows = counts.select(counted, F.lit(0).cast("long").alias(name)).unionByName(
+        arrived.select(F.lit(0).cast("long").alias(counted), F.lit(1).cast("long").alias(name))
+    )
+    return rows.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in (counted, name)])
+
+
+@query
+def late_rows_counted(spark, folder):
+    """Rows behind the watermark, as a stateful operator counts them: arrivals as in late_data_stream."""
+    events = inputs.table(spark, folder, "events")
+    early = (F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz")) & (F.col("event_id") % 2 == 0)
+    landing, out, state = (work_folder(spark, f"rows-{part}") for part in ("in", "out", "state"))
+
+    def run(counts):
+        for arrival in (events.where(early), events.where(~early)):
+            arrival.write.mode("append").parquet(landing)
+            stream = read_stream(spark, "parquet", events.schema, landing)
+            known = stream.select("event_id", F.col("ts").cast("timestamp").alias("at"))
+            once = known.withWatermark("at", LATENESS).dropDuplicates(["event_id", "at"])
+            sent = jobs.start_documents(once, state, "parquet", ONE_RUN, path=out)
+            sent.awaitTermination()
+            counts.wait_for(sent)
+
+    _, counts = _with_counts_of(spark, run)
+    return _totals(counts, "late_rows", spark.read.parquet(out), "kept_rows")
+
+
+@query
+def slice_places(spark, folder):
+    """The place of every bar inside its archive slice, a month, in archive order."""
+    bars = inputs.bars_from_lineitem(spark, folder).select(
+        month_of(F.col("time")).alias("month"), "ticker", "time", "Close"
+    )
+    return places_within(bars, ["month"], ["time", "ticker"])
+
+
+TYPED = {"ticker": "string", "company": "string", "time": "string", "Open": "double", "Close": "double",
+         "Volume": "double"}
+
+
+@query
+def typed_messages(spark, folder):
+    """Fields of messages by their JSON type: absent, null, text and numbers told apart."""
+    return _named(quality.typed_fields(sample_messages(spark, folder), TYPED, keep=KEPT))
+
+
+@query
+def archive_by_date_and_ticker(spark, folder):
+    """The archive in its narrowest layout: a folder of JSON lines per date and instrument.
+
+    Daily bars of all instruments would be a folder each. So the bars of a month count as one
+    date, with the day as the minute, and instruments form five groups.
+    """
+    path = work_folder(spark, "archive")
+    number, time = F.col("ticker").cast("bigint"), F.col("time")
+    at = F.concat(
+        F.substring(time, 1, 8), F.lit("01 00:"), F.substring(time, 9, 2), F.lit(":"),
+        F.lpad((number % 60).cast("string"), 2, "0"),
+    )
+    for rows in archive_sides(spark, folder):
+        grouped = rows.withColumns({"time": at, "ticker": F.concat(F.lit("g"), (number % 5).cast("string"))})
+        archive_batch(_as_bars(grouped), path, ("date", "ticker"), "json")
+    return _dated(read_archive(spark, path).groupBy("date", "ticker").agg(F.count("*").alias("rows")))

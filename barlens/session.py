@@ -6,7 +6,8 @@ import tempfile
 import uuid
 from math import ceil
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -68,6 +69,15 @@ def _located(spark: SparkSession, path: str):
     return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def entry_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in ``path`` that belong to a table; none if it does not exist."""
+    folder, files = _located(spark, path)
+    if not files.exists(folder):
+        return []
+    found = [status.getPath().getName() for status in files.listStatus(folder)]
+    return [name for name in found if not name.startswith(("_", "."))]
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     folder, files = _located(spark, path)
     return files.exists(folder)
@@ -103,3 +113,9 @@ class Staging:
 
     def hold(self, df: DataFrame, name: str) -> DataFrame:
         return _write_and_read(df, f"{self._folder}/{name}")
+
+    def hold_counted(self, df: DataFrame, name: str) -> tuple[DataFrame, int]:
+        """Also the number of rows, counted while they are written."""
+        seen = Observation()
+        held = self.hold(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
+        return held, seen.get.get("rows") or 0

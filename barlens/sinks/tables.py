@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from barlens.operators.heat import ordered_rows
 from barlens.operators.merge import only_partitions, replace_by_key
-from barlens.session import Staging, path_exists, tasks_for
+from barlens.session import Staging, entry_names, tasks_for
 
 
 def write_table(
@@ -34,14 +33,9 @@ def read_if_there(
     Columns are the stored ones, so nothing stored is left out. Those that ``schema`` has too are
     read in its types, which decides the types of partition folders; data of another type raises.
     """
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    try:
-        stored = spark.read.option("mergeSchema", "true").format(fmt).load(path).schema
-    except AnalysisException as fault:
-        if fault.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-            raise
-        return spark.createDataFrame([], schema)  # only empty batches so far
+    if not entry_names(spark, path):
+        return spark.createDataFrame([], schema)  # nothing, or only empty batches so far
+    stored = spark.read.option("mergeSchema", "true").format(fmt).load(path).schema
     given = {field.name: field for field in schema}
     return spark.read.schema(
         StructType([given.get(field.name, field) for field in stored])
@@ -80,6 +74,18 @@ def write_partitions(
     )
 
 
+_BUCKETS = "bucket_of_"
+
+
+def bucket_count(spark: SparkSession, path: str) -> int | None:
+    """Into how many buckets the table's keys are dealt; its folders say so. None if they are not."""
+    for outer in entry_names(spark, path)[:1]:
+        for inner in entry_names(spark, f"{path.rstrip('/')}/{outer}")[:1]:
+            if inner.startswith(_BUCKETS):
+                return int(inner.removeprefix(_BUCKETS).split("=")[0])
+    return None
+
+
 def upsert_by_key(
     df: DataFrame,
     path: str,
@@ -87,21 +93,47 @@ def upsert_by_key(
     partition: str = "part",
     latest: Column | None = None,
     fmt: str = "parquet",
+    buckets: int | None = None,
 ) -> None:
     """Write documents so that one replaces an earlier one of the same key.
 
     The key must imply the partition. Only partitions with new documents are read and
-    rewritten. Writing the same documents again changes nothing, which makes replays safe.
-    A frame the caller has persisted is used as it is, any other is staged first.
+    rewritten. With ``buckets`` keys are dealt by hash into that many folders inside a partition,
+    and only buckets with new documents are: for large partitions and small batches. The number
+    is fixed by the first write, later ones find it. Writing the same documents again changes
+    nothing, which makes replays safe. A frame the caller has persisted is used as it is, any
+    other is staged first.
     """
     spark = df.sparkSession
+    stored_buckets = bucket_count(spark, path)
+    if buckets and buckets != stored_buckets and entry_names(spark, path):
+        raise ValueError(f"the table at {path} has {stored_buckets or 'no'} buckets, not {buckets}")
+    buckets, by = buckets or stored_buckets, [partition]
     with Staging(spark, "upsert") as staging:
         changed = df if df.is_cached else staging.hold(df, "changed")
+        if buckets:
+            by.append(f"{_BUCKETS}{buckets}")
+            changed = changed.withColumn(by[-1], F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
         stored = read_if_there(spark, path, changed.schema, fmt)
-        touched = only_partitions(stored, changed, partition)
+        touched = only_partitions(stored, changed, *by, hold=lambda rows: staging.hold(rows, "touched"))
         merged = replace_by_key(touched, changed, [key], latest)
         parts = tasks_for(spark, touched.count() + changed.count())
-        write_partitions(merged, path, [partition], [key], fmt, parts, copies=False)
+        write_partitions(merged, path, by, [key], fmt, parts, copies=False)
+
+
+def write_batch(batch: DataFrame, path: str, query: str, batch_id: int, fmt: str = "parquet") -> None:
+    """Write a micro-batch under its query and number; the same batch again replaces itself.
+
+    The columns ``query`` and ``batch`` name its folder. A batch without rows writes nothing.
+    """
+    named = batch.withColumn("query", F.lit(query)).withColumn("batch", F.lit(batch_id).cast("long"))
+    (
+        named.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("query", "batch")
+        .format(fmt)
+        .save(path)
+    )
 
 
 def index_options(

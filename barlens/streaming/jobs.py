@@ -1,7 +1,8 @@
 """Streaming queries: metrics, alerts, relay and incremental archive.
 
 Every query is restartable from its checkpoint, and its sink may see a batch twice without
-changing the result: documents are replaced by id, archive rows are merged by time.
+changing the result: documents are replaced by id, archive rows are merged by time, and a
+second sink gets the number of the batch to key its write by.
 """
 
 from __future__ import annotations
@@ -96,22 +97,26 @@ def start_upsert(
     key: str = "doc_id",
     partition: Column | None = None,
     trigger: dict | None = None,
-    also: Callable[[DataFrame], None] | None = None,
+    also: Callable[[DataFrame, int], None] | None = None,
+    buckets: int | None = None,
 ) -> StreamingQuery:
     """Upsert each batch into a document table.
 
     ``partition`` must follow from the key; by default it is the hour of the window, so that
-    a batch rewrites an hour, not a day. ``also`` gets the same batch after the write, for a
-    preview or a second sink: one source read and one window state serve both.
+    a batch rewrites an hour, not a day. ``also`` gets the same batch and its number after the
+    write, for a preview or a second sink: one source read and one window state serve both. A
+    batch can come again after a lost driver, with the same number, so a second sink must be
+    keyed by it, as ``sinks.tables.write_batch`` is, or by document. ``buckets`` as in
+    ``upsert_by_key``.
     """
     part = F.date_format("window_start", "yyyyMMddHH") if partition is None else partition
 
-    def write(batch: DataFrame, _batch_id: int) -> None:
+    def write(batch: DataFrame, batch_id: int) -> None:
         held = batch.withColumn("part", part).persist()
         try:
-            upsert_by_key(held, path, key, "part")
+            upsert_by_key(held, path, key, "part", buckets=buckets)
             if also is not None:
-                also(held.drop("part"))
+                also(held.drop("part"), batch_id)
         finally:
             held.unpersist()
 

@@ -93,7 +93,7 @@ def test_alerts_with_preview_share_one_query(spark, topic, tmp_path):
     alerts = jobs.alerts_stream(topic.stream(), EVENT)
     run = jobs.start_upsert(
         alerts, str(tmp_path / "out"), str(tmp_path / "state"), trigger=RUN,
-        also=lambda batch: seen.extend(jobs.preview(batch).collect()),
+        also=lambda batch, _number: seen.extend(jobs.preview(batch).collect()),
     )
     run.awaitTermination()
     stored = spark.read.parquet(str(tmp_path / "out")).collect()
