@@ -328,9 +328,7 @@ def classify(blocks: list[Block], rules: BlockRules = BlockRules()) -> None:
         for block in blocks:
             if block.label == "open" and len(block.text) >= rules.short:
                 block.label = "good"
-    decided = [(i, b) for i, b in enumerate(blocks) if b.label != "open"]
-    labels = {i: _inherited(i, b, decided) for i, b in enumerate(blocks) if b.label == "open"}
-    for i, label in labels.items():
+    for i, label in _inherited(blocks).items():
         blocks[i].label = label
 
 
@@ -356,23 +354,48 @@ def _set_apart(block: Block, rules: BlockRules) -> bool:
     return not block.in_text and ("©" in text or text.lower().startswith("copyright"))
 
 
-def _inherited(place: int, block: Block, decided: list[tuple[int, Block]]) -> str:
-    """The label of the nearest decided neighbours; inside a text, those of the text alone.
+def _inherited(blocks: list[Block]) -> dict[int, str]:
+    """The labels of open blocks, from the nearest decided neighbours; inside a text, those of the
+    text alone.
 
     The edges of a text count as good: there only a block between two bad ones is bad. Elsewhere
-    the nearer neighbour decides, and bad if both are as near.
+    the nearer neighbour decides, and bad if both are as near. One sweep from either end finds the
+    neighbours of all blocks.
     """
-    own = [
-        (i, b.label) for i, b in decided if b.region == block.region and not b.furniture
-    ]
-    if block.in_text:
-        before = next((label for i, label in reversed(own) if i < place), "good")
-        after = next((label for i, label in own if i > place), "good")
-        return "bad" if before == after == "bad" else "good"
-    near = {"bad": len(decided) + place + 1, "good": len(decided) + place + 1}
-    for i, label in own or [(i, b.label) for i, b in decided]:
-        near[label] = min(near[label], abs(i - place))
-    return "good" if near["good"] < near["bad"] else "bad"
+    before, after = _neighbours(blocks, range(len(blocks))), _neighbours(blocks, range(len(blocks))[::-1])
+    own = {b.region for b in blocks if b.label != "open" and not b.furniture}
+    labels = {}
+    for i in before:
+        block = blocks[i]
+        if block.in_text:
+            ends = [side[i][0].get(block.region, "good") for side in (before, after)]
+            labels[i] = "bad" if ends == ["bad", "bad"] else "good"
+            continue
+        at = 1 if block.region in own else 2
+        near = {
+            label: min(abs(i - side[i][at].get(label, 2 * len(blocks) + i)) for side in (before, after))
+            for label in ("good", "bad")
+        }
+        labels[i] = "good" if near["good"] < near["bad"] else "bad"
+    return labels
+
+
+def _neighbours(blocks: list[Block], order: range) -> dict[int, tuple[dict, dict, dict]]:
+    """Per open block what lies before it in ``order``: the last label of its region, and the last
+    place of each label in its region and anywhere."""
+    last_label, in_region, anywhere, found = {}, {}, {}, {}
+    for i in order:
+        block = blocks[i]
+        if block.label == "open":
+            region = block.region
+            known = {region: last_label[region]} if region in last_label else {}
+            found[i] = known, dict(in_region.get(region, {})), dict(anywhere)
+            continue
+        anywhere[block.label] = i
+        if not block.furniture:
+            last_label[block.region] = block.label
+            in_region.setdefault(block.region, {})[block.label] = i
+    return found
 
 
 def main_text(page: str, rules: BlockRules = BlockRules()) -> str:
