@@ -356,4 +356,8 @@ ORACLE = {
           SELECT date, ticker, stamp, unnest(range(CASE WHEN d % 5 = 0 THEN 2 ELSE 1 END)) FROM grouped WHERE d % 3 <> 1),
         fresh AS (SELECT date, ticker, stamp FROM arriving ANTI JOIN stored USING (date, ticker, stamp))
         SELECT date, ticker, count(*) AS rows FROM (FROM stored UNION ALL FROM fresh) GROUP BY date, ticker""",
+    "absent_columns_skipped": f'WITH {BARS} SELECT ticker, "Close", "Volume" FROM bars',
 }
+ORACLE["preview_size"] = f"""SELECT least(10, count(*)) AS rows, least(10, count(*)) AS reasons,
+    'ticker,window_start,open_1m,close_1m,return_pct_1m,range_pct_1m,alert_reason,direction,alert_score' AS columns
+    FROM ({ORACLE["move_alerts_batch"]})"""

@@ -758,3 +758,21 @@ def archive_by_date_and_ticker(spark, folder):
         grouped = rows.withColumns({"time": at, "ticker": F.concat(F.lit("g"), (number % 5).cast("string"))})
         archive_batch(_as_bars(grouped), path, ("date", "ticker"), "json")
     return _dated(read_archive(spark, path).groupBy("date", "ticker").agg(F.count("*").alias("rows")))
+
+
+@query
+def absent_columns_skipped(spark, folder):
+    """Casting and time parsing of frames that lack most of the columns."""
+    bars = inputs.bars_from_lineitem(spark, folder)
+    few = bars.select("ticker", F.col("Close").cast("string").alias("Close"), "Volume")
+    return quality.cast_prices(quality.parse_times(few))
+
+
+@query
+def preview_size(spark, folder):
+    """Columns and rows of the alert preview: which rows it shows is left open, how many is not."""
+    ticks = stamp_clock(sample_ticks(spark, folder), EVENT, "timestamp")
+    shown = jobs.preview(move_alerts(bar_windows(ticks, length=ALERT_WINDOW)))
+    return shown.agg(
+        F.count("*").alias("rows"), F.count("alert_reason").alias("reasons"),
+    ).withColumn("columns", F.lit(",".join(shown.columns)))

@@ -18,7 +18,8 @@ from barlens.sample.queries import QUERIES  # noqa: E402
 from barlens.session import build_session  # noqa: E402
 
 HEADLINE = (
-    "bars_daily", "moving_averages", "moving_averages_frame", "returns", "drawdown",
+    "bars_daily", "moving_averages", "moving_averages_frame", "moving_averages_prefix", "returns",
+    "drawdown",
     "volume_profile", "monthly_returns", "monthly_volatility", "volatility_join",
     "feature_table_all", "feature_table_hot_key", "latest_bar", "decode_messages", "standardised",
     "window_metrics_batch", "move_alerts_batch", "window_metrics_stream", "archive_merged",
