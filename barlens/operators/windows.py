@@ -49,6 +49,7 @@ def window_metrics(
     )
     start = F.col("w.start")
     extra = [F.col("company")] if company_in_id else []
+    # The field names of a metric document.
     return stats.select(
         start.alias("@timestamp"),
         start.alias("window_start"),
@@ -92,6 +93,7 @@ def bar_windows(
         F.sum("Volume").alias("volume_sum_1m"),
         F.max("source_time").alias("source_time"),
     )
+    # The field names of a window's bar.
     return stats.select(
         "ticker",
         F.col("w.start").alias("@timestamp"),
