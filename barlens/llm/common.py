@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Stands for a null id inside an operator: a null id comes before every other.
@@ -36,6 +36,26 @@ def raw_text(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary")
 
 
+_ROW_BITS = 40
+
+
+def with_file_rows(scan: DataFrame, name: str) -> DataFrame:
+    """A scan of Parquet files with a number per row, as ``name``, that holds through all reads.
+
+    It is the number of the file among all files and the row's place in it, so nothing is copied.
+    The driver sees the names of the files, which it holds for the scan anyway.
+    """
+    located = scan.select(
+        "*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__at")
+    )
+    files = sorted(row["__file"] for row in located.select("__file").distinct().collect())
+    numbers = scan.sparkSession.createDataFrame(
+        pa.table({"__file": pa.array(files, pa.string()), "__number": pa.array(range(len(files)), pa.int64())})
+    )
+    number = F.shiftleft("__number", _ROW_BITS) + F.col("__at")
+    return located.join(numbers, "__file").select(*scan.columns, number.alias(name))
+
+
 def chunks(batches: Iterable[pa.RecordBatch], size_of: str) -> Iterator[pa.RecordBatch]:
     """The batches cut so that the named binary column stays near ``CHUNK_BYTES`` in each."""
     for batch in batches:

@@ -11,6 +11,7 @@ from barlens.llm import (
     contamination, html_text, line_dedup, manifest, near_duplicates, packing, quality_rules,
     ranked_search, secret_scan, substring_dedup, token_files, url_rules, warc,
 )
+from barlens.llm.common import with_file_rows
 from barlens.session import stage, work_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -41,7 +42,8 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return substring_dedup.remove_repeats(table(spark, folder, "documents")).drop("spans")
+    docs = with_file_rows(table(spark, folder, "documents").select("doc_id", "text"), "row")
+    return substring_dedup.remove_repeats(docs, row_column="row").drop("spans")
 
 
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:

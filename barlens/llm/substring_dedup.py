@@ -119,31 +119,27 @@ def _digest(words: list[bytes]) -> str:
 _BASE = pa.schema(
     [
         ("row", pa.int64()), ("doc", pa.int64()), ("n_words", pa.int64()),
-        ("sha256", pa.string()), ("words_key", pa.binary()), ("packed", pa.binary()),
-        ("anchors", pa.list_(pa.int64())),
+        ("sha256", pa.string()), ("words_key", pa.binary()), ("anchors", pa.list_(pa.int64())),
     ]
 )
 
 
 def _with_anchors(docs: DataFrame, width: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=1).compress
         for batch in chunks(batches, "text"):
-            n_words, digests, keys, packed, anchors = [], [], [], [], []
+            n_words, digests, keys, anchors = [], [], [], []
             for text in batch.column("text").to_pylist():
                 words = text.split()
                 joined = b" ".join(words)
                 n_words.append(len(words))
                 digests.append(hashlib.sha256(joined).hexdigest())
                 keys.append(xxhash.xxh3_128_digest(joined) if len(words) >= width else None)
-                packed.append(press(joined))
                 anchors.append(np.unique(_anchors(word_hashes(words), width)))
             yield batch_of(
                 _BASE,
                 {
                     "row": batch.column("row"), "doc": batch.column("doc"), "n_words": n_words,
-                    "sha256": digests, "words_key": keys, "packed": packed,
-                    "anchors": list_array(
+                    "sha256": digests, "words_key": keys, "anchors": list_array(
                         signed(np.concatenate(anchors)), map(len, anchors), pa.int64()
                     ),
                 },
@@ -151,11 +147,25 @@ def _with_anchors(docs: DataFrame, width: int) -> DataFrame:
 
     return docs.mapInArrow(
         work,
-        "row long, doc long, n_words long, sha256 string, words_key binary, packed binary,"
-        " anchors array<long>",
+        "row long, doc long, n_words long, sha256 string, words_key binary, anchors array<long>",
     )
 
 
+_PACKED = pa.schema([("row", pa.int64()), ("packed", pa.binary())])
+
+
+def _packed(narrow: DataFrame) -> DataFrame:
+    """The texts, compressed for the way through shuffles."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=1).compress
+        for batch in chunks(batches, "text"):
+            packed = [press(text) for text in batch.column("text").to_pylist()]
+            yield batch_of(_PACKED, {"row": batch.column("row"), "packed": packed})
+
+    return narrow.select("row", "text").mapInArrow(work, "row long, packed binary")
+
+
 _WINDOWS = pa.schema(
     [("row", pa.int64()), ("doc", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64())]
 )
@@ -340,7 +350,7 @@ def _kept_text(result: DataFrame) -> DataFrame:
 
 def remove_repeats(
     docs: DataFrame, width: int = WIDTH, id_column: str = "doc_id", text_column: str = "text",
-    probe_words: int = PROBE_WORDS, keep_text: bool = False,
+    probe_words: int = PROBE_WORDS, keep_text: bool = False, row_column: str | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_removed, kept_sha256, spans (word ranges).
 
@@ -350,13 +360,18 @@ def remove_repeats(
     words. Equal ids are one document, so copies under one id stay; a null id is before all others.
     Other columns are ignored.
 
+    The texts are read twice. ``row_column`` names a number per row, none twice, that is the same in
+    every read of ``docs`` (``with_file_rows``); without it the texts are written once more.
+
     Memory: a task holds the automaton of one row's repeated text, or one document.
     """
+    number = F.col(row_column).cast("long") if row_column else F.monotonically_increasing_id()
     narrow = docs.select(
-        F.monotonically_increasing_id().alias("row"), key_of(id_column).alias("doc"),
-        raw_text(text_column).alias("text"),
+        number.alias("row"), key_of(id_column).alias("doc"), raw_text(text_column).alias("text")
     )
     with Staging(docs.sparkSession, "substring-dedup") as staging:
+        if row_column is None:
+            narrow = staging.hold(narrow, "rows")
         # Narrow rows unless texts are asked for; the tables behind them go.
         return stage(_without_repeats(narrow, width, probe_words, keep_text, staging.hold), "kept")
 
@@ -365,7 +380,7 @@ def _without_repeats(
     narrow: DataFrame, width: int, probe_words: int, keep_text: bool,
     hold: Callable[[DataFrame, str], DataFrame],
 ) -> DataFrame:
-    """``remove_repeats`` of (row, doc, text); ``hold`` writes what is read several times.
+    """``remove_repeats`` of (row, doc, text), read twice; ``hold`` writes what is read several times.
 
     From ``candidates`` on, row numbers the rows in the order of doc; base_row is the row of ``narrow``.
     """
@@ -373,9 +388,10 @@ def _without_repeats(
     classes = base.where("words_key is not null").groupBy("words_key").agg(
         F.min(F.struct("doc", "row")).alias("first")
     )
-    first_rows = classes.select(F.col("first.row").alias("row"))
+    first_rows = classes.select("first.row", "first.doc")
+    # Joined by both columns, so that the two uses of the anchors need, and share, one shuffle.
     anchors = (
-        base.select("row", "doc", "anchors").join(first_rows, "row", "left_semi")
+        base.select("row", "doc", "anchors").join(first_rows, ["row", "doc"], "left_semi")
         .select("row", "doc", F.explode("anchors").alias("anchor"))
     )
     shared = (
@@ -387,10 +403,10 @@ def _without_repeats(
     )
     places = (
         base.select("row", "doc").repartitionByRange("doc", "row").sortWithinPartitions("doc", "row")
-        .select("row", F.monotonically_increasing_id().alias("place"))
+        .select("row", "doc", F.monotonically_increasing_id().alias("place"))
     )
     candidates = hold(
-        base.select("row", "doc", "packed").join(chosen.join(places, "row"), "row")
+        _packed(narrow).join(chosen.join(places, "row"), "row")
         .withColumnsRenamed({"row": "base_row", "place": "row"}),
         "candidates",
     )
@@ -420,10 +436,12 @@ def _without_repeats(
     copy = F.coalesce(F.col("doc") > F.col("first.doc"), F.lit(False))
     whole = F.array(F.struct(F.lit(0).cast("long").alias("starts"), F.col("n_words").alias("ends")))
     found = (
-        base.drop("anchors", *([] if keep_text else ["packed"]))
+        base.drop("anchors")
         .join(classes, "words_key", "left")
         .join(kept.withColumnRenamed("row", "first_row"), F.col("first.row") == F.col("first_row"), "left")
     )
+    if keep_text:
+        found = found.join(_packed(narrow), "row")
     result = found.select(
         id_of("doc").alias("doc_id"), "n_words",
         F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0)).cast("long"))

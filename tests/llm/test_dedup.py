@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from barlens.llm import substring_dedup
+from barlens.llm.common import with_file_rows
 from barlens.llm.line_dedup import dedup_lines
 from barlens.llm.near_duplicates import chance, components, fewest_matches, near_duplicates
 from barlens.llm.substring_dedup import SuffixAutomaton, remove_repeats
@@ -61,6 +62,19 @@ def test_removed_words(documents, width, probe_words):
     assert got == removed_by_hand(rows, width)
 
 
+def test_rows_numbered_in_their_files(documents, tmp_path):
+    rows = odd_documents(null_ids=True)
+    docs = documents(rows).repartition(3)
+    docs.write.parquet(str(tmp_path / "docs"))
+    scan = docs.sparkSession.read.parquet(str(tmp_path / "docs"))
+    numbered = with_file_rows(scan, "number")
+    assert numbered.select("number").distinct().count() == len(rows)
+    found = remove_repeats(numbered, 7, keep_text=True, row_column="number")
+    got = sorted((-1 if r.doc_id is None else r.doc_id, r.n_words, r.n_removed, r.kept_text)
+                 for r in found.collect())
+    assert got == removed_by_hand(rows, 7)
+
+
 @pytest.mark.parametrize("doc", [None, 3])
 def test_a_reference_is_one_row_of_an_id(documents, monkeypatch, doc):
     rng, seen = random.Random(4), []
