@@ -6,14 +6,16 @@ test terms only, brings each segment's rows together, and intersects the offset-
 a test window from its rarest term on; most windows end at a term the segment does not have. With
 ``slop`` the same lists give proximity matches: every term within that many words of its place.
 
-The test set is a stated query set. It is handled in blocks of ``BLOCK_WORDS`` words, each with a
-pass over the postings, so what the driver and a task hold of it is bounded.
+The test set is a stated query set. Its items, long ones in overlapping pieces, are dealt into blocks
+of about ``BLOCK_WORDS`` words as rows of a table, and one pass over the postings serves all blocks:
+the plan is the same for every size of the test set, and none of it passes through the driver. A
+task reads a block's pieces once and streams its share of the segments past them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain, islice
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +31,9 @@ from barlens.session import Staging, stage
 WINDOW = 13
 BLOCK_WORDS = 200_000
 
+# Segments that a task searches for one block, about.
+SEGMENTS_PER_TASK = 8
+
 # Unused places after each document; slop must be smaller.
 GAP = 64
 
@@ -60,12 +65,10 @@ class _Terms(dict):
 
 
 def build_index(
-    docs: DataFrame, vocabulary: frozenset[bytes] | None = None, id_column: str = "doc_id",
-    text_column: str = "text",
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """Rows of kind ``doc`` (segment, place, doc_id, n_words) and ``term`` (segment, term, places).
 
-    ``vocabulary`` leaves out the postings of all other terms; documents are complete either way.
     Ids keep their type.
     """
     kind = docs.schema[id_column].dataType
@@ -73,28 +76,15 @@ def build_index(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        fixed = _Terms()
-        for word in vocabulary or ():
-            fixed[word]
-        names = list(fixed)
         for number, batch in enumerate(chunks(batches, "text")):
             segment = (part << 32) + number
             ids, texts = batch.column("doc").to_pylist(), batch.column("text").to_pylist()
-            terms = _Terms() if vocabulary is None else fixed
+            terms = _Terms()
             numbers, places, starts, sizes, place = [], [], [], [], 0
             for text in texts:
                 words = index_words(text)
-                if vocabulary is None:
-                    found = np.fromiter(map(terms.__getitem__, words), np.int32, len(words))
-                    at = np.arange(len(words))
-                else:
-                    found = np.fromiter(
-                        (terms.get(w, -1) for w in words), np.int32, len(words)
-                    )
-                    at = np.flatnonzero(found >= 0)
-                    found = found[at]
-                numbers.append(found)
-                places.append(at + place)
+                numbers.append(np.fromiter(map(terms.__getitem__, words), np.int32, len(words)))
+                places.append(np.arange(len(words)) + place)
                 starts.append(place)
                 sizes.append(len(words))
                 place += len(words) + GAP
@@ -102,7 +92,7 @@ def build_index(
             order = np.argsort(numbers, kind="stable")
             numbers, places = numbers[order], places[order]
             used, first = np.unique(numbers, return_index=True)
-            names = list(terms) if vocabulary is None else names
+            names = list(terms)
             edges = [*first.tolist(), len(places)]
             n = len(ids)
             yield batch_of(
@@ -175,24 +165,53 @@ class ItemBlock:
                     yield int(owners[i]), low, high + len(row)
 
 
-def item_blocks(
-    tests: DataFrame, width: int, id_column: str, text_column: str
-) -> Iterator[ItemBlock]:
-    """The test set in blocks; each holds about ``BLOCK_WORDS`` words on the driver at a time."""
+_PIECES = pa.schema([("item", pa.string()), ("n", pa.int64()), ("words", pa.binary())])
+
+
+def cut_items(
+    tests: DataFrame, width: int, id_column: str, text_column: str, most: int
+) -> DataFrame:
+    """Rows (item, n, words): the items, cut so that a piece has at most ``most`` windows.
+
+    Pieces of one item overlap, so that every window lies in exactly one.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, "text"):
+            out = {"item": [], "n": [], "words": []}
+            for item, text in zip(batch.column("item").to_pylist(), batch.column("text").to_pylist()):
+                words = index_words(text)
+                for start in range(0, max(len(words) - width + 1, min(len(words), 1)), most):
+                    piece = words[start : start + most + width - 1]
+                    out["item"].append(item)
+                    out["n"].append(len(piece))
+                    out["words"].append(b" ".join(piece))
+            yield batch_of(_PIECES, out)
+
     rows = tests.select(
         F.col(id_column).cast("string").alias("item"), raw_text(text_column).alias("text")
-    ).where(F.col("item").isNotNull())
-    block, words_held = [], 0
-    for row in rows.toLocalIterator():
-        words = index_words(bytes(row["text"]))
-        if words:
-            block.append((row["item"], words))
-            words_held += len(words)
-        if words_held >= BLOCK_WORDS:
-            yield ItemBlock(block, width)
-            block, words_held = [], 0
-    if block:
-        yield ItemBlock(block, width)
+    )
+    return rows.where("item is not null").mapInArrow(work, "item string, n long, words binary")
+
+
+_BLOCK_TERMS = pa.schema([("block", pa.int64()), ("term", pa.binary())])
+
+
+def _terms_of(pieces: DataFrame) -> DataFrame:
+    """The distinct terms of every block."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, "words"):
+            found = {
+                (block, term)
+                for block, words in zip(*(batch.column(c).to_pylist() for c in ("block", "words")))
+                for term in words.split()
+            }
+            yield batch_of(
+                _BLOCK_TERMS, {"block": [b for b, _ in found], "term": [t for _, t in found]}
+            )
+
+    return pieces.select("block", "words").mapInArrow(work, "block long, term binary").distinct()
 
 
 _HITS = pa.schema(
@@ -230,28 +249,50 @@ def _hits_of_segment(segment, starts, sizes, postings, block, slop):
 
 
 def search_index(
-    index: DataFrame, block: ItemBlock, slop: int = 0, own_terms: bool = False
+    index: DataFrame, pieces: DataFrame, terms: DataFrame, n_blocks: int, n_shares: int,
+    width: int = WINDOW, slop: int = 0,
 ) -> DataFrame:
-    """Per document with a match: segment, place, n_hit, hit spans in words, items.
+    """Per block and document with a match: segment, place, n_hit, hit spans in words, items.
 
-    ``own_terms`` says that the index holds the block's terms only.
+    ``pieces`` are those of the test set with their block, ``terms`` the distinct terms of each block.
+    The segments are dealt into ``n_shares``.
     """
     if not 0 <= slop < GAP:
         raise ValueError(f"slop must be from 0 to {GAP - 1}")
-    rows = index
-    if not own_terms:
-        wanted = index.sparkSession.createDataFrame(
-            [(bytearray(t),) for t in block.terms], "term binary"
-        )
-        # Spark broadcasts the test terms if their size allows.
-        rows = index.where("kind = 'term'").join(wanted, "term", "left_semi").unionByName(
-            index.where("kind = 'doc'")
-        )
+    share = F.pmod(F.xxhash64("segment"), F.lit(n_shares)).alias("share")
+    columns = ("block", "share", "segment", "kind", "term", "places", "place", "n_words")
+    # Spark broadcasts the test terms if their size allows.
+    postings = index.where("kind = 'term'").join(terms, "term").select("*", share)
+    everywhere = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long")))
+    docs = index.where("kind = 'doc'").select("*", everywhere.alias("block"), share)
+    shares = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_shares - 1).cast("long")))
+    # A piece goes before all segments of its block: its item as term, its words as places.
+    tests = pieces.select(
+        "block", shares.alias("share"), F.lit(-1).cast("long").alias("segment"),
+        F.lit("piece").alias("kind"), F.col("item").cast("binary").alias("term"),
+        F.col("words").alias("places"), F.lit(None).cast("long").alias("place"),
+        F.col("n").alias("n_words"),
+    )
+    rows = postings.select(*columns).unionByName(docs.select(*columns)).unionByName(tests)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (segment,), pieces in groups(batches, ["segment"]):
+        held, block = None, None
+        for (number, part, segment), slices in groups(batches, ["block", "share", "segment"]):
+            if segment < 0:
+                items = [
+                    (item.decode("utf-8"), words.split())
+                    for piece in slices
+                    for item, words in zip(
+                        piece.column("term").to_pylist(), piece.column("places").to_pylist()
+                    )
+                ]
+                if number != held:
+                    held, block = number, ItemBlock(items, width)
+                continue
+            if number != held:  # a block without pieces
+                continue
             starts, sizes, postings = [], [], {}
-            for piece in pieces:
+            for piece in slices:
                 for kind, term, places, place, n in zip(
                     *(piece.column(c).to_pylist()
                       for c in ("kind", "term", "places", "place", "n_words"))
@@ -267,10 +308,8 @@ def search_index(
             if found:
                 yield pa.RecordBatch.from_pylist(found, schema=_HITS)
 
-    # A segment is a bounded number of documents; the segments spread evenly.
-    columns = ("segment", "kind", "term", "places", "place", "n_words")
     return (
-        rows.select(*columns).repartition("segment").sortWithinPartitions("segment", "place")
+        rows.repartition("block", "share").sortWithinPartitions("block", "share", "segment")
         .mapInArrow(work, _HITS_DDL)
     )
 
@@ -314,32 +353,24 @@ def find_contamination(
     with equal ids count as one. Repeated rows are reported one by one. An empty test set hits
     nothing. Other columns are ignored.
     """
-    spark = docs.sparkSession
-    blocks = item_blocks(tests, width, item_column, item_text_column)
-    ahead = list(islice(blocks, 2))
-    vocabulary = None
-    if len(ahead) < 2:  # one search: postings of other terms would never be read
-        vocabulary = frozenset(ahead[0].terms if ahead else ())
-    with Staging(spark, "contamination") as staging:
-        index = staging.hold(build_index(docs, vocabulary, id_column, text_column), "index")
-        found = [
-            staging.hold(search_index(index, block, slop, vocabulary is not None), f"hits-{i}")
-            for i, block in enumerate(chain(ahead, blocks))
-        ]
+    with Staging(docs.sparkSession, "contamination") as staging:
+        index = staging.hold(build_index(docs, id_column, text_column), "index")
+        most = max(1, BLOCK_WORDS // 8)
+        pieces = staging.hold(cut_items(tests, width, item_column, item_text_column, most), "pieces")
+        # Two numbers for the layout; the plan is the same for all.
+        n_blocks = ceil((pieces.agg(F.sum("n")).first()[0] or 1) / BLOCK_WORDS)
+        n_segments = index.where("kind = 'doc'").agg(F.countDistinct("segment")).first()[0]
+        pieces = pieces.withColumn("block", F.pmod(F.xxhash64("item", "words"), F.lit(n_blocks)))
+        terms = staging.hold(_terms_of(pieces), "terms")
+        found = search_index(
+            index, pieces, terms, n_blocks, ceil((n_segments or 1) / SEGMENTS_PER_TASK), width, slop
+        )
+        hits = _joined_blocks(found)
         # One narrow row per document; the postings go.
-        return stage(_per_document(index, found), "contamination")
-
-
-def _per_document(index: DataFrame, found: list[DataFrame]) -> DataFrame:
-    if not found:
-        hits = index.sparkSession.createDataFrame([], _HITS_DDL)
-    elif len(found) == 1:
-        hits = found[0]
-    else:
-        hits = found[0]
-        for more in found[1:]:
-            hits = hits.unionByName(more)
-        hits = _joined_blocks(hits)
+        return stage(_per_document(index, hits), "contamination")
+
+
+def _per_document(index: DataFrame, hits: DataFrame) -> DataFrame:
     spans = F.arrays_zip("starts", "ends")
     return (
         index.where("kind = 'doc'").select("segment", "place", "doc_id", "n_words")

@@ -32,6 +32,43 @@ def test_blocks_agree_with_brute_force(spark, documents, monkeypatch, block_word
     assert found.where("n_hit != aggregate(spans, 0, (n, s) -> n + s.ends - s.starts)").count() == 0
 
 
+@pytest.mark.parametrize("most", [1, 3, 100])
+def test_pieces_hold_every_window_once(spark, most):
+    words = [f"w{i}" for i in range(20)]
+    items = [("a", " ".join(words)), ("b", "x y"), ("c", ""), ("d", None), (None, "x")]
+    cut = contamination.cut_items(
+        spark.createDataFrame(items, "item string, text string"), 5, "item", "text", most
+    )
+    windows = []
+    for row in cut.collect():
+        own = bytes(row.words).decode().split()
+        assert row.n == len(own) <= most + 4
+        n = min(5, len(own))
+        windows += [(row.item, *own[i : i + n]) for i in range(len(own) - n + 1)]
+    assert sorted(windows) == sorted(
+        [("a", *words[i : i + 5]) for i in range(16)] + [("b", "x", "y")]
+    )
+
+
+def test_one_plan_for_every_test_set(spark, documents, monkeypatch):
+    plans = []
+    search = contamination.search_index
+
+    def kept(*args, **named):
+        found = search(*args, **named)
+        text = found._jdf.queryExecution().optimizedPlan().toString()
+        plans.append([line.strip(" :+-").split(" ")[0] for line in text.splitlines()])
+        return found
+
+    monkeypatch.setattr(contamination, "search_index", kept)
+    docs = documents(odd_documents())
+    for n in (1, 1000):
+        items = spark.range(n).selectExpr("id AS item_id", "concat('some words ', id) AS text")
+        monkeypatch.setattr(contamination, "BLOCK_WORDS", 100)
+        assert find_contamination(docs, items).count() == len(odd_documents())
+    assert plans[0] == plans[1]
+
+
 def test_proximity(spark, documents):
     items = spark.createDataFrame([(1, "alpha beta gamma delta")], "item_id long, text string")
     texts = ["alpha beta gamma delta", "alpha x beta gamma delta", "delta gamma beta alpha",
