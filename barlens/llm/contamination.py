@@ -26,13 +26,13 @@ from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_type
 from pyspark.sql.types import StructField, StructType
 
 from barlens.llm.common import batch_of, chunks, covered, groups, raw_text, runs_of
-from barlens.session import Staging, stage
+from barlens.session import Staging, stage, tasks_for
 
 WINDOW = 13
 BLOCK_WORDS = 200_000
 
 # Segments that a task searches for one block, about.
-SEGMENTS_PER_TASK = 8
+SEGMENTS_PER_TASK = 4
 
 # Unused places after each document; slop must be smaller.
 GAP = 64
@@ -308,10 +308,10 @@ def search_index(
             if found:
                 yield pa.RecordBatch.from_pylist(found, schema=_HITS)
 
-    return (
-        rows.repartition("block", "share").sortWithinPartitions("block", "share", "segment")
-        .mapInArrow(work, _HITS_DDL)
-    )
+    tasks = tasks_for(index.sparkSession, n_blocks * n_shares, 1)
+    keys = ("block", "share")
+    dealt = rows.repartition(tasks, *keys) if tasks else rows.repartition(*keys)
+    return dealt.sortWithinPartitions(*keys, "segment").mapInArrow(work, _HITS_DDL)
 
 
 def _joined_blocks(hits: DataFrame) -> DataFrame:
