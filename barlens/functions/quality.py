@@ -161,7 +161,11 @@ def field_kind(message: Column, name: str) -> Column:
     A payload that is no JSON, or no object, has no fields.
     """
     held = F.try_variant_get(message, _path(name), "variant")
-    kind = F.schema_of_variant(held)
+    return _kind_of(held, F.schema_of_variant(held))
+
+
+def _kind_of(held: Column, kind: Column) -> Column:
+    """The same from a field's variant and that variant's schema."""
     number = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
     return (
         F.when(held.isNull(), F.lit(MISSING))
@@ -181,18 +185,26 @@ def typed_fields(
     read in its type, or does not fit it, is null; its kind tells it from a missing one. Text is
     not read as a number and a number is not read as text.
     """
-    def build(message: Column) -> Column:
-        columns = []
-        for name, to in fields.items():
-            kind = field_kind(message, name)
-            right = TEXT if to == "string" else NUMBER
-            read = F.try_variant_get(message, _path(name), to)
-            columns += [F.when(kind == right, read).alias(name), kind.alias(f"{name}_kind")]
-        return F.struct(*columns)
-
-    # A generator, so that the parse is not repeated inside filters on its output.
-    parsed = F.transform(F.array(as_variant(F.col(value))), build)
-    return messages.select(*keep, F.inline(parsed))
+    # A generator, so that the parse is not repeated inside filters on its output. What follows is
+    # plain columns, one step per projection: compiled, and each field is looked up once.
+    rows = messages.select(
+        F.struct(*keep).alias("_kept"), F.explode(F.array(as_variant(F.col(value)))).alias("_message")
+    )
+    numbered = list(enumerate(fields.items()))
+    rows = rows.select("_kept", *[
+        F.try_variant_get("_message", F.lit(_path(name)), "variant").alias(f"_held{i}") for i, (name, _) in numbered
+    ])
+    shapes = {f"_shape{i}": F.schema_of_variant(F.col(f"_held{i}")) for i, _ in numbered}
+    rows = rows.withColumns(shapes)
+    kinds = {f"_kind{i}": _kind_of(F.col(f"_held{i}"), F.col(f"_shape{i}")) for i, _ in numbered}
+    rows = rows.withColumns(kinds)
+    columns = []
+    for i, (name, to) in numbered:
+        kind = F.col(f"_kind{i}")
+        read = F.try_variant_get(f"_held{i}", F.lit("$"), to)
+        right = TEXT if to == "string" else NUMBER
+        columns += [F.when(kind == right, read).alias(name), kind.alias(f"{name}_kind")]
+    return rows.select("_kept.*", *columns)
 
 
 def archive_date(time: Column) -> Column:
