@@ -16,6 +16,9 @@ SLICE = ("date", "ticker")
 # A key with more rows than this is kept out of shuffles by key.
 MAX_COPIES = 1_000_000
 
+# Groups by hash in which keys are counted before any key is.
+_HASH_GROUPS, _GROUP = 1 << 16, "_group"
+
 
 def only_partitions(
     stored: DataFrame,
@@ -64,14 +67,14 @@ def one_per_key(rows: DataFrame, key: Sequence[str], latest: Column | None = Non
 def crowded_keys(rows: DataFrame, key: Sequence[str], max_copies: int = MAX_COPIES) -> DataFrame | None:
     """Keys held by more than ``max_copies`` rows, or None if there are none.
 
-    Slices are counted first; only those with that many rows can contain such a key, so
-    ordinary batches pay for one small aggregate.
+    Keys are counted by hash first, in a fixed number of groups: only those with that many rows can
+    contain such a key, so ordinary batches pay for one scan, and no key is shuffled.
     """
-    outer = list(key[:-1])
-    slices = _crowded(rows, outer, max_copies)
-    if slices.isEmpty():
+    rows = rows.select(*key).withColumn(_GROUP, F.pmod(F.xxhash64(*key), F.lit(_HASH_GROUPS)))
+    groups = _crowded(rows, [_GROUP], max_copies)
+    if groups.isEmpty():
         return None
-    found = _crowded(rows.join(slices, outer, "left_semi"), list(key), max_copies)
+    found = _crowded(rows.join(groups, [_GROUP], "left_semi"), list(key), max_copies)
     return None if found.isEmpty() else found
 
 
@@ -155,6 +158,12 @@ def slice_stats(
     return sums.where(F.col("incoming_records") > 0)
 
 
+def first_stats(incoming: DataFrame, by: Sequence[str] = SLICE) -> DataFrame:
+    """``slice_stats`` of rows that are all new, nothing being stored: one count per slice."""
+    counts = ("incoming_records", "new_records", "total_records")
+    return incoming.groupBy(*by).agg(*[F.count(F.lit(1)).alias(name) for name in counts])
+
+
 def merge_stats(per_slice: DataFrame) -> DataFrame:
     """One row for the whole run; a slice without new rows counts as skipped."""
     changed = F.col("new_records") > 0
@@ -173,3 +182,32 @@ def replace_by_key(
     newest = one_per_key(changed, key, latest)
     kept = stored.join(newest.select(*key), list(key), "left_anti")
     return kept.select(*[f"`{c}`" for c in stored.columns]).unionByName(newest, allowMissingColumns=True)
+
+
+def newest_in_order(
+    stored: DataFrame | None,
+    changed: DataFrame,
+    order: Sequence[str],
+    latest: Column | None = None,
+    parts: int | None = None,
+) -> DataFrame:
+    """What ``replace_by_key`` returns, for a key that is the last column of ``order`` and implies
+    the others, range-partitioned and sorted by ``order``.
+
+    Stored and changed rows go through one shuffle: all rows of a key meet in a range, where a
+    changed row wins over a stored one. Keys with very many copies should be combined before.
+    """
+    plain = list(changed.columns)
+    changed = changed.withColumns({"_new": F.lit(1), "_at": F.lit(0) if latest is None else latest})
+    rows, names = changed, plain
+    if stored is not None:
+        names = [*stored.columns, *[c for c in plain if c not in stored.columns]]
+        nothing = F.lit(None).cast(changed.schema["_at"].dataType)
+        old = stored.withColumns({"_new": F.lit(0), "_at": nothing})
+        rows = old.unionByName(changed, allowMissingColumns=True)
+    spread = rows.repartitionByRange(parts, *order) if parts else rows.repartitionByRange(*order)
+    rest = [c for c in (*plain, *[n for n in names if n not in plain]) if c not in order]
+    row = F.struct(*[F.col(f"`{c}`") for c in rest]) if rest else F.lit(0)
+    best = spread.groupBy(*order).agg(F.max(F.struct("_new", "_at", row.alias("_row"))).alias("_best"))
+    found = [F.col(c) if c in order else F.col(f"_best._row.`{c}`").alias(c) for c in names]
+    return best.select(*found).sortWithinPartitions(*order)

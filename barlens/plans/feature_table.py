@@ -88,4 +88,4 @@ def publish_features(
     write_table(table, table_path, fmt)
     written = bars.sparkSession.read.schema(table.schema).format(fmt).load(table_path)
     documents = feature_documents(written, spec)
-    upsert_by_key(documents, documents_path, partition="month")
+    upsert_by_key(documents, documents_path, partition="month", written=True)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 from math import ceil
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -78,6 +79,31 @@ def entry_names(spark: SparkSession, path: str) -> list[str]:
     return [name for name in found if not name.startswith(("_", "."))]
 
 
+def first_file(spark: SparkSession, path: str) -> str | None:
+    """Some file of the table at ``path``, found by going down its folders; None if there is none."""
+    folder, files = _located(spark, path)
+    for status in files.listStatus(folder):
+        found, name = status.getPath().toString(), status.getPath().getName()
+        if not status.isDirectory():
+            if name.startswith("part-"):
+                return found
+        elif not name.startswith(("_", ".")) and (inside := first_file(spark, found)):
+            return inside
+    return None
+
+
+@contextmanager
+def few_listing_tasks(spark: SparkSession):
+    """Folders are listed by a few tasks with many of them each, not by a task per folder."""
+    setting = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(8 * spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     folder, files = _located(spark, path)
     return files.exists(folder)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from barlens.operators.heat import ordered_rows
-from barlens.operators.merge import only_partitions, replace_by_key
+from barlens.operators.merge import MAX_COPIES, crowded_keys, newest_in_order, one_per_key, only_partitions
 from barlens.session import Staging, entry_names, tasks_for
 
 
@@ -60,10 +60,15 @@ def write_partitions(
     columns. One writer per table at a time.
     """
     order = [*partition_by, *[c for c in sort_by if c not in partition_by]]
-    ordered = ordered_rows(df, order, parts, copies)
+    _write_ordered(ordered_rows(df, order, parts, copies), path, partition_by, fmt, append)
+
+
+def _write_ordered(
+    ordered: DataFrame, path: str, partition_by: Sequence[str], fmt: str, append: bool
+) -> None:
     if fmt == "json":
         # Lines keep the fields that also name their folder.
-        line = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("value")
+        line = F.to_json(F.struct(*[F.col(f"`{c}`") for c in ordered.columns])).alias("value")
         ordered, fmt = ordered.select(line, *partition_by), "text"
     (
         ordered.write.mode("append" if append else "overwrite")
@@ -94,6 +99,7 @@ def upsert_by_key(
     latest: Column | None = None,
     fmt: str = "parquet",
     buckets: int | None = None,
+    written: bool = False,
 ) -> None:
     """Write documents so that one replaces an earlier one of the same key.
 
@@ -101,24 +107,30 @@ def upsert_by_key(
     rewritten. With ``buckets`` keys are dealt by hash into that many folders inside a partition,
     and only buckets with new documents are: for large partitions and small batches. The number
     is fixed by the first write, later ones find it. Writing the same documents again changes
-    nothing, which makes replays safe. A frame the caller has persisted is used as it is, any
-    other is staged first.
+    nothing, which makes replays safe. A frame the caller has persisted is used as it is, and so is
+    one of which ``written`` says that it only scans files; any other is staged first. Rows are
+    shuffled once, for merging and writing alike.
     """
     spark = df.sparkSession
     stored_buckets = bucket_count(spark, path)
-    if buckets and buckets != stored_buckets and entry_names(spark, path):
+    first = not entry_names(spark, path)
+    if buckets and buckets != stored_buckets and not first:
         raise ValueError(f"the table at {path} has {stored_buckets or 'no'} buckets, not {buckets}")
     buckets, by = buckets or stored_buckets, [partition]
     with Staging(spark, "upsert") as staging:
-        changed = df if df.is_cached else staging.hold(df, "changed")
+        changed = df if written or df.is_cached else staging.hold(df, "changed")
         if buckets:
             by.append(f"{_BUCKETS}{buckets}")
             changed = changed.withColumn(by[-1], F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
-        stored = read_if_there(spark, path, changed.schema, fmt)
-        touched = only_partitions(stored, changed, *by, hold=lambda rows: staging.hold(rows, "touched"))
-        merged = replace_by_key(touched, changed, [key], latest)
-        parts = tasks_for(spark, touched.count() + changed.count())
-        write_partitions(merged, path, by, [key], fmt, parts, copies=False)
+        n_rows, touched = changed.count(), None
+        if n_rows > MAX_COPIES and crowded_keys(changed, [key], MAX_COPIES) is not None:
+            changed = one_per_key(changed, [key], latest)
+        if not first:
+            stored = read_if_there(spark, path, changed.schema, fmt)
+            touched = only_partitions(stored, changed, *by, hold=lambda rows: staging.hold(rows, "touched"))
+            n_rows += touched.count()
+        merged = newest_in_order(touched, changed, [*by, key], latest, tasks_for(spark, n_rows))
+        _write_ordered(merged, path, by, fmt, append=first)
 
 
 def write_batch(batch: DataFrame, path: str, query: str, batch_id: int, fmt: str = "parquet") -> None:
