@@ -13,13 +13,14 @@ from barlens.operators.merge import (
     ARCHIVE_KEY,
     MAX_COPIES,
     crowded_keys,
+    first_stats,
     merge_stats,
     new_records,
     only_partitions,
     slice_stats,
 )
 from barlens.schema import BAR_SCHEMA
-from barlens.session import Staging, tasks_for
+from barlens.session import Staging, entry_names, few_listing_tasks, first_file, tasks_for
 from barlens.sinks.tables import read_if_there, write_partitions
 from barlens.sources.bars import range_filter, tickers_in
 
@@ -72,6 +73,13 @@ def archive_batch(
         if period in PERIODS:
             good = good.withColumn(period, F.date_format("date", PERIODS[period]))
         incoming, n_incoming = staging.hold_counted(good, "incoming")
+        if not (entry_names(spark, path) or dedup_within_batch):  # nothing stored: all rows are new
+            run = _as_table(merge_stats(first_stats(incoming)))
+            if n_incoming:
+                copies = n_incoming > max_copies and crowded_keys(incoming, ARCHIVE_KEY, max_copies) is not None
+                parts = tasks_for(spark, n_incoming)
+                write_partitions(incoming, path, partition_by, ARCHIVE_KEY, fmt, parts, True, copies)
+            return run
         stored = read_if_there(spark, path, incoming.schema, fmt)
 
         def touched_by(rows: DataFrame, label: str) -> DataFrame:
@@ -82,8 +90,7 @@ def archive_batch(
         touched = touched_by(incoming, "touched")
         new = new_records(incoming, touched, ARCHIVE_KEY, dedup_within_batch, max_copies, n_incoming)
         fresh, n_fresh = staging.hold_counted(new, "fresh")
-        stats = merge_stats(slice_stats(incoming, touched, fresh))
-        run = spark.createDataFrame(stats.collect(), stats.schema)
+        run = _as_table(merge_stats(slice_stats(incoming, touched, fresh)))
         whole = rewrite_unchanged and not append
         if n_incoming if whole else n_fresh:
             changed = incoming if whole else fresh
@@ -96,6 +103,11 @@ def archive_batch(
     return run
 
 
+def _as_table(stats: DataFrame) -> DataFrame:
+    """The one row of a run's statistics, apart from the tables it was found in."""
+    return stats.sparkSession.createDataFrame(stats.collect(), stats.schema)
+
+
 def read_archive(
     spark: SparkSession, path: str, fmt: str | None = None, extra: StructType | None = None
 ) -> DataFrame:
@@ -104,16 +116,16 @@ def read_archive(
     The format is found from the files; a ``fmt`` that they do not have raises. Folder columns are
     read as such, so filters on them skip files. ``extra`` names further stored columns.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    file = files.option("pathGlobFilter", "part-*").load(path).select("path").first()
-    found = "parquet" if file is None or ".parquet" in file["path"] else "json"
+    file = first_file(spark, path)
+    found = "parquet" if file is None or ".parquet" in file else "json"
     if fmt not in (None, found):
         raise ValueError(f"the archive at {path} is {found}, not {fmt}")
     schema = StructType([*ARCHIVE_SCHEMA.fields, *(extra or StructType()).fields])
     for name in PERIODS:
-        if file is not None and f"/{name}=" in file["path"]:
+        if file is not None and f"/{name}=" in file:
             schema = schema.add(name, StringType())
-    return spark.read.schema(schema).format(found).load(path)
+    with few_listing_tasks(spark):
+        return spark.read.schema(schema).format(found).load(path)
 
 
 def backfill(
