@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barlens.operators.heat import HeatPolicy, with_counts
+
+# Lines that one task turns into bars.
+LINES_PER_TASK = 500_000
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -21,24 +29,45 @@ def line_rank() -> Column:
     return order + F.col("l_linenumber")
 
 
+def known_heat(spark: SparkSession, folder: str) -> HeatPolicy:
+    """Hot instruments, judged from the raw lines: one narrow column, before any bar is built."""
+    counted = with_counts(table(spark, folder, "lineitem"), "l_suppkey")
+    return replace(counted, known=counted.known.keyed_as("ticker", F.col("l_suppkey").cast("string")))
+
+
+def _dealt(lines: DataFrame, heat: HeatPolicy) -> DataFrame:
+    """Lines shuffled once, by instrument, which serves bars and windows alike.
+
+    That needs instruments that a task can hold, so with hot ones among them lines stay as they
+    are and the aggregates shuffle. The number of tasks follows the lines, so a task's memory does not.
+    """
+    if heat.known.keys:
+        return lines
+    cores = lines.sparkSession.sparkContext.defaultParallelism
+    rounds = max(1, ceil(heat.rows / LINES_PER_TASK / cores))
+    return lines.repartition(rounds * cores, "ticker")
+
+
 def bars_from_lineitem(
     spark: SparkSession, folder: str, smooth: bool = False, company: bool = False,
-    exact: bool = False,
+    exact: bool = False, heat: HeatPolicy | None = None,
 ) -> DataFrame:
     """Daily bars: one instrument per supplier, one bar per ship date.
 
-    ``exact`` keeps the prices in cents, ``smooth`` brings them close together.
+    ``exact`` keeps the prices in cents, ``smooth`` brings them close together. ``heat`` is what
+    ``known_heat`` found, if it is known already.
     """
     raw = F.col("l_extendedprice")
     price = raw if exact else F.lit(1024.0) + quantised(raw / 1000) if smooth else quantised(raw)
     rank = line_rank()
+    named = table(spark, folder, "lineitem").withColumn("ticker", F.col("l_suppkey").cast("string"))
     # Rows of one line of an order are tied; the lower price opens, the higher one closes.
     lines = (
-        table(spark, folder, "lineitem")
-        .groupBy("l_suppkey", F.col("l_shipdate").alias("time"), "l_orderkey", "l_linenumber")
+        _dealt(named, heat or known_heat(spark, folder))
+        .groupBy("ticker", "l_suppkey", F.col("l_shipdate").alias("time"), "l_orderkey", "l_linenumber")
         .agg(F.min(price).alias("low"), F.max(price).alias("high"), F.sum("l_quantity").alias("volume"))
     )
-    bars = lines.groupBy("l_suppkey", "time").agg(
+    bars = lines.groupBy("ticker", "l_suppkey", "time").agg(
         F.min_by("low", rank).alias("Open"),
         F.max("high").alias("High"),
         F.min("low").alias("Low"),
@@ -46,12 +75,11 @@ def bars_from_lineitem(
         F.sum("volume").alias("Volume"),
     )
     prices = ["time", "Open", "High", "Low", "Close", "Volume"]
-    ticker = F.col("l_suppkey").cast("string").alias("ticker")
     if not company:
-        return bars.select(ticker, *prices)
+        return bars.select("ticker", *prices)
     supplier = table(spark, folder, "supplier")
     return bars.join(supplier, bars["l_suppkey"] == supplier["s_suppkey"]).select(
-        ticker, F.col("s_name").alias("company"), *prices
+        "ticker", F.col("s_name").alias("company"), *prices
     )
 
 

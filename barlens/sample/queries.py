@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from barlens.functions import quality
 from barlens.functions.rules import month_of
 from barlens.operators import features
-from barlens.operators.heat import HeatPolicy, with_counts
+from barlens.operators.heat import HeatPolicy
 from barlens.operators.lookup import attach
 from barlens.operators.merge import archive_merge, merge_stats, new_records, slice_stats, slices_present
 from barlens.operators.places import places_within
@@ -47,10 +47,12 @@ def query(build: Query) -> Query:
     return build
 
 
-def known_heat(spark: SparkSession, folder: str) -> HeatPolicy:
-    """Hot instruments, judged from the raw lines: one narrow column, before any bar is built."""
-    counted = with_counts(inputs.table(spark, folder, "lineitem"), "l_suppkey")
-    return replace(counted, known=counted.known.keyed_as("ticker", F.col("l_suppkey").cast("string")))
+def bars_and_heat(spark: SparkSession, folder: str, **kind: bool) -> tuple[DataFrame, HeatPolicy]:
+    """Bars and their hot instruments. Bars without hot ones are dealt by instrument as they come,
+    so the policy states no size for a second shuffle."""
+    heat = inputs.known_heat(spark, folder)
+    bars = inputs.bars_from_lineitem(spark, folder, heat=heat, **kind)
+    return bars, heat if heat.known.keys else replace(heat, rows=None)
 
 
 def local_times(df: DataFrame) -> DataFrame:
@@ -69,57 +71,65 @@ def bars_daily(spark, folder):
 
 @query
 def moving_averages(spark, folder):
-    bars = inputs.bars_from_lineitem(spark, folder).select("ticker", "time", "Close")
-    out = features.trend_features(bars, method="stacked", heat=known_heat(spark, folder))
+    bars, heat = bars_and_heat(spark, folder)
+    bars = bars.select("ticker", "time", "Close")
+    out = features.trend_features(bars, method="stacked", heat=heat)
     return out.select("ticker", "time", "ma50", "ma100", "ma200")
 
 
 @query
 def moving_averages_frame(spark, folder):
-    bars = inputs.bars_from_lineitem(spark, folder).select("ticker", "time", "Close")
-    out = features.trend_features(bars, method="frame", heat=known_heat(spark, folder))
+    bars, heat = bars_and_heat(spark, folder)
+    bars = bars.select("ticker", "time", "Close")
+    out = features.trend_features(bars, method="frame", heat=heat)
     return out.select("ticker", "time", "ma50", "ma100", "ma200")
 
 
 @query
 def moving_averages_prefix(spark, folder):
-    bars = inputs.bars_from_lineitem(spark, folder).select("ticker", "time", "Close")
-    out = features.trend_features(bars, heat=known_heat(spark, folder))
+    bars, heat = bars_and_heat(spark, folder)
+    bars = bars.select("ticker", "time", "Close")
+    out = features.trend_features(bars, heat=heat)
     return out.select("ticker", "time", "ma50", "ma100", "ma200")
 
 
 @query
 def trend(spark, folder):
-    bars = inputs.bars_from_lineitem(spark, folder).select("ticker", "time", "Close")
-    out = features.trend_features(bars, heat=known_heat(spark, folder))
+    bars, heat = bars_and_heat(spark, folder)
+    bars = bars.select("ticker", "time", "Close")
+    out = features.trend_features(bars, heat=heat)
     return out.select("ticker", "time", "trend", "trend_strength")
 
 
 @query
 def trend_unquantised(spark, folder):
     """Labels on prices in cents, whose sums depend on the order of adding."""
-    bars = inputs.bars_from_lineitem(spark, folder, exact=True).select("ticker", "time", "Close")
-    out = features.trend_features(bars, heat=known_heat(spark, folder))
+    bars, heat = bars_and_heat(spark, folder, exact=True)
+    bars = bars.select("ticker", "time", "Close")
+    out = features.trend_features(bars, heat=heat)
     return out.select("ticker", "time", "trend")
 
 
 @query
 def returns(spark, folder):
-    bars = inputs.bars_from_lineitem(spark, folder).select("ticker", "time", "Close")
-    return features.return_features(bars, heat=known_heat(spark, folder)).drop("Close")
+    bars, heat = bars_and_heat(spark, folder)
+    bars = bars.select("ticker", "time", "Close")
+    return features.return_features(bars, heat=heat).drop("Close")
 
 
 @query
 def drawdown(spark, folder):
-    bars = inputs.bars_from_lineitem(spark, folder).select("ticker", "time", "Close")
-    return features.drawdown_features(bars, heat=known_heat(spark, folder)).drop("Close")
+    bars, heat = bars_and_heat(spark, folder)
+    bars = bars.select("ticker", "time", "Close")
+    return features.drawdown_features(bars, heat=heat).drop("Close")
 
 
 @query
 def volume_profile(spark, folder):
-    bars = inputs.bars_from_lineitem(spark, folder).select("ticker", "time", "Volume")
+    bars, heat = bars_and_heat(spark, folder)
+    bars = bars.select("ticker", "time", "Volume")
     out = features.volume_features(
-        bars.withColumn("Close", F.lit(None).cast("double")), heat=known_heat(spark, folder)
+        bars.withColumn("Close", F.lit(None).cast("double")), heat=heat
     )
     return out.drop("Close")
 
@@ -131,16 +141,17 @@ def monthly_returns(spark, folder):
 
 @query
 def monthly_volatility(spark, folder):
+    bars, heat = bars_and_heat(spark, folder)
     out = features.monthly_volatility(
-        inputs.bars_from_lineitem(spark, folder), heat=known_heat(spark, folder)
+        bars, heat=heat
     )
     return out.withColumn("monthly_volatility", F.round("monthly_volatility", 9))
 
 
 @query
 def volatility_join(spark, folder):
-    bars = inputs.bars_from_lineitem(spark, folder).select("ticker", "time", "Close")
-    heat = known_heat(spark, folder)
+    bars, heat = bars_and_heat(spark, folder)
+    bars = bars.select("ticker", "time", "Close")
     monthly = features.monthly_volatility(bars, heat=heat)
     out = attach(bars.withColumn("month", month_of(F.col("time"))), monthly, policy=heat)
     return out.withColumn("monthly_volatility", F.round("monthly_volatility", 9))
@@ -148,15 +159,16 @@ def volatility_join(spark, folder):
 
 @query
 def volatility_window(spark, folder):
-    bars = inputs.bars_from_lineitem(spark, folder).select("ticker", "time", "Close")
-    out = feature_table(bars.withColumn("Volume", F.lit(0.0)), heat=known_heat(spark, folder))
+    bars, heat = bars_and_heat(spark, folder)
+    bars = bars.select("ticker", "time", "Close")
+    out = feature_table(bars.withColumn("Volume", F.lit(0.0)), heat=heat)
     return _rounded(out.select("ticker", "month", "time", "Close", "monthly_volatility"))
 
 
 @query
 def market_regime(spark, folder):
-    bars = inputs.bars_from_lineitem(spark, folder, smooth=True)
-    out = feature_table(bars, heat=known_heat(spark, folder))
+    bars, heat = bars_and_heat(spark, folder, smooth=True)
+    out = feature_table(bars, heat=heat)
     return out.select("ticker", "time", "market_regime")
 
 
@@ -166,8 +178,8 @@ def _rounded(table: DataFrame) -> DataFrame:
 
 @query
 def feature_table_all(spark, folder):
-    bars = inputs.bars_from_lineitem(spark, folder)
-    return _rounded(feature_table(bars, heat=known_heat(spark, folder)))
+    bars, heat = bars_and_heat(spark, folder)
+    return _rounded(feature_table(bars, heat=heat))
 
 
 @query
@@ -181,8 +193,8 @@ def feature_table_hot_key(spark, folder):
 
 @query
 def feature_documents_complete(spark, folder):
-    bars = inputs.bars_from_lineitem(spark, folder, company=True)
-    table = feature_table(bars, heat=known_heat(spark, folder))
+    bars, heat = bars_and_heat(spark, folder, company=True)
+    table = feature_table(bars, heat=heat)
     out = feature_documents(table)
     return out.select("doc_id", "ticker", "company", "month", "time", "return_90d", "market_regime")
 
@@ -190,9 +202,9 @@ def feature_documents_complete(spark, folder):
 @query
 def feature_documents_published(spark, folder):
     """The daily job: feature table and documents written, documents read back."""
-    bars = inputs.bars_from_lineitem(spark, folder, company=True)
+    bars, heat = bars_and_heat(spark, folder, company=True)
     table, documents = work_folder(spark, "features"), work_folder(spark, "feature-documents")
-    publish_features(bars, table, documents, heat=known_heat(spark, folder))
+    publish_features(bars, table, documents, heat=heat)
     return spark.read.parquet(documents).select(
         "doc_id", "ticker", "company", "month", "time", "return_90d", "market_regime"
     )
@@ -432,8 +444,11 @@ def archive_sides(spark, folder) -> tuple[DataFrame, DataFrame]:
     bars = inputs.bars_from_lineitem(spark, folder)
     day = F.dayofyear("time")
     text = F.date_format("time", "yyyy-MM-dd HH:mm:ss")
-    rows = bars.select(
-        F.to_date("time").alias("date"), "ticker", text.alias("time"), "Close", "Volume", day.alias("day")
+    rows = stage(
+        bars.select(
+            F.to_date("time").alias("date"), "ticker", text.alias("time"), "Close", "Volume", day.alias("day")
+        ),
+        "archive-rows",
     )
     stored = rows.where(F.col("day") % 3 != 0)
     arriving = rows.where(F.col("day") % 3 != 1).withColumn("Close", F.col("Close") + 1)
@@ -540,21 +555,22 @@ def upsert_documents(spark, folder):
     )
     docs = stage(docs, "documents")
     path = work_folder(spark, "upsert")
-    upsert_by_key(docs.drop("day"), path)
+    upsert_by_key(docs.drop("day"), path, written=True)
     second = docs.where(F.col("day") % 2 == 0).drop("day").withColumn("Close", F.col("Close") + 1)
     for _ in range(2):
-        upsert_by_key(second.union(second), path)
+        upsert_by_key(second.union(second), path, written=True)
     return spark.read.parquet(path).select("doc_id", "Close", "part")
 
 
 def _archived_features(spark, folder, fmt: str, partition_by) -> DataFrame:
     """Bars to the archive, back from it, and their features."""
-    bars = inputs.bars_from_lineitem(spark, folder)
+    heat = inputs.known_heat(spark, folder)
+    bars = inputs.bars_from_lineitem(spark, folder, heat=heat)
     text = F.date_format("time", "yyyy-MM-dd HH:mm:ss")
     path = work_folder(spark, "archive")
     archive_batch(_as_bars(bars.withColumn("time", text)), path, partition_by, fmt)
     stored = quality.parse_times(quality.cast_prices(read_archive(spark, path, fmt)), target="time")
-    table = feature_table(stored, heat=known_heat(spark, folder))
+    table = feature_table(stored, heat=heat)
     return local_times(table).select("ticker", "time", "ma50", "trend", "drawdown", "max_drawdown")
 
 
@@ -614,8 +630,8 @@ def upsert_wider_schema(spark, folder):
         "documents",
     )
     path = work_folder(spark, "upsert")
-    upsert_by_key(docs.drop("day"), path)
-    upsert_by_key(docs.where("day % 2 = 0").drop("day", "Volume"), path)
+    upsert_by_key(docs.drop("day"), path, written=True)
+    upsert_by_key(docs.where("day % 2 = 0").drop("day", "Volume"), path, written=True)
     return spark.read.parquet(path).select("doc_id", "Close", "Volume", "part")
 
 

@@ -3,10 +3,11 @@
 import pytest
 
 from barlens.operators.features import return_features
-from barlens.operators.heat import HeatPolicy, with_counts
+from barlens.operators.heat import HeatPolicy, HotKeys, with_counts
 from barlens.operators.windows import window_metrics
 from barlens.plans.feature_table import feature_table
 from barlens.sample.inputs import bars_from_lineitem
+from barlens.sample.queries import bars_and_heat
 from barlens.session import tasks_for
 from barlens.sources.bars import latest_per_key, range_filter, tickers_in
 from barlens.sources.streams import EVENT, stamp_clock
@@ -88,3 +89,21 @@ def test_counting_fills_in_the_policy(stored):
 def test_tasks_follow_the_rows(spark):
     assert tasks_for(spark, 1000) is None
     assert tasks_for(spark, 1000, 10) == 100
+
+
+def test_lines_are_shuffled_once_for_bars_and_features(spark):
+    bars, heat = bars_and_heat(spark, "/root/testdata/sf0.001", company=True)
+    text = plan(feature_table(bars, heat=heat))
+    assert text.count("Exchange hashpartitioning") == 1
+
+
+def test_lines_of_hot_suppliers_are_not_dealt_by_supplier(spark):
+    hot = HeatPolicy(known=HotKeys(spark.createDataFrame([("1", 9)], "ticker string, count long"), 1, 9), rows=9)
+    text = plan(bars_from_lineitem(spark, "/root/testdata/sf0.001", heat=hot))
+    assert "REPARTITION" not in text and "partial_min" in text
+
+
+def test_tasks_of_bars_follow_the_lines(spark):
+    many = HeatPolicy(known=HotKeys(), rows=30_000_000)
+    text = plan(bars_from_lineitem(spark, "/root/testdata/sf0.001", heat=many))
+    assert "hashpartitioning(ticker" in text and ", 64)" in text
