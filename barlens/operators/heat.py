@@ -120,7 +120,7 @@ class Layout:
 
         A blocked instrument may be huge, so its aggregates are combined before the shuffle.
         What a block needs of them is gathered into one row per block, which joins back by
-        (key, block): the partitioning the rows already have.
+        (key, block).
         """
         key, monthly = self.spec.key, monthly or {}
         if not self.blocked:
@@ -148,7 +148,9 @@ class Layout:
             entry = F.struct(F.col(month), F.struct(*monthly))
             entries = F.collect_list(F.when(F.col(month).isNotNull(), entry))
             gathered.append(F.map_from_entries(entries).alias("_months"))
-        per_block = found.groupBy(key, BLOCK).agg(*gathered)
+        # Written, so that its size is known before the plan is made: small, it is broadcast and the
+        # wide rows above are not shuffled for it.
+        per_block = stage(found.groupBy(key, BLOCK).agg(*gathered), "hot-values")
         if self.null_key:
             joined = _join_null_safe(rows, per_block, [key, BLOCK])
         else:

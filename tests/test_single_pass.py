@@ -1,12 +1,16 @@
 """Steps that must not read, write or shuffle rows more often than the job needs."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from barlens import session
 from barlens.functions.quality import typed_fields
 from barlens.operators import merge
+from barlens.operators.heat import HeatPolicy
 from barlens.plans.archive import archive_batch, read_archive
+from barlens.plans.feature_table import feature_table
 from barlens.sample import queries
 from barlens.schema import BAR_SCHEMA
 from barlens.session import few_listing_tasks, first_file
@@ -129,3 +133,9 @@ def test_typed_fields_are_compiled(spark):
     out = typed_fields(rows, {"a": "double", "b c": "string", "d": "string"}, keep=("key",))
     assert "lambda" not in plan(out)
     assert tuple(out.first()) == ("k", 1.0, "number", None, "null", None, "missing")
+
+
+def test_blocks_get_their_values_without_a_shuffle_of_their_rows(series):
+    table = feature_table(series([float(i) for i in range(40)]), heat=HeatPolicy(known={"A": 40}, block_rows=10))
+    assert re.search(r"hashpartitioning\(ticker#\d+, _block", plan(table)) is None
+    assert table.count() == 40
