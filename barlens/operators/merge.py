@@ -136,7 +136,19 @@ def slices_present(slices: DataFrame, stored: DataFrame, by: Sequence[str] = SLI
 def slice_stats(
     incoming: DataFrame, stored: DataFrame, fresh: DataFrame, by: Sequence[str] = SLICE
 ) -> DataFrame:
-    """Per touched slice: rows that came in, were new, and are there after the merge.
+    """Per touched slice: rows that came in, were new, and are there after the merge."""
+    return came_in(slice_counts(incoming, stored, fresh, by))
+
+
+def came_in(counts: DataFrame) -> DataFrame:
+    """The slices that the batch touches."""
+    return counts.where(F.col("incoming_records") > 0)
+
+
+def slice_counts(
+    incoming: DataFrame, stored: DataFrame, fresh: DataFrame, by: Sequence[str] = SLICE
+) -> DataFrame:
+    """``slice_stats`` of all slices, those too that only ``stored`` holds.
 
     One aggregate over tagged rows; counts are combined before the shuffle.
     """
@@ -150,12 +162,11 @@ def slice_stats(
         .unionByName(tagged(stored, "stored"))
         .unionByName(tagged(fresh, "fresh"))
     )
-    sums = everything.groupBy(*by).agg(
+    return everything.groupBy(*by).agg(
         F.sum("incoming").alias("incoming_records"),
         F.sum("fresh").alias("new_records"),
         (F.sum("stored") + F.sum("fresh")).alias("total_records"),
     )
-    return sums.where(F.col("incoming_records") > 0)
 
 
 def first_stats(incoming: DataFrame, by: Sequence[str] = SLICE) -> DataFrame:

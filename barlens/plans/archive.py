@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructType
 
@@ -12,12 +12,13 @@ from barlens.functions.quality import archive_date, split_valid, with_problem
 from barlens.operators.merge import (
     ARCHIVE_KEY,
     MAX_COPIES,
+    came_in,
     crowded_keys,
     first_stats,
     merge_stats,
     new_records,
     only_partitions,
-    slice_stats,
+    slice_counts,
 )
 from barlens.schema import BAR_SCHEMA
 from barlens.session import Staging, entry_names, few_listing_tasks, first_file, tasks_for
@@ -74,9 +75,9 @@ def archive_batch(
             good = good.withColumn(period, F.date_format("date", PERIODS[period]))
         incoming, n_incoming = staging.hold_counted(good, "incoming")
         if not (entry_names(spark, path) or dedup_within_batch):  # nothing stored: all rows are new
-            run = _as_table(merge_stats(first_stats(incoming)))
+            run, largest = _run_of(first_stats(incoming))
             if n_incoming:
-                copies = n_incoming > max_copies and crowded_keys(incoming, ARCHIVE_KEY, max_copies) is not None
+                copies = largest > max_copies and crowded_keys(incoming, ARCHIVE_KEY, max_copies) is not None
                 parts = tasks_for(spark, n_incoming)
                 write_partitions(incoming, path, partition_by, ARCHIVE_KEY, fmt, parts, True, copies)
             return run
@@ -88,24 +89,30 @@ def archive_batch(
             )
 
         touched = touched_by(incoming, "touched")
+        if fmt == "json":  # read several times below, and text is parsed each time
+            stored = touched = staging.hold(touched, "stored")
         new = new_records(incoming, touched, ARCHIVE_KEY, dedup_within_batch, max_copies, n_incoming)
         fresh, n_fresh = staging.hold_counted(new, "fresh")
-        run = _as_table(merge_stats(slice_stats(incoming, touched, fresh)))
+        run, largest = _run_of(slice_counts(incoming, touched, fresh))
         whole = rewrite_unchanged and not append
         if n_incoming if whole else n_fresh:
             changed = incoming if whole else fresh
             kept = None if append else touched if whole else touched_by(changed, "rewritten")
             rows = fresh if kept is None else kept.unionByName(fresh, allowMissingColumns=True)
             n_rows = n_fresh + (0 if kept is None else kept.count())
-            copies = n_rows > max_copies and crowded_keys(rows, ARCHIVE_KEY, max_copies) is not None
+            copies = largest > max_copies and crowded_keys(rows, ARCHIVE_KEY, max_copies) is not None
             parts = tasks_for(spark, n_rows)
             write_partitions(rows, path, partition_by, ARCHIVE_KEY, fmt, parts, append, copies)
     return run
 
 
-def _as_table(stats: DataFrame) -> DataFrame:
-    """The one row of a run's statistics, apart from the tables it was found in."""
-    return stats.sparkSession.createDataFrame(stats.collect(), stats.schema)
+def _run_of(counts: DataFrame) -> tuple[DataFrame, int]:
+    """The one row of a run's statistics, apart from the tables it was found in, and the rows of the
+    largest slice: no bar can come more often than its slice has rows."""
+    seen = Observation()
+    stats = merge_stats(came_in(counts.observe(seen, F.max("total_records").alias("largest"))))
+    run = stats.sparkSession.createDataFrame(stats.collect(), stats.schema)
+    return run, seen.get.get("largest") or 0
 
 
 def read_archive(

@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from barlens.operators.heat import ordered_rows
 from barlens.operators.merge import MAX_COPIES, crowded_keys, newest_in_order, one_per_key, only_partitions
-from barlens.session import Staging, entry_names, tasks_for
+from barlens.session import Staging, entry_names, few_listing_tasks, tasks_for
 
 
 def write_table(
@@ -35,11 +35,12 @@ def read_if_there(
     """
     if not entry_names(spark, path):
         return spark.createDataFrame([], schema)  # nothing, or only empty batches so far
-    stored = spark.read.option("mergeSchema", "true").format(fmt).load(path).schema
     given = {field.name: field for field in schema}
-    return spark.read.schema(
-        StructType([given.get(field.name, field) for field in stored])
-    ).format(fmt).load(path)
+    with few_listing_tasks(spark):
+        stored = spark.read.option("mergeSchema", "true").format(fmt).load(path).schema
+        return spark.read.schema(
+            StructType([given.get(field.name, field) for field in stored])
+        ).format(fmt).load(path)
 
 
 def write_partitions(

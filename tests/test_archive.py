@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from barlens.functions.quality import decode
 from barlens.operators import merge
 from barlens.operators.heat import ordered_rows
+from barlens.plans import archive
 from barlens.plans.archive import archive_batch, backfill, read_archive
 from barlens.schema import BAR_SCHEMA
 from barlens.sinks import tables
@@ -52,6 +53,46 @@ def test_merge_can_drop_copies(spark, records, tmp_path):
     assert archive_batch(batch, path, dedup_within_batch=True).first().new_records == 1
 
 
+def test_stored_json_is_parsed_once_and_keeps_its_columns(spark, records, tmp_path, monkeypatch):
+    path, layout = str(tmp_path / "a"), {"partition_by": ("date", "ticker"), "fmt": "json"}
+    first = records(("A", T.format(1), 1.0), ("B", "2024-01-03", 2.0)).withColumn("venue", F.lit("X"))
+    archive_batch(first, path, **layout)
+    parsed, count = spark.sparkContext.accumulator(0), archive.read_if_there
+
+    def counting(*args):
+        stored = count(*args)
+
+        @F.udf("string")
+        def seen(venue):
+            parsed.add(1)
+            return venue
+
+        return stored.withColumn("venue", seen.asNondeterministic()("venue"))
+
+    monkeypatch.setattr(archive, "read_if_there", counting)
+    stats = archive_batch(records(("A", T.format(1), 9.0), ("A", T.format(2), 3.0)), path, **layout).first()
+    assert (stats.slices_written, stats.new_records, stats.total_records) == (1, 1, 2)
+    assert parsed.value == 2  # both stored rows, once each
+    back = spark.read.json(path).orderBy("ticker", "time").collect()
+    assert [(r.ticker, r.Close, r.venue) for r in back] == [("A", 1.0, "X"), ("A", 3.0, None), ("B", 2.0, "X")]
+
+
+def test_small_slices_are_not_searched_for_copies(spark, records, tmp_path, monkeypatch):
+    def searched(*_):
+        raise AssertionError("searched for crowded keys")
+
+    monkeypatch.setattr(archive, "crowded_keys", searched)
+    path, days = str(tmp_path / "a"), ("2024-01-02", "2024-01-03", "2024-01-04")
+    for close in (1.0, 2.0):
+        archive_batch(records(*[("A", d, close) for d in days]), path, ("month",), max_copies=2)
+    assert times(read(spark, path)) == [(d, 1.0) for d in days]
+    with pytest.raises(AssertionError, match="crowded"):
+        archive_batch(records(*[("A", days[0], c) for c in (1.0, 2.0, 3.0)]), str(tmp_path / "b"), max_copies=2)
+    monkeypatch.undo()
+    archive_batch(records(*[("B", days[0], c) for c in (1.0, 2.0, 3.0)]), path, ("month",), max_copies=2)
+    assert read(spark, path).count() == 6
+
+
 def test_untouched_dates_stay_and_reference_layout(spark, records, tmp_path):
     path = str(tmp_path / "a")
     layout = {"partition_by": ("date", "ticker"), "fmt": "json"}
