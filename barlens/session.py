@@ -64,7 +64,7 @@ def _write_and_read(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _located(spark: SparkSession, path: str):
+def located(spark: SparkSession, path: str):
     """A path and the file system it lies in."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -72,7 +72,7 @@ def _located(spark: SparkSession, path: str):
 
 def entry_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the files and folders in ``path`` that belong to a table; none if it does not exist."""
-    folder, files = _located(spark, path)
+    folder, files = located(spark, path)
     if not files.exists(folder):
         return []
     found = [status.getPath().getName() for status in files.listStatus(folder)]
@@ -81,7 +81,7 @@ def entry_names(spark: SparkSession, path: str) -> list[str]:
 
 def first_file(spark: SparkSession, path: str) -> str | None:
     """Some file of the table at ``path``, found by going down its folders; None if there is none."""
-    folder, files = _located(spark, path)
+    folder, files = located(spark, path)
     for status in files.listStatus(folder):
         found, name = status.getPath().toString(), status.getPath().getName()
         if not status.isDirectory():
@@ -104,8 +104,21 @@ def few_listing_tasks(spark: SparkSession):
         spark.conf.set(setting, before)
 
 
+def folder_columns(spark: SparkSession, path: str, file: str) -> list[str]:
+    """Columns that the folders between ``path`` and a ``file`` of it name, outermost first."""
+    folder, files = located(spark, path)
+    inside = file.removeprefix(files.makeQualified(folder).toString()).split("/")[1:-1]
+    return [part.split("=", 1)[0] for part in inside if "=" in part]
+
+
+def folder_count(spark: SparkSession, path: str, depth: int) -> int:
+    """Partition folders ``depth`` levels below ``path``."""
+    folder, files = located(spark, path + "/*=*" * depth)
+    return len(files.globStatus(folder) or [])
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    folder, files = _located(spark, path)
+    folder, files = located(spark, path)
     return files.exists(folder)
 
 
@@ -134,7 +147,7 @@ class Staging:
         return self
 
     def __exit__(self, *_) -> None:
-        folder, files = _located(self._spark, self._folder)
+        folder, files = located(self._spark, self._folder)
         files.delete(folder, True)
 
     def hold(self, df: DataFrame, name: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 from barlens.operators.heat import ordered_rows
 from barlens.operators.merge import MAX_COPIES, crowded_keys, newest_in_order, one_per_key, only_partitions
 from barlens.session import Staging, entry_names, few_listing_tasks, tasks_for
+from barlens.sinks.line_files import mounted, write_line_files
 
 
 def write_table(
@@ -71,6 +72,9 @@ def _write_ordered(
         # Lines keep the fields that also name their folder.
         line = F.to_json(F.struct(*[F.col(f"`{c}`") for c in ordered.columns])).alias("value")
         ordered, fmt = ordered.select(line, *partition_by), "text"
+        if partition_by and (folder := mounted(ordered.sparkSession, path)):
+            write_line_files(ordered, folder, partition_by, append)
+            return
     (
         ordered.write.mode("append" if append else "overwrite")
         .option("partitionOverwriteMode", "dynamic")
